@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -18,27 +19,38 @@ def _code_point(number: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+_ENTITY = r"^(#x[0-9a-fA-F]+|#[0-9]+|[0-9A-Za-z_.:-]+);?"
+
+
 def decode_entities(text: Column | str) -> Column:
     """Replace decimal, hexadecimal and named HTML entities; unknown ones stay as they are."""
-    text = _col(text)
     named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
 
-    def one(part: Column) -> Column:
-        entity = F.regexp_extract(part, r"^(#x[0-9a-fA-F]+|#[0-9]+|[0-9A-Za-z_.:-]+);?", 1)
-        whole = F.regexp_extract(part, r"^(#x[0-9a-fA-F]+|#[0-9]+|[0-9A-Za-z_.:-]+);?", 0)
+    def character(entity: Column) -> Column:
         hexadecimal = F.conv(F.substring(entity, 3, 8), 16, 10).cast("bigint")
         decimal = F.substring(entity, 2, 10).cast("bigint")
-        character = (
+        return (
             F.when(entity.startswith("#x"), _code_point(hexadecimal))
             .when(entity.startswith("#"), _code_point(decimal))
             .otherwise(F.element_at(named, entity))
         )
-        rest = F.substr(part, F.length(whole) + 1)
-        return F.when(character.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(character, rest))
 
-    # Each part after the first begins right behind an '&'.
-    decoded = F.transform(F.split(text, "&"), lambda part, i: F.when(i == 0, part).otherwise(one(part)))
-    return F.when(F.instr(text, "&") == 0, text).otherwise(F.array_join(decoded, ""))
+    def one(part: Column) -> Column:
+        # The part begins right behind an '&'.
+        rest = F.substr(part, F.length(F.regexp_extract(part, _ENTITY, 0)) + 1)
+        found = F.concat(_let(F.regexp_extract(part, _ENTITY, 1), character), rest)
+        return F.coalesce(found, F.concat(F.lit("&"), part))
+
+    def decoded(whole: Column) -> Column:
+        parts = F.transform(F.split(whole, "&"), lambda part, i: F.when(i == 0, part).otherwise(one(part)))
+        return F.when(F.instr(whole, "&") == 0, whole).otherwise(F.array_join(parts, ""))
+
+    return _let(_col(text), decoded)
 
 
 def _replace_all(text: Column, steps: list[tuple[str, str]]) -> Column:
@@ -69,27 +81,55 @@ def _trim_blank_lines(text: Column) -> Column:
 
 # Extensions of wiki text that hold no prose.
 _WIKI_SKIPPED = ["ref", "references", "imagemap", "gallery", "math", "hr", "timeline", "poem", "hiero"]
-# Nested templates and tables are removed from the inside out, one level per pass.
-NESTING = 6
+
+
+def _inside_out(text: Column, opener: str, closer: str, steps: list[tuple[str, str]]) -> Column:
+    """Apply ``steps`` to the innermost pairs first, as often as the pairs of this text are nested."""
+
+    def depth(marks: Column) -> Column:
+        start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
+
+        def step(state: Column, mark: Column) -> Column:
+            now = F.when(mark.rlike(f"^{opener}"), state["now"] + 1).otherwise(F.greatest(state["now"] - 1, F.lit(0)))
+            return F.struct(now.alias("now"), F.greatest(state["top"], now).alias("top"))
+
+        return F.aggregate(marks, start, step, lambda state: state["top"])
+
+    def strip(whole: Column) -> Column:
+        marks = F.regexp_extract_all(whole, F.lit(f"{opener}|{closer}"), F.lit(0))
+        passes = F.sequence(F.lit(1), F.greatest(depth(marks), F.lit(1)))
+        return F.when(
+            whole.rlike(opener), F.aggregate(passes, whole, lambda text, _: _replace_all(text, steps))
+        ).otherwise(whole)
+
+    return _let(text, strip)
 
 
 def wiki_to_text(wikitext: Column | str, markup: bool = False) -> Column:
     """Plain text of a wiki page.
 
-    Templates, references, tables, galleries and formulas go; links keep their
-    anchor text, links with ':' in the target go.  Without ``markup`` list
-    lines and emphasis marks go too; with it bullets become '-', numbered items
-    '1.', bold '*', italics '/' and underline '_'.
+    Templates, references, tables, galleries and formulas go, however deeply
+    they are nested; links keep their anchor text, links with ':' in the target
+    go.  Without ``markup`` list lines and emphasis marks go too; with it
+    bullets become '-', numbered items '1.', bold '*', italics '/' and underline '_'.
     """
     steps = [(r"(?s)<!--.*?-->", "")]
     for tag in _WIKI_SKIPPED:
         steps += [(rf"(?i)<{tag}(?:\s[^>]*)?/>", ""), (rf"(?is)<{tag}(?:\s[^>/]*)?>.*?</{tag}\s*>", "")]
-    steps += [(r"\{\{[^{}]*\}\}", "")] * NESTING
-    steps += [(r"(?s)\{\|[^{}]*\|\}", "")] * 2
-    steps += [
-        (r"\[\[[^\[\]|]*:[^\[\]]*\]\]", ""),
-        (r"\[\[[^\[\]|]*\|([^\[\]|]*)(?:\|[^\[\]]*)?\]\]", "$1"),
-        (r"\[\[([^\[\]|]*)\]\]", "$1"),
+    text = _replace_all(_col(wikitext), steps)
+    text = _inside_out(text, r"\{\{", r"\}\}", [(r"\{\{\{[^{}]*\}\}\}|\{\{[^{}]*\}\}", "")])
+    text = _inside_out(text, r"\{\|", r"\|\}", [(r"\{\|[^{}]*\|\}", "")])
+    text = _inside_out(
+        text,
+        r"\[\[",
+        r"\]\]",
+        [
+            (r"\[\[[^\[\]|]*:[^\[\]]*\]\]", ""),
+            (r"\[\[[^\[\]|]*\|([^\[\]|]*)(?:\|[^\[\]]*)?\]\]", "$1"),
+            (r"\[\[([^\[\]|]*)\]\]", "$1"),
+        ],
+    )
+    steps = [
         (r"\[[a-z]+://[^\s\]]*\s+([^\]]*)\]", "$1"),
         (r"\[[a-z]+://[^\s\]]*\]", ""),
         (r"(?m)^=+ *([^=\n]*?) *=+ *$", "\n$1\n"),
@@ -108,9 +148,9 @@ def wiki_to_text(wikitext: Column | str, markup: bool = False) -> Column:
     else:
         steps += [(r"'''?", ""), (r"(?m)^[*#:;].*$", "")]
     steps += [(r"</?[a-zA-Z][^>]*>", "")]
-    text = _replace_all(_col(wikitext), steps)
+    text = _replace_all(text, steps)
     if markup:
-        text = _number_items(text)
+        text = _let(text, _number_items)
     return _trim_blank_lines(decode_entities(text))
 
 

@@ -56,8 +56,9 @@ def tokenize(text: Column | str, mode: str = "regex") -> Column:
     text = _col(text)
     if mode == "simple":
         # Empty tokens at the end are dropped, all others stay.
-        kept = F.rtrim(F.lower(text), F.lit(" \t\n\x0b\f\r"))
-        return F.when((kept == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(kept, r"\s"))
+        blank = F.array().cast("array<string>")
+        pieces = F.split(F.rtrim(F.lower(text), F.lit(" \t\n\x0b\f\r")), r"\s")
+        return F.when(text.rlike(r"^\s+$"), blank).otherwise(pieces)
     if mode == "regex":
         return F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
     if mode == "space":

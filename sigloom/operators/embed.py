@@ -21,13 +21,16 @@ MAX_QUERIES = 100_000
 
 
 def fit_word2vec(
-    df: DataFrame, size: int = 100, min_count: int = 0, seed: int = 11, partitions: int = 1, tokens: str = "tokens"
+    df: DataFrame, size: int = 100, min_count: int = 0, seed: int = 11, partitions: int | None = None,
+    tokens: str = "tokens",
 ) -> Word2VecModel:
     """Word2Vec with window 5, step 0.025 and one pass.
 
-    More ``partitions`` train in parallel; raise ``min_count`` on a large
-    corpus, since Spark holds the vocabulary of the model on the driver.
+    ``partitions`` train in parallel, by default one per core of the session;
+    raise ``min_count`` on a large corpus, since Spark holds the vocabulary of
+    the model on the driver.
     """
+    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
     trainer = Word2Vec(
         vectorSize=size, minCount=min_count, seed=seed, numPartitions=partitions,
         inputCol=tokens, outputCol="vector", windowSize=5, stepSize=0.025, maxIter=1,
@@ -90,26 +93,26 @@ def synonyms(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         best: list[list[tuple]] = [[] for _ in names]
+        floor = np.full(len(names), -np.inf)
+        step = max(64, 4_000_000 // len(names))
         for batch in batches:
             words = np.array(batch.column(0).to_pylist(), dtype=object)
             points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, table.shape[1])
             norm = np.sqrt((points**2).sum(axis=1))
             points = points / np.where(norm > 0, norm, 1.0)[:, None]
-            for start in range(0, len(points), 8192):
-                block = words[start : start + 8192]
-                cosine = np.round(points[start : start + 8192] @ table.T, 6) + 0.0
-                for q, name in enumerate(names):
-                    column = cosine[:, q]
-                    floor = best[q][-1][0] if len(best[q]) == k else None
-                    if floor is None and len(column) > k + 1:
-                        cut = np.partition(column, len(column) - k - 1)[len(column) - k - 1]
-                        near = np.flatnonzero(column >= cut)
-                    elif floor is None:
-                        near = np.arange(len(column))
-                    else:
-                        near = np.flatnonzero(column >= -floor)
-                    found = [(-column[i], block[i]) for i in near if block[i] != name]
+            for start in range(0, len(points), step):
+                block = words[start : start + step]
+                cosine = np.round(points[start : start + step] @ table.T, 6) + 0.0
+                # Only queries that gain a row from this block are looked at one by one.
+                for q in np.flatnonzero((cosine >= floor).any(axis=0)):
+                    column, least = cosine[:, q], floor[q]
+                    if np.isinf(least) and len(column) > k + 1:
+                        least = np.partition(column, len(column) - k - 1)[len(column) - k - 1]
+                    near = np.flatnonzero(column >= least)
+                    found = [(-column[i], block[i]) for i in near if block[i] != names[q]]
                     best[q] = sorted(best[q] + found)[:k]
+                    if len(best[q]) == k:
+                        floor[q] = -best[q][-1][0]
         flat = [(names[q], w, -s) for q, rest in enumerate(best) for s, w in rest]
         yield pa.RecordBatch.from_arrays(
             [

@@ -67,6 +67,7 @@ def train_topic_model(
     max_iter: int = 1000,
     train_percent: int = 80,
     seed: int = 11,
+    min_count: int = 0,
     vectors: DataFrame | None = None,
 ) -> TopicSignatures:
     """One job for all variants, from (doc_id, topic, tokens) rows.
@@ -85,7 +86,7 @@ def train_topic_model(
     best = terms.top_tfidf_words_by_topic(postings, terms.topic_documents(docs), top_words)
     best = settle(best.withColumnRenamed("term", "word"), "top-words")
     if vectors is None:
-        vectors = settle(embed.word_vectors(embed.fit_word2vec(docs, size, seed=seed)), "vectors")
+        vectors = settle(embed.word_vectors(embed.fit_word2vec(docs, size, min_count, seed)), "vectors")
     size = embed.vector_size(vectors)
     selected = settle(embed_selected(vectors, best), "selected")
 
