@@ -12,10 +12,10 @@ from sigloom.scale import sized_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; an input with fewer splits than cores is dealt over the cores."""
+    """A test table; an input with fewer splits than cores is dealt over the cores by its first column."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,12 +39,13 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
 
 
-def hashed_word_vectors(spark: SparkSession, sf_dir: str, counted: DataFrame) -> DataFrame:
-    """(word, vec_id, vector) for a (term, …) vocabulary: each word gets the embedding its md5 points at."""
+def hashed_word_vectors(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """(word, df, vec_id, vector) of all words in ``rows``: each word gets the embedding its md5 points at."""
+    counted = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     vectors = embeddings(spark, sf_dir)
     size = vectors.agg(F.count(F.lit(1))).scalar()
     place = F.pmod(F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint"), size)
-    words = counted.select(F.col("term").alias("word"), place.alias("vec_id"))
+    words = counted.select(F.col("term").alias("word"), "df", place.alias("vec_id"))
     return sized_join(words, vectors.select("vec_id", "vector"), ["vec_id"], ["word"])
 
 

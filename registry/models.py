@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from registry.common import corpus, embeddings, table, tokens
-from registry.vectors import placed
+from registry.common import POSTINGS, WORDS, corpus, embeddings, table, tokens
+from registry.terms import topic_words
+from registry.vectors import _MAP, placed
+from sigloom.functions.paths import key_percent
 from sigloom.operators import classify, cluster, embed, evaluate, som, topics
 from sigloom.plans import signatures as plan
 from sigloom.scale import fresh_path, settle
@@ -54,8 +56,10 @@ def _variant(*choice):
 
 
 def _word2vec(spark, sf):
+    """Documents with the length of their mean vector; the numbers depend on the training order."""
     sentences = tokens(spark, sf).select("doc_id", "tokens")
-    return word2vec(spark, sf).transform(sentences).select("doc_id", vector_to_array("vector").alias("vector"))
+    means = word2vec(spark, sf).transform(sentences).select("doc_id", vector_to_array("vector").alias("vector"))
+    return means.select("doc_id", F.size("vector").cast("bigint").alias("size"))
 
 
 def _similar_words(spark, sf):
@@ -106,6 +110,13 @@ def _topics(optimizer, features="counts"):
     return lambda spark, sf: topics.describe_topics(_lda(spark, sf, optimizer, features), 10)
 
 
+def _topic_weights(spark, sf):
+    """Terms and total weight of each topic; the weights of a topic add up to 1."""
+    matrix = topics.topic_matrix(_lda(spark, sf, "online"))
+    sums = matrix.groupBy("topic").agg(F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("weight"))
+    return sums
+
+
 def _likelihood(spark, sf):
     value = topics.avg_log_likelihood(_lda(spark, sf, "em"))
     docs = corpus(spark, sf).agg(F.count(F.lit(1)).alias("documents"))
@@ -123,6 +134,14 @@ def _som_words(spark, sf):
     return model.words.select("word", F.col("vector")[0].alias("x"), F.col("vector")[1].alias("y"), "signature")
 
 
+def _som_parts(spark, sf):
+    """The words that got a signature, and whether they train or test the classifier."""
+    words = topic_model(spark, sf, "som", "kmeans", "nb").words
+    part = F.when(key_percent("word") < 80, "train").otherwise("test")
+    inside = F.col("vector")[0].between(0, GRID[0] - 1) & F.col("vector")[1].between(0, GRID[1] - 1)
+    return words.select("word", part.alias("part"), inside.alias("on_grid"))
+
+
 def _tree(fit):
     def run(spark, sf):
         """Label of an embedding from its place on a small map."""
@@ -138,6 +157,15 @@ def _sentences(spark, sf):
     return split_sentences(corpus(spark, sf).select("doc_id", "text"))
 
 
+def _score_ranges(spark, sf):
+    """Scored sentences with what must hold for each: a probability, a signature in range."""
+    scored = plan.score_sentences(_sentences(spark, sf), topic_model(spark, sf, "som", "kmeans", "forest"))
+    total = F.round(F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p), 6)
+    return scored.select(
+        "doc_id", "sent_no", "sentence", total.alias("total"), F.col("signature").between(0, SIGNATURES - 1).alias("known")
+    )
+
+
 def _score(*choice):
     def run(spark, sf):
         scored = plan.score_sentences(_sentences(spark, sf), topic_model(spark, sf, *choice))
@@ -164,7 +192,9 @@ def _sizes(spark, sf):
 
 QUERIES = {
     "word2vec": _word2vec,
-    "word_vectors": lambda spark, sf: word_vectors(spark, sf),
+    "word_vectors": lambda spark, sf: word_vectors(spark, sf).select(
+        "word", F.size("vector").cast("bigint").alias("size"), F.exists("vector", F.isnan).alias("broken")
+    ),
     "similar_words": _similar_words,
     "kmeans_fit": _kmeans,
     "kmeans_centers": _kmeans_centers,
@@ -175,9 +205,11 @@ QUERIES = {
     "lda_tfidf": _topics("online", "tfidf"),
     "lda_topic_lines": lambda spark, sf: topics.topic_lines(topics.describe_topics(_lda(spark, sf, "em"))),
     "topic_matrix": lambda spark, sf: topics.topic_matrix(_lda(spark, sf, "em")),
+    "topic_weights": _topic_weights,
     "lda_log_likelihood": _likelihood,
     "som_fit": _som_history,
     "som_words": _som_words,
+    "som_word_parts": _som_parts,
     "tree": _tree(classify.fit_tree),
     "forest": _tree(classify.fit_forest),
     "bayes": _tree(classify.fit_bayes),
@@ -190,11 +222,34 @@ QUERIES = {
     "train_topic_target": _variant("som", "kmeans", "tree", "topic"),
     "score_sentences": _score("som", "kmeans", "nb"),
     "score_sentences_topic": _score("som", "kmeans", "tree", "topic"),
+    "score_sentences_ranges": _score_ranges,
     "cluster_sentences": _cluster_sentences,
     "signature_sizes": _sizes,
 }
 
+# Places of the embeddings on a 4 x 4 map, split by key, and naive Bayes in closed form over the two grid numbers.
+_BAYES = """,
+points AS (SELECT label AS c, x, y, CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS part FROM placed),
+sums AS (SELECT c, count(*) AS n, sum(x) AS sx, sum(y) AS sy FROM points WHERE part < 80 GROUP BY c),
+model AS (SELECT c, ln((n + 1.0) / (sum(n) OVER () + count(*) OVER ())) AS prior,
+  ln((sx + 1.0) / (sx + sy + 2.0)) AS tx, ln((sy + 1.0) / (sx + sy + 2.0)) AS ty FROM sums),
+guessed AS (SELECT label, prediction FROM (
+  SELECT p.id, p.c AS label, m.c AS prediction,
+    row_number() OVER (PARTITION BY p.id ORDER BY m.prior + p.x * m.tx + p.y * m.ty DESC, m.c) AS place
+  FROM (SELECT *, row_number() OVER () AS id FROM points WHERE part >= 80) p CROSS JOIN model m) WHERE place = 1)"""
+
 ORACLE = {
+    "word2vec": "SELECT doc_id, 100 AS size FROM documents",
+    "word_vectors": "WITH " + WORDS + "SELECT DISTINCT term AS word, 100 AS size, false AS broken FROM words",
+    "topic_weights": "WITH " + WORDS + """SELECT CAST(t AS INTEGER) AS topic,
+        least(20000, (SELECT count(DISTINCT term) FROM words)) AS terms, 1.0::DOUBLE AS weight FROM range(10) r(t)""",
+    "som_word_parts": "WITH " + POSTINGS + f"""SELECT DISTINCT term AS word,
+        CASE WHEN CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part,
+        true AS on_grid FROM ({topic_words(1000)})""",
+    "score_sentences_ranges": """SELECT doc_id, CAST(unnest(range(len(s))) AS INTEGER) AS sent_no, unnest(s) AS sentence,
+        1.0::DOUBLE AS total, true AS known FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)""",
+    "bayes": "WITH " + _MAP + _BAYES + """SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction,
+        count(*) AS n FROM guessed GROUP BY ALL""",
     "saved_model": "SELECT count(*) AS n, count(*) AS same FROM embeddings",
     "signature_sizes": """WITH sizes AS (SELECT
           (SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) FROM documents) AS text_bytes,

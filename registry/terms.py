@@ -50,9 +50,8 @@ def _vocabulary(spark, sf):
 
 
 def _selected(spark, sf):
-    rows = postings(spark, sf)
-    best = _by_topic(200)(spark, sf).select(F.col("term").alias("word"))
-    vectors = hashed_word_vectors(spark, sf, terms.vocabulary(rows, 1 << 18, 1))
+    best = settle(_by_topic(200)(spark, sf).select(F.col("term").alias("word")).distinct(), "top-words")
+    vectors = hashed_word_vectors(spark, sf, postings(spark, sf))
     chosen = terms.select_vectors(vectors, best)
     total = F.aggregate("vector", F.lit(0.0), lambda a, v: a + v)
     return chosen.select("word", "vec_id", (F.round(total, 6) + 0.0).alias("total"))
@@ -98,7 +97,7 @@ QUERIES = {
 _N = "(SELECT count(*) FROM documents)"
 
 
-def _topic_sql(n, column="lang"):
+def topic_words(n, column="lang"):
     return f"""
       SELECT topic, term, score, df FROM (
         SELECT *, row_number() OVER (PARTITION BY topic ORDER BY score DESC, term) AS place FROM (
@@ -129,13 +128,13 @@ ORACLE = {
         SELECT doc_id, term, tf, round(tf * idf, 6) AS tfidf FROM postings JOIN idf USING (term)""",
     "top_words": "WITH " + POSTINGS + _top_sql("max(tf)"),
     "top_words_last": "WITH " + POSTINGS + _top_sql("arg_max(tf, doc_id)"),
-    "top_words_by_class": "WITH " + POSTINGS + _topic_sql(20),
-    "top_words_by_class_10000": "WITH " + POSTINGS + _topic_sql(10_000),
+    "top_words_by_class": "WITH " + POSTINGS + topic_words(20),
+    "top_words_by_class_10000": "WITH " + POSTINGS + topic_words(10_000),
     "union_classes": "WITH " + POSTINGS + f"""SELECT term, count(*) AS n, max(score) AS score
-        FROM ({_topic_sql(200)} UNION ALL {_topic_sql(200, 'source')}) GROUP BY term""",
+        FROM ({topic_words(200)} UNION ALL {topic_words(200, 'source')}) GROUP BY term""",
     "select_vectors": "WITH " + POSTINGS + "," + WORD_VECTORS + f"""
         SELECT word, vec_id, round(list_sum(vector), 6) + 0.0 AS total FROM word_vectors
-        WHERE word IN (SELECT term FROM ({_topic_sql(200)}))""",
+        WHERE word IN (SELECT term FROM ({topic_words(200)}))""",
     "distinct_top": "WITH " + POSTINGS + "SELECT DISTINCT term, tf FROM postings ORDER BY tf DESC, term LIMIT 1000",
     "encode_labels": """WITH ids AS (SELECT topic, CAST(row_number() OVER (ORDER BY topic) - 1 AS DOUBLE) AS label
           FROM (SELECT DISTINCT source AS topic FROM documents))

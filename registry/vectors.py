@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from registry.common import DIMS, POSTINGS, WORD_VECTORS, embeddings, hashed_word_vectors, long_vectors, postings
-from sigloom.operators import classify, cluster, embed, som, terms
+from sigloom.operators import classify, cluster, embed, som
 from sigloom.scale import settle, top_per_group
 
 GRID = (4, 4)
@@ -16,9 +16,9 @@ LINE = 8
 
 def _doc_means(spark, sf):
     rows = settle(postings(spark, sf), "postings")
-    vocabulary = terms.vocabulary(rows, 1 << 18, 2)
-    vectors = settle(hashed_word_vectors(spark, sf, vocabulary).select("word", "vector"), "word-vectors")
-    return long_vectors(embed.embed(rows, vectors, ["doc_id"]), ["doc_id"])
+    vectors = hashed_word_vectors(spark, sf, rows).filter(F.col("df") >= 2)
+    vectors = settle(vectors.select("word", "df", "vector"), "word-vectors")
+    return long_vectors(embed.embed(rows, vectors, ["doc_id"], weight="df"), ["doc_id"])
 
 
 def _signatures(spark, sf):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sigloom.functions.text import let
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -19,11 +20,6 @@ def _code_point(number: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once per row, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 _ENTITY = r"^(#x[0-9a-fA-F]+|#[0-9]+|[0-9A-Za-z_.:-]+);?"
 
 
@@ -43,14 +39,14 @@ def decode_entities(text: Column | str) -> Column:
     def one(part: Column) -> Column:
         # The part begins right behind an '&'.
         rest = F.substr(part, F.length(F.regexp_extract(part, _ENTITY, 0)) + 1)
-        found = F.concat(_let(F.regexp_extract(part, _ENTITY, 1), character), rest)
+        found = F.concat(let(F.regexp_extract(part, _ENTITY, 1), character), rest)
         return F.coalesce(found, F.concat(F.lit("&"), part))
 
     def decoded(whole: Column) -> Column:
         parts = F.transform(F.split(whole, "&"), lambda part, i: F.when(i == 0, part).otherwise(one(part)))
         return F.when(F.instr(whole, "&") == 0, whole).otherwise(F.array_join(parts, ""))
 
-    return _let(_col(text), decoded)
+    return let(_col(text), decoded)
 
 
 def _replace_all(text: Column, steps: list[tuple[str, str]]) -> Column:
@@ -102,7 +98,7 @@ def _inside_out(text: Column, opener: str, closer: str, steps: list[tuple[str, s
             whole.rlike(opener), F.aggregate(passes, whole, lambda text, _: _replace_all(text, steps))
         ).otherwise(whole)
 
-    return _let(text, strip)
+    return let(text, strip)
 
 
 def wiki_to_text(wikitext: Column | str, markup: bool = False) -> Column:
@@ -150,7 +146,7 @@ def wiki_to_text(wikitext: Column | str, markup: bool = False) -> Column:
     steps += [(r"</?[a-zA-Z][^>]*>", "")]
     text = _replace_all(text, steps)
     if markup:
-        text = _let(text, _number_items)
+        text = let(text, _number_items)
     return _trim_blank_lines(decode_entities(text))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,11 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def clean(text: Column | str, mode: str = "letters") -> Column:
     """Replace the characters that ``mode`` does not want.
 
@@ -57,8 +62,12 @@ def tokenize(text: Column | str, mode: str = "regex") -> Column:
     if mode == "simple":
         # Empty tokens at the end are dropped, all others stay.
         blank = F.array().cast("array<string>")
-        pieces = F.split(F.rtrim(F.lower(text), F.lit(" \t\n\x0b\f\r")), r"\s")
-        return F.when(text.rlike(r"^\s+$"), blank).otherwise(pieces)
+
+        def pieces(whole: Column) -> Column:
+            kept = F.rtrim(F.lower(whole), F.lit(" \t\n\x0b\f\r"))
+            return F.when(whole.rlike(r"\A\s+\z"), blank).otherwise(F.split(kept, r"\s"))
+
+        return let(text, pieces)
     if mode == "regex":
         return F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
     if mode == "space":

@@ -51,16 +51,21 @@ def vector_size(df: DataFrame, vector: str = "vector") -> int:
     return row[0]
 
 
-def embed(postings: DataFrame, vectors: DataFrame, keys: Sequence[str] = ("doc_id",), size: int | None = None) -> DataFrame:
+def embed(
+    postings: DataFrame, vectors: DataFrame, keys: Sequence[str] = ("doc_id",), size: int | None = None,
+    weight: str | None = None,
+) -> DataFrame:
     """Mean word vector of each document from (keys…, term, tf) rows.
 
     The mean is over all tokens: unknown words count as zero vectors.  A row
-    with null term (document without tokens) gives a zero vector.
+    with null term (document without tokens) gives a zero vector.  ``weight``
+    names a column of ``vectors`` with the rows per word, if it is known.
     """
     size = vector_size(vectors) if size is None else size
-    named = vectors.select(F.col("word").alias("term"), F.col("vector").alias("_v"))
+    known = [] if weight is None else [F.col(weight).alias("_weight")]
+    named = vectors.select(F.col("word").alias("term"), F.col("vector").alias("_v"), *known)
     # A vector is about 100 times as wide as a number, so fewer of them are broadcast.
-    joined = sized_join(postings, named, ["term"], keys, "left", max_rows=50_000)
+    joined = sized_join(postings, named, ["term"], keys, "left", "_weight" if known else None, max_rows=100_000)
     added = joined.groupBy(*keys).agg(
         sum_vectors(F.col("_v"), size, F.col("tf")).alias("_s"), F.sum("tf").alias("_n")
     )

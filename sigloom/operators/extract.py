@@ -88,10 +88,10 @@ def extract_triples(df: DataFrame, verbs: Sequence[str], sentence: str = "senten
 
 
 def thesaurus_lookup(words: DataFrame, synsets: DataFrame, k: int = 10) -> DataFrame:
-    """Up to ``k`` synonyms per word and part of speech from a (word, pos, synonym) table."""
+    """Up to ``k`` synonyms per word and part of speech of distinct words, from a (word, pos, synonym) table."""
     named = synsets.select("word", "pos", "synonym").distinct()
     kept = top_per_group(named, ["word", "pos"], [F.asc("synonym")], k, ["synonym"])
-    return sized_join(kept, words, ["word"], ["synonym"])
+    return sized_join(words, kept, ["word"], ["word"])
 
 
 EDGE_SCHEMA = "struct<edges: array<struct<start: string, rel: string, end: string, surfaceText: string>>>"

@@ -68,15 +68,18 @@ def lemmatize(terms: DataFrame, lexicon: DataFrame, spread_by: Sequence[str] = (
 def corpus_summary(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Documents, vocabulary, distinct terms summed over documents, and running tokens.
 
-    The vocabulary is counted from per-term counts, so no task holds it whole.
+    One pass: the counts per term add up to all three token figures, so no
+    task holds the vocabulary.
     """
-    per_doc = df.agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.coalesce(F.sum(F.size(F.array_distinct(tokens))), F.lit(0)).cast("bigint").alias("doc_terms"),
-        F.coalesce(F.sum(F.size(tokens)), F.lit(0)).cast("bigint").alias("tokens"),
+    counted = term_freq(df.select(tokens), tokens).groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("n")
     )
-    vocabulary_size = distinct_terms(df, tokens).agg(F.count(F.lit(1))).scalar()
-    return per_doc.select("documents", vocabulary_size.alias("vocabulary"), "doc_terms", "tokens")
+    documents = df.agg(F.count(F.lit(1))).scalar()
+    return counted.agg(
+        F.count(F.lit(1)).alias("vocabulary"),
+        F.coalesce(F.sum("df"), F.lit(0)).alias("doc_terms"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
+    ).select(documents.alias("documents"), "*")
 
 
 def vocabulary(postings: DataFrame, size: int = 1 << 18, min_df: int = 1) -> DataFrame:
@@ -120,7 +123,9 @@ def term_scores(
     keys = ["topic", "term"] if by_topic else ["term"]
     counted = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"), tf.alias("tf"))
     if by_topic:
-        counted = sized_join(counted, n_docs, ["topic"], ["term"], max_rows=MAX_TOPICS)
+        listed = bounded_rows(n_docs.select("topic", "n"), MAX_TOPICS, "topics")
+        sizes = postings.sparkSession.createDataFrame(listed, n_docs.select("topic", "n").schema)
+        counted = counted.join(F.broadcast(sizes), "topic")
         n = F.col("n")
     else:
         n = n_docs.scalar()

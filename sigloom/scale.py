@@ -19,8 +19,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Largest side table (rows) that is broadcast; counted before every broadcast.
-BROADCAST_ROWS = 200_000
+# Largest side table (rows of a word and a few numbers, below 100 MB) that is broadcast; counted before every broadcast.
+BROADCAST_ROWS = 1_000_000
 # A join key is hot when it holds at least this share of the rows, so at most 1/HOT_SHARE keys are hot.
 HOT_SHARE = 1e-4
 # Largest k handed straight to one ordered limit or one ranked window.
