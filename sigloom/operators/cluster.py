@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -63,9 +65,25 @@ def centers_table(spark: SparkSession, centers: np.ndarray) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, center array<double>")
 
 
-def fit_gmm(df: DataFrame, k: int = 100, max_iter: int = 100, seed: int = 11, vector: str = "vector") -> GaussianMixtureModel:
-    """Gaussian mixture by expectation maximization."""
-    return GaussianMixture(k=k, maxIter=max_iter, seed=seed).fit(with_features(df, vector).select("features"))
+def fit_gmm(
+    df: DataFrame, k: int = 100, max_iter: int = 100, seed: int = 11, vector: str = "vector", starts: int = 3
+) -> GaussianMixtureModel:
+    """Gaussian mixture with full covariances by expectation maximization.
+
+    Spark's trainer fails when a component loses all its rows; up to ``starts``
+    seeds are tried before that is reported.
+    """
+    points = with_features(df, vector).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for start in range(starts):
+            try:
+                return GaussianMixture(k=k, maxIter=max_iter, seed=seed + start).fit(points)
+            except Py4JJavaError as error:
+                if "MatrixNotSymmetric" not in str(error.java_exception):
+                    raise
+        raise ValueError(f"the rows do not support {k} components with full covariances; use fewer")
+    finally:
+        points.unpersist()
 
 
 def model_assign(df: DataFrame, model, keys: Sequence[str], vector: str = "vector", cluster: str = "cluster") -> DataFrame:

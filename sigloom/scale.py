@@ -29,6 +29,8 @@ DIRECT_K = 1_000
 CUT_LANES = 64
 # Lanes for rows whose join key is null.
 NULL_LANES = 10_000
+# Folders of local sessions that name none.
+_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,9 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="sigloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="sigloom-")
+    return _local_dirs[application]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
