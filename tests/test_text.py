@@ -18,7 +18,7 @@ def test_clean_modes(spark):
     assert one(spark, "a:b", lambda c: text.clean(c, "letters_nocolon")) == "ab"
     assert one(spark, "été of $5, word. ab1 x_y", lambda c: text.clean(c, "strict")) == "été     word  ab x y"
     assert one(spark, "a [b %]% c", lambda c: text.clean(c, "brackets")) == "a  b   c"
-    assert one(spark, "one\ttwo; three  four.", lambda c: text.clean(c, "ner")) == "one two three  four "
+    assert one(spark, "one\ttwo; three  four.", lambda c: text.clean(c, "ner")) == "one two three four "
 
 
 def test_tokenizers_match_spark(spark):
