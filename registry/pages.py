@@ -168,6 +168,10 @@ _LINK_STEPS = [
 ]
 # The test documents hold no list lines but the ones that begin with '#', '*', ':' or ';'.
 _PLAIN_STEPS = [*_LINK_STEPS, (r"(?m)^=+ *([^=\n]*?) *=+ *$", "\n\\1\n"), (r"'''?", ""), (r"(?m)^[*#:;].*$", ""), (r"</?[a-zA-Z][^>]*>", "")]
+_MARKUP_STEPS = [
+    *_LINK_STEPS, (r"(?m)^=+ *([^=\n]*?) *=+ *$", "\n\\1\n"), (r"(?m)^\*\*\*+ *", "--- "), (r"(?m)^\*\* *", "-- "),
+    (r"(?m)^\* *", "- "), (r"'''", "*"), (r"''", "/"), (r"</?[a-zA-Z][^>]*>", ""),
+]
 
 ORACLE = {
     "namespaces": "WITH " + _WIKI + """SELECT doc_id, title, CAST(CASE
@@ -193,6 +197,8 @@ ORACLE = {
     + "SELECT page_id, " + _chain("decoded", _BLANK_STEPS) + " AS plain FROM d",
     "wiki_to_text": "WITH " + _WIKI + ", d AS " + _decoded(_chain("text", _PLAIN_STEPS), "doc_id", "wiki")
     + "SELECT doc_id, " + _chain("decoded", _BLANK_STEPS) + " AS plain FROM d",
+    "wiki_to_text_markup": "WITH " + _WIKI + ", d AS " + _decoded(_chain("text", _MARKUP_STEPS), "doc_id", "wiki")
+    + "SELECT doc_id, " + _chain("decoded", _BLANK_STEPS) + " AS plain FROM d",
     "decode_entities": "SELECT page_id, decoded FROM "
     + _decoded("replace(html, '&copy;', '&#xA9;&#169&nosuch;&amp;lt;')", "page_id", "pages"),
     "top_titles": r"""WITH l AS (SELECT page_id, string_split(replace(replace(html, '<li><a href="/',

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from registry.common import POSTINGS, WORD_VECTORS, WORDS, corpus, hashed_word_vectors, postings, table, tokens
+from registry.common import POSTINGS, TOKENS, WORD_VECTORS, WORDS, corpus, hashed_word_vectors, postings, table, tokens
 from sigloom.operators import terms
 from sigloom.scale import settle
 
@@ -73,7 +74,11 @@ def _attached(spark, sf):
 
 
 def _hashed(spark, sf):
-    return terms.hashed_term_freq(tokens(spark, sf).select("doc_id", "tokens"), 100_000).select("doc_id", "features")
+    """Hashed counts: their total per document must be its number of tokens, whatever words share a bucket."""
+    rows = terms.hashed_term_freq(tokens(spark, sf).select("doc_id", "tokens"), 100_000)
+    counts = vector_to_array("features")
+    total = F.aggregate(counts, F.lit(0.0), lambda a, v: a + v).cast("bigint")
+    return rows.select("doc_id", F.size(counts).cast("bigint").alias("buckets"), total.alias("tokens"))
 
 
 QUERIES = {
@@ -121,6 +126,7 @@ ORACLE = {
     "vocabulary": "WITH " + POSTINGS + """SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS df
         FROM postings GROUP BY term ORDER BY n DESC, term LIMIT 262144""",
     "term_freq": "WITH " + POSTINGS + "SELECT doc_id, topic, term, tf FROM postings",
+    "term_freq_hashed": "WITH " + TOKENS + "SELECT doc_id, 100000 AS buckets, len(tokens) AS tokens FROM tokens",
     "idf": "WITH " + POSTINGS + f"""SELECT term, count(*) AS df, round(ln(({_N} + 1) / (count(*) + 1)), 6) AS idf
         FROM postings GROUP BY term""",
     "tfidf": "WITH " + POSTINGS + f""",

@@ -52,12 +52,24 @@ def decay(epoch: int, epochs: int, first: float, last: float) -> float:
 
 
 def initial_codebook(df: DataFrame, width: int, height: int, key: str, vector: str = "vector") -> Codebook:
-    """Start from the rows with the smallest key hash, reused in turn when there are fewer rows than units."""
+    """Start from the rows with the smallest key hash, reused in turn when there are fewer rows than units.
+
+    Only rows below a hash bound are ordered: about four times as many as
+    units, however many rows there are.
+    """
     units = width * height
-    picked = df.select(F.md5(F.col(key).cast("string")).alias("h"), F.col(key).alias("k"), as_doubles(vector).alias("v"))
-    rows = picked.orderBy("h", "k").limit(units).collect()
-    if not rows:
+    total = df.count()
+    if not total:
         raise ValueError("no rows to train on")
+    digest = F.md5(F.col(key).cast("string"))
+    hashed = df.select(digest.alias("h"), F.col(key).alias("k"), as_doubles(vector).alias("v"))
+    wanted = min(units, total)
+    rows: list = []
+    share = 4.0 * units / total
+    while len(rows) < wanted:
+        below = F.conv(F.substring("h", 1, 8), 16, 10).cast("bigint") < int(min(share, 1.0) * 2**32)
+        rows = hashed.filter(below).orderBy("h", "k").limit(wanted).collect()
+        share *= 4
     return Codebook(width, height, np.array([rows[u % len(rows)]["v"] for u in range(units)]))
 
 

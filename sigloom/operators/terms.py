@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.functions.text import strip_plural
-from sigloom.scale import bounded_rows, sized_join, top_n, top_per_group
+from sigloom.scale import bounded_rows, sized_join, spread_join, top_n, top_per_group
 
 MAX_TOPICS = 10_000
 
@@ -123,9 +123,13 @@ def term_scores(
     keys = ["topic", "term"] if by_topic else ["term"]
     counted = postings.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"), tf.alias("tf"))
     if by_topic:
-        listed = bounded_rows(n_docs.select("topic", "n"), MAX_TOPICS, "topics")
-        sizes = postings.sparkSession.createDataFrame(listed, n_docs.select("topic", "n").schema)
-        counted = counted.join(F.broadcast(sizes), "topic")
+        sizes = n_docs.select("topic", "n")
+        listed = sizes.limit(MAX_TOPICS + 1).collect()
+        if len(listed) <= MAX_TOPICS:
+            local = postings.sparkSession.createDataFrame(listed, sizes.schema)
+            counted = counted.join(F.broadcast(local), "topic")
+        else:
+            counted = spread_join(counted, sizes, ["topic"], ["term"])
         n = F.col("n")
     else:
         n = n_docs.scalar()

@@ -75,8 +75,11 @@ def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list[Row]:
 
 
 def within(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain count adds up in the tasks; a limit would send its rows through one.
+    """
+    return df.count() <= max_rows
 
 
 def spread_join(
@@ -90,7 +93,8 @@ def spread_join(
     """Join ``big`` with ``small`` (unique on ``on``) without piling a hot key on one task.
 
     ``weight`` names the column of ``small`` that holds how many rows of
-    ``big`` carry the key; without it the keys of ``big`` are counted.  A key
+    ``big`` carry the key (pass a settled table then, it is read several
+    times); without it the keys of ``big`` are counted.  A key
     holding a share s >= HOT_SHARE of the rows gets ceil(s / HOT_SHARE)
     lanes: its rows in ``big`` are dealt over the lanes by a hash of
     ``spread_by`` and its row in ``small`` is repeated once per lane.  At most

@@ -245,3 +245,35 @@ def test_key_split_is_stable(docs):
     again, _ = classify.key_split(docs.repartition(5), "doc_id", 60)
     assert {r.doc_id for r in train.collect()} == {r.doc_id for r in again.collect()}
     assert train.count() + test.count() == docs.count()
+
+
+def test_wiki_dump(spark, tmp_path):
+    dump = (
+        '<mediawiki xml:lang="en"><siteinfo><sitename>W</sitename></siteinfo>\n'
+        "<page>\n <title>A &amp; B</title><id>1</id>\n <revision><text xml:space=\"preserve\">one\n&lt;ref&gt;two &amp;amp; it&apos;s</text></revision>\n</page>\n"
+        "<page><title>Empty</title><revision><text bytes=\"0\" /></revision></page>\n</mediawiki>\n"
+    )
+    (tmp_path / "d.xml").write_text(dump)
+    got = {(r.title, r.text) for r in tables.read_wiki_dump(spark, str(tmp_path / "d.xml")).collect()}
+    assert got == {("A & B", "one\n<ref>two &amp; it's"), ("Empty", "")}
+    rows = spark.createDataFrame([(f"t{i}", f"x < {i} & \"y\" 'z'\nline {'w ' * 300}") for i in range(200)], "title string, text string")
+    tables.write_wiki_dump(rows.coalesce(1), str(tmp_path / "out"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        back = tables.read_wiki_dump(spark, str(tmp_path / "out"))
+        assert back.rdd.getNumPartitions() > 5
+        assert {(r.title, r.text.strip()) for r in back.collect()} == {(r.title, r.text.strip()) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_initial_codebook_is_the_smallest_hashes(spark, vectors):
+    import hashlib
+
+    ids = sorted((r.vec_id for r in vectors.collect()), key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))
+    by_id = {r.vec_id: r.vector for r in vectors.collect()}
+    book = som.initial_codebook(vectors.repartition(3), 2, 3, "vec_id")
+    assert np.allclose(book.weights, [by_id[i] for i in ids[:6]])
+    few = vectors.filter("vec_id < 4")
+    assert som.initial_codebook(few, 2, 3, "vec_id").weights.shape == (6, 64)
