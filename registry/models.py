@@ -6,10 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from registry.common import POSTINGS, WORDS, corpus, embeddings, table, tokens
+from registry.classify import ORACLE as CLASSIFY
 from registry.terms import topic_words
 from registry.vectors import _MAP, placed
 from sigloom.functions.paths import key_percent
 from sigloom.operators import classify, cluster, embed, evaluate, som, topics
+from sigloom.plans import documents
 from sigloom.plans import signatures as plan
 from sigloom.scale import fresh_path, settle
 from sigloom.sources import tables
@@ -174,6 +176,23 @@ def _score(*choice):
     return run
 
 
+def _documents(classifier):
+    def run(spark, sf):
+        trained = documents.train_document_classifier(tokens(spark, sf), classifier, 60, 1 << 18 if classifier == "nb" else 5000)
+        return evaluate.confusion(trained.predictions)
+
+    return run
+
+
+def _cluster_documents(spark, sf):
+    """Documents clustered on their mean vectors, written as ``doc;cluster`` lines, and counted from the file."""
+    rows = word2vec(spark, sf).transform(tokens(spark, sf)).select("doc_id", F.col("vector").alias("features"))
+    _, placed = documents.cluster_documents(rows, 5)
+    path = fresh_path(spark, "document-clusters")
+    tables.write_delimited(placed, path, ";")
+    return cluster.cluster_sizes(tables.read_delimited(spark, path, "doc_id bigint, cluster int", ";"))
+
+
 def _cluster_sentences(spark, sf):
     rows = _sentences(spark, sf)
     pipeline, kmeans = plan.fit_sentence_clusters(rows, 10, 50)
@@ -224,6 +243,10 @@ QUERIES = {
     "score_sentences_topic": _score("som", "kmeans", "tree", "topic"),
     "score_sentences_ranges": _score_ranges,
     "cluster_sentences": _cluster_sentences,
+    "cluster_documents": _cluster_documents,
+    "documents_nb": _documents("nb"),
+    "documents_tree": _documents("tree"),
+    "documents_forest": _documents("forest"),
     "signature_sizes": _sizes,
 }
 
@@ -238,6 +261,8 @@ guessed AS (SELECT label, prediction FROM (
     row_number() OVER (PARTITION BY p.id ORDER BY m.prior + p.x * m.tx + p.y * m.ty DESC, m.c) AS place
   FROM (SELECT *, row_number() OVER () AS id FROM points WHERE part >= 80) p CROSS JOIN model m) WHERE place = 1)"""
 
+CONFUSION = CLASSIFY["confusion"]
+
 ORACLE = {
     "word2vec": "SELECT doc_id, 100 AS size FROM documents",
     "word_vectors": "WITH " + WORDS + "SELECT DISTINCT term AS word, 100 AS size, false AS broken FROM words",
@@ -251,6 +276,8 @@ ORACLE = {
     "bayes": "WITH " + _MAP + _BAYES + """SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction,
         count(*) AS n FROM guessed GROUP BY ALL""",
     "saved_model": "SELECT count(*) AS n, count(*) AS same FROM embeddings",
+    # Trained on term counts by Spark ML, it must decide as the tables of ``nb_predict`` do.
+    "documents_nb": CONFUSION,
     "signature_sizes": """WITH sizes AS (SELECT
           (SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) FROM documents) AS text_bytes,
           CAST(sum(octet_length(encode('w' || vec_id)) + 8 * len(embedding)) AS BIGINT) AS vector_bytes,

@@ -72,7 +72,16 @@ def html_to_text(html: Column | str) -> Column:
 
 
 def _trim_blank_lines(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, r"[ \t]*\n[ \t]*", "\n"), r"\n\n+|^\n+", "\n\n")
+    """No blanks next to line ends, and at most one blank line in a row."""
+
+    def trimmed(lines: Column) -> Column:
+        def one(line: Column, i: Column) -> Column:
+            left = F.when(i == 0, line).otherwise(F.ltrim(line, F.lit(" \t")))
+            return F.when(i == F.size(lines) - 1, left).otherwise(F.rtrim(left, F.lit(" \t")))
+
+        return F.array_join(F.transform(lines, one), "\n")
+
+    return F.regexp_replace(let(F.split(text, "\n"), trimmed), r"\n\n+|^\n+", "\n\n")
 
 
 # Extensions of wiki text that hold no prose.
@@ -93,7 +102,8 @@ def _inside_out(text: Column, opener: str, closer: str, steps: list[tuple[str, s
 
     def strip(whole: Column) -> Column:
         marks = F.regexp_extract_all(whole, F.lit(f"{opener}|{closer}"), F.lit(0))
-        passes = F.sequence(F.lit(1), F.greatest(depth(marks), F.lit(1)))
+        closers = F.size(F.filter(marks, lambda mark: mark.rlike(f"^{closer}")))
+        passes = F.sequence(F.lit(1), F.greatest(F.least(depth(marks), closers), F.lit(1)))
         return F.when(
             whole.rlike(opener), F.aggregate(passes, whole, lambda text, _: _replace_all(text, steps))
         ).otherwise(whole)
@@ -101,14 +111,16 @@ def _inside_out(text: Column, opener: str, closer: str, steps: list[tuple[str, s
     return let(text, strip)
 
 
-def wiki_to_text(wikitext: Column | str, markup: bool = False) -> Column:
+def wiki_to_text(wikitext: Column | str, markup: bool = False, link_mark: str = "") -> Column:
     """Plain text of a wiki page.
 
     Templates, references, tables, galleries and formulas go, however deeply
     they are nested; links keep their anchor text, links with ':' in the target
     go.  Without ``markup`` list lines and emphasis marks go too; with it
     bullets become '-', numbered items '1.', bold '*', italics '/' and underline '_'.
+    ``link_mark`` is put before each link.
     """
+    shown = link_mark.replace("\\", r"\\").replace("$", r"\$") + "$1"
     steps = [(r"(?s)<!--.*?-->", "")]
     for tag in _WIKI_SKIPPED:
         steps += [(rf"(?i)<{tag}(?:\s[^>]*)?/>", ""), (rf"(?is)<{tag}(?:\s[^>/]*)?>.*?</{tag}\s*>", "")]
@@ -121,8 +133,8 @@ def wiki_to_text(wikitext: Column | str, markup: bool = False) -> Column:
         r"\]\]",
         [
             (r"\[\[[^\[\]|]*:[^\[\]]*\]\]", ""),
-            (r"\[\[[^\[\]|]*\|([^\[\]|]*)(?:\|[^\[\]]*)?\]\]", "$1"),
-            (r"\[\[([^\[\]|]*)\]\]", "$1"),
+            (r"\[\[[^\[\]|]*\|([^\[\]|]*)(?:\|[^\[\]]*)?\]\]", shown),
+            (r"\[\[([^\[\]|]*)\]\]", shown),
         ],
     )
     steps = [
@@ -152,15 +164,20 @@ def wiki_to_text(wikitext: Column | str, markup: bool = False) -> Column:
 
 def _number_items(text: Column) -> Column:
     """Number the '#' lines of each list: 1., 2., ... restarting after any other line."""
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
 
-    def step(state: Column, line: Column) -> Column:
-        item = line.startswith("#")
-        n = F.when(item, state["n"] + 1).otherwise(F.lit(0))
-        shown = F.when(item, F.concat(n.cast("string"), F.lit(". "), F.regexp_replace(line, "^#+ *", ""))).otherwise(line)
-        return F.struct(n.alias("n"), F.concat(state["out"], F.array(shown)).alias("out"))
+    def block(part: Column) -> Column:
+        # A part begins with its '#' lines, so the place of a line is its number.
+        lines = F.transform(
+            F.split(part, "\n"),
+            lambda line, i: F.when(
+                line.startswith("#"), F.concat((i + 1).cast("string"), F.lit(". "), F.regexp_replace(line, "^#+ *", ""))
+            ).otherwise(line),
+        )
+        return F.array_join(lines, "\n")
 
-    numbered = F.aggregate(F.split(text, "\n"), start, step, lambda state: F.array_join(state["out"], "\n"))
+    # A mark goes before every '#' line that follows another kind of line.
+    marked = F.regexp_replace(text, r"(?m)^(?!#)(.*)\n#", "$1\n\x01#")
+    numbered = F.array_join(F.transform(F.split(marked, "\x01"), block), "")
     # Pages without such lines skip the walk over their lines.
     return F.when(text.rlike(r"(?m)^#"), numbered).otherwise(text)
 

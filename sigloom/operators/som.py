@@ -44,6 +44,20 @@ def codebook_from_table(table: DataFrame) -> Codebook:
     return Codebook(width, height, np.array([r.weight for r in rows], dtype="float64"))
 
 
+def write_packed_codebook(codebook: Codebook, spark: SparkSession, path: str) -> None:
+    """All weights, unit by unit, one number per line."""
+    lines = [(repr(float(v)),) for v in codebook.weights.ravel()]
+    # A codebook is model-sized, and the order of its lines is its meaning, so it is one file.
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(path)
+
+
+def read_packed_codebook(spark: SparkSession, path: str, width: int, height: int) -> Codebook:
+    """A codebook from one number per line; the grid shape must be given, the vector size follows from it."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    numbers = [float(v) for r in sorted(bounded_rows(files, 10_000, "codebook files")) for v in r["value"].split()]
+    return Codebook(width, height, np.array(numbers).reshape(width * height, -1))
+
+
 def decay(epoch: int, epochs: int, first: float, last: float) -> float:
     """Linear decay from ``first`` to ``last`` over the epochs, then constant."""
     if epochs <= 1 or epoch >= epochs - 1:

@@ -277,3 +277,20 @@ def test_initial_codebook_is_the_smallest_hashes(spark, vectors):
     assert np.allclose(book.weights, [by_id[i] for i in ids[:6]])
     few = vectors.filter("vec_id < 4")
     assert som.initial_codebook(few, 2, 3, "vec_id").weights.shape == (6, 64)
+
+
+def test_packed_codebook(spark, tmp_path):
+    book = som.Codebook(2, 3, np.arange(24.0).reshape(6, 4) / 7)
+    som.write_packed_codebook(book, spark, str(tmp_path / "w"))
+    back = som.read_packed_codebook(spark, str(tmp_path / "w"), 2, 3)
+    assert (back.weights == book.weights).all()
+
+
+def test_document_classifiers(docs):
+    from sigloom.plans import documents
+
+    for kind in ("nb", "tree", "forest"):
+        found = documents.train_document_classifier(docs, kind, 60, 500)
+        assert evaluate.accuracy(found.predictions).first()[0] > 0.5
+    with pytest.raises(ValueError):
+        documents.train_document_classifier(docs, "other")

@@ -108,3 +108,10 @@ def test_links(spark):
     links = one(spark, "[[a]] [[b|c]]s [[d|e|f]]", markup.wiki_links)
     assert [(r.target, r.anchor) for r in links] == [("a", "a"), ("b", "cs"), ("d", "e")]
     assert one(spark, '<a href="/x" class="y">z</a>', markup.html_links)[0].anchor == "z"
+
+
+def test_link_mark_and_stray_braces(spark):
+    marked = one(spark, "see [[a]] and [[b|c]] $1", lambda c: markup.wiki_to_text(c, link_mark="$>"))
+    assert marked == "see $>a and $>c $1"
+    assert one(spark, "{{ " * 500 + "open }} end", markup.wiki_to_text) == "{{ " * 499 + " end"
+    assert one(spark, "{{{1|x}}} a {{b|{{{2}}}}} c", markup.wiki_to_text).split() == ["a", "c"]
