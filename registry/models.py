@@ -105,7 +105,7 @@ def _saved(spark, sf):
 def _lda(spark, sf, optimizer, features="counts"):
     rows = settle(tokens(spark, sf).select("doc_id", "tokens"), "tokens")
     return _once(spark, sf, f"lda-{optimizer}-{features}", lambda: topics.fit_lda(
-        rows, 10, optimizer, features, 20_000, max_iter=5))
+        rows, 10, optimizer, features, max_iter=5))
 
 
 def _topics(optimizer, features="counts"):
@@ -178,7 +178,7 @@ def _score(*choice):
 
 def _documents(classifier):
     def run(spark, sf):
-        trained = documents.train_document_classifier(tokens(spark, sf), classifier, 60, 1 << 18 if classifier == "nb" else 5000)
+        trained = documents.train_document_classifier(tokens(spark, sf), classifier)
         return evaluate.confusion(trained.predictions)
 
     return run
@@ -267,7 +267,7 @@ ORACLE = {
     "word2vec": "SELECT doc_id, 100 AS size FROM documents",
     "word_vectors": "WITH " + WORDS + "SELECT DISTINCT term AS word, 100 AS size, false AS broken FROM words",
     "topic_weights": "WITH " + WORDS + """SELECT CAST(t AS INTEGER) AS topic,
-        least(20000, (SELECT count(DISTINCT term) FROM words)) AS terms, 1.0::DOUBLE AS weight FROM range(10) r(t)""",
+        least(262144, (SELECT count(DISTINCT term) FROM words)) AS terms, 1.0::DOUBLE AS weight FROM range(10) r(t)""",
     "som_word_parts": "WITH " + POSTINGS + f"""SELECT DISTINCT term AS word,
         CASE WHEN CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part,
         true AS on_grid FROM ({topic_words(1000)})""",
