@@ -21,7 +21,7 @@ def _words(spark, sf):
     """(doc_id, pos, word): white-space words without punctuation at the end."""
     parts = F.filter(F.split("text", r"\s+"), lambda w: w != "")
     rows = corpus(spark, sf).select("doc_id", F.posexplode(parts).alias("pos", "word"))
-    return rows.withColumn("word", F.regexp_replace("word", r"[.,;:!?]+$", ""))
+    return rows.withColumn("word", F.rtrim("word", F.lit(".,;:!?")))
 
 
 def _tagged(spark, sf):

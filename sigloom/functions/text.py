@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,10 +102,18 @@ def content_words(text: Column | str) -> Column:
 
 def strip_plural(word: Column) -> Column:
     """The three-rule plural stemmer published by Harman (1991)."""
+
+    def ends(*suffixes: str) -> Column:
+        return reduce(or_, [word.endswith(x) for x in suffixes])
+
+    def without_last(n: int) -> Column:
+        return F.substring(word, F.lit(1), F.length(word) - n)
+
     return (
-        F.when(word.rlike("ies$") & ~word.rlike("[ea]ies$"), F.regexp_replace(word, "ies$", "y"))
-        .when(word.rlike("es$") & ~word.rlike("[aeo]es$"), F.regexp_replace(word, "s$", ""))
-        .when(word.rlike("s$") & ~word.rlike("(es|us|ss)$"), F.regexp_replace(word, "s$", ""))
+        F.when(~ends("s"), word)
+        .when(ends("ies") & ~ends("eies", "aies"), F.concat(without_last(3), F.lit("y")))
+        .when(ends("es") & ~ends("aes", "ees", "oes"), without_last(1))
+        .when(~ends("es", "us", "ss"), without_last(1))
         .otherwise(word)
     )
 

@@ -18,6 +18,8 @@ from sigloom.scale import bounded_rows, sized_join
 
 # Largest number of words whose neighbours are searched in one pass.
 MAX_QUERIES = 100_000
+# Largest vector table that is broadcast to average documents.
+BROADCAST_BYTES = 256 << 20
 
 
 def fit_word2vec(
@@ -64,8 +66,8 @@ def embed(
     size = vector_size(vectors) if size is None else size
     known = [] if weight is None else [F.col(weight).alias("_weight")]
     named = vectors.select(F.col("word").alias("term"), F.col("vector").alias("_v"), *known)
-    # A vector is about 100 times as wide as a number, so fewer of them are broadcast.
-    joined = sized_join(postings, named, ["term"], keys, "left", "_weight" if known else None, max_rows=100_000)
+    fitting = BROADCAST_BYTES // (8 * size + 100)
+    joined = sized_join(postings, named, ["term"], keys, "left", "_weight" if known else None, max_rows=fitting)
     added = joined.groupBy(*keys).agg(
         sum_vectors(F.col("_v"), size, F.col("tf")).alias("_s"), F.sum("tf").alias("_n")
     )
