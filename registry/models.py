@@ -46,7 +46,7 @@ def topic_model(spark, sf, reducer, signature, classifier, target="signature"):
     name = f"{reducer}-{signature}-{classifier}-{target}"
     return _once(spark, sf, name, lambda: plan.train_topic_model(
         tokens(spark, sf), reducer, signature, classifier, target, 1000, SIZE, GRID, EPOCHS, (6.0, 1.0),
-        SIGNATURES if signature != "gmm" else 4, 20 if signature == "gmm" else 100, vectors=word_vectors(spark, sf),
+        SIGNATURES if signature != "gmm" else 4, 20, vectors=word_vectors(spark, sf),
     ))
 
 

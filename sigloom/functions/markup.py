@@ -28,8 +28,8 @@ def decode_entities(text: Column | str) -> Column:
     named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
 
     def character(entity: Column) -> Column:
-        hexadecimal = F.conv(F.substring(entity, 3, 8), 16, 10).cast("bigint")
-        decimal = F.substring(entity, 2, 10).cast("bigint")
+        hexadecimal = F.conv(F.substring(entity, 3, 12), 16, 10).cast("bigint")
+        decimal = F.substring(entity, 2, 18).cast("bigint")
         return (
             F.when(entity.startswith("#x"), _code_point(hexadecimal))
             .when(entity.startswith("#"), _code_point(decimal))
