@@ -44,9 +44,10 @@ def word_vectors(spark, sf):
 
 def topic_model(spark, sf, reducer, signature, classifier, target="signature"):
     name = f"{reducer}-{signature}-{classifier}-{target}"
+    words = _once(spark, sf, "top-words", lambda: plan.top_words_table(tokens(spark, sf), 1000))
     return _once(spark, sf, name, lambda: plan.train_topic_model(
         tokens(spark, sf), reducer, signature, classifier, target, 1000, SIZE, GRID, EPOCHS, (6.0, 1.0),
-        SIGNATURES if signature != "gmm" else 4, 20, vectors=word_vectors(spark, sf),
+        SIGNATURES if signature != "gmm" else 4, 20, vectors=word_vectors(spark, sf), words=words,
     ))
 
 

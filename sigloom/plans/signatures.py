@@ -69,6 +69,7 @@ def train_topic_model(
     seed: int = 11,
     min_count: int = 0,
     vectors: DataFrame | None = None,
+    words: DataFrame | None = None,
 ) -> TopicSignatures:
     """One job for all variants, from (doc_id, topic, tokens) rows.
 
@@ -77,14 +78,13 @@ def train_topic_model(
     classifier  nb, tree or forest, from the reduced vector to the target
     target      signature: the signature id; topic: the topic in which the word scores best
     vectors     (word, vector) table to use instead of training Word2Vec
+    words       settled (topic, word, score) table to use instead of the best TF-IDF words of each topic
     """
     for value, known in ((reducer, ("som", "scale")), (signature, ("kmeans", "som", "gmm")),
                          (classifier, ("nb", "tree", "forest")), (target, ("signature", "topic"))):
         if value not in known:
             raise ValueError(f"{value} is not one of {', '.join(known)}")
-    postings = terms.term_freq(docs.select("doc_id", "topic", "tokens"))
-    best = terms.top_tfidf_words_by_topic(postings, terms.topic_documents(docs), top_words)
-    best = settle(best.withColumnRenamed("term", "word"), "top-words")
+    best = top_words_table(docs, top_words) if words is None else words
     if vectors is None:
         vectors = settle(embed.word_vectors(embed.fit_word2vec(docs, size, min_count, seed)), "vectors")
     size = embed.vector_size(vectors)
@@ -117,6 +117,13 @@ def train_topic_model(
     return model
 
 
+def top_words_table(docs: DataFrame, n: int = 10_000) -> DataFrame:
+    """Settled table (topic, rank, word, score, df) of the best TF-IDF words of each topic."""
+    postings = terms.term_freq(docs.select("doc_id", "topic", "tokens"))
+    best = terms.top_tfidf_words_by_topic(postings, terms.topic_documents(docs), n)
+    return settle(best.withColumnRenamed("term", "word"), "top-words")
+
+
 def embed_selected(vectors: DataFrame, words: DataFrame) -> DataFrame:
     """Vectors of the chosen words."""
     return terms.select_vectors(vectors, words)
