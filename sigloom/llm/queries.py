@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import secrets
+from sigloom.llm import secrets, simhash
 from sigloom.llm.common import table
 
 
@@ -23,6 +23,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return groups.select("doc_id", fingerprint, F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op7_simhash_dedup": op7_simhash_dedup,
 }
