@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import secrets, simhash
+from sigloom.llm import secrets, simhash, toxicity
 from sigloom.llm.common import table
 
 
@@ -23,6 +23,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, from a model that has not seen the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "spans")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
@@ -32,5 +40,6 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash_dedup": op7_simhash_dedup,
 }
