@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import secrets, simhash, toxicity
+from sigloom.llm import decontaminate, secrets, simhash, toxicity
 from sigloom.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that it leaks."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, from a model that has not seen the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +45,7 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op4_decontamination": op4_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_simhash_dedup": op7_simhash_dedup,
 }
