@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import decontaminate, secrets, simhash, toxicity
+from sigloom.llm import decontaminate, pieces, secrets, simhash, toxicity
 from sigloom.llm.common import table
 
 
@@ -23,6 +23,15 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and a digest of the text that they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = pieces.detokenize(pieces.tokenize(docs))
+    return decoded.select(
+        "doc_id", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"), F.expr("decoded <=> text").alias("exact")
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item that it leaks."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -45,6 +54,7 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_simhash_dedup": op7_simhash_dedup,
