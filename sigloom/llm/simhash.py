@@ -147,15 +147,42 @@ def links(marks: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.mapInArrow(_tile_links(max_bits), "a long, b long").distinct()
 
 
+def _components(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, label) of every fingerprint of a settled table."""
+    marks = settle(rows.select("fp").distinct(), "marks")
+    joined = connected_components(links(marks, max_bits)).withColumnRenamed("node", "fp")
+    return settle(marks.join(joined, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label")), "components")
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """(id, fp, component): the group of every row; its name is the smallest id that a chain of links reaches."""
     rows = docs.select(F.col(id_col).alias("_id"), fingerprints(text_of(text_col), size).alias("fp"))
     rows = settle(rows, "fingerprints")
-    marks = settle(rows.groupBy("fp").agg(F.min("_id").alias("_least")), "marks")
-    joined = connected_components(links(marks.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    named = marks.join(joined, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    names = named.groupBy("label").agg(F.min("_least").alias("component"))
-    groups = settle(named.select("fp", "label").join(names, "label").select("fp", "component"), "groups")
-    return rows.join(small(groups), "fp").select(F.col("_id").alias(id_col), "fp", "component")
+    groups = _components(rows, max_bits)
+    least = rows.groupBy("fp").agg(F.min("_id").alias("_least")).join(groups, "fp")
+    names = least.groupBy("label").agg(F.min("_least").alias("component"))
+    named = settle(groups.join(names, "label").select("fp", "component"), "groups")
+    return rows.join(small(named), "fp").select(F.col("_id").alias(id_col), "fp", "component")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the smallest id (nulls last); all columns stay.
+
+    Rows are told apart by two hashes of all their columns; of rows equal in every column one stays.
+    """
+    mark = [F.xxhash64(*docs.columns).alias("_k1"), F.xxhash64(F.lit(1), *docs.columns).alias("_k2")]
+    slim = settle(docs.select(*mark, F.col(id_col).alias("_id"), fingerprints(text_of(text_col)).alias("fp")), "rows")
+    groups = small(_components(slim))
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_k1", "_k2")
+    first = slim.join(groups, "fp").groupBy("label").agg(F.min(order).alias("_first"))
+    first = first.select("_first._k1", "_first._k2").join(slim.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("n")), ["_k1", "_k2"])
+    first = settle(first, "kept")
+    rows = docs.select(F.struct("*").alias("_row"), *mark)
+    kept = rows.join(small(first.filter("n = 1")), ["_k1", "_k2"], "left_semi")
+    repeated = first.filter("n > 1")
+    if repeated.limit(1).count():
+        again = rows.join(small(repeated), ["_k1", "_k2"], "left_semi").groupBy("_k1", "_k2").agg(F.first("_row").alias("_row"))
+        kept = kept.select("_row").unionByName(again.select("_row"))
+    return kept.select("_row.*")

@@ -1,0 +1,81 @@
+import re
+
+import sentencepiece
+
+import corpus_pipeline
+from sigloom.llm import pieces, toxicity
+from sigloom.llm.simhash import keep_one
+from llm.test_simhash import brute_components, brute_fingerprint
+
+SECRETS = [
+    (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8),
+    (re.compile(r"AKIA[A-Z0-9]+"), 0, 16),
+    (re.compile(r"[0-9a-f]+"), 0, 32),
+]
+
+
+def masked(text):
+    spans = sorted(m.span() for p, g, n in SECRETS for m in p.finditer(text) if len(m.group(g)) >= n)
+    out, at = "", 0
+    for a, b in spans:
+        if a > at or not (out or at):
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def words(text):
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def test_run_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = toxicity.fit_toxicity(toxicity.training_rows(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+    rows = sorted(docs.collect(), key=lambda r: r.doc_id)
+    scores = toxicity.Scorer(model).score([r.text for r in rows])["score"]
+    rows = [r for r, s in zip(rows, scores, strict=True) if s < 0.5]
+    groups = brute_components([brute_fingerprint(r.text) for r in rows], [r.doc_id for r in rows])
+    rows = [r for r, g in zip(rows, groups, strict=True) if r.doc_id == g]
+    grams = {}
+    for b in spark.read.parquet(f"{sf}/benchmark.parquet").collect():
+        own = words(b.text)
+        for i in range(len(own) - 7):
+            grams.setdefault(tuple(own[i : i + 8]), set()).add((b.item_id, i, len(own) - 7))
+
+    def leaks(text):
+        own, held = words(text), {}
+        for i in range(len(own) - 7):
+            for item, at, of in grams.get(tuple(own[i : i + 8]), ()):
+                held.setdefault((item, of), set()).add(at)
+        return any(len(at) >= 0.5 * of for (_, of), at in held.items())
+
+    want = {r.doc_id: (masked(r.text), r.lang, r.source) for r in rows if not leaks(r.text)}
+    got = corpus_pipeline.run(spark, sf)
+    assert got.columns == [*docs.columns, "token_ids", "n_tokens"]
+    got = got.collect()
+    assert {r.doc_id: (r.text, r.lang, r.source) for r in got} == want and len(got) == len(want)
+    library = sentencepiece.SentencePieceProcessor(model_proto=pieces.read_model())
+    assert all(r.token_ids == library.encode(r.text) and r.n_chars == len(r.text) for r in got)
+    assert any("[SECRET]" in r.text for r in got)
+
+
+def test_stages_keep_odd_rows(spark):
+    """Nulls, empty texts and repeated rows pass every stage; extra columns with clashing names stay."""
+    sf = "/root/testdata/sf0.001"
+    rows = [(None, "clean words of a text", "en", None, 21, 1), (1, None, None, "s", None, 2), (2, "", "en", "s", 0, None), (3, "w " * 40_000, "en", "s", 80_000, 3)]
+    docs = spark.createDataFrame(rows + rows[3:], "doc_id long, text string, lang string, source string, n_chars long, fp int")
+    out = docs
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, out, sf)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+    kept = sorted((r.doc_id is None, r.doc_id, r.n_tokens > 0) for r in out.collect())
+    assert kept == [(False, 1, False), (False, 3, True), (True, None, True)]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+
+
+def test_keep_one_of_equal_rows(spark):
+    rows = [(1, "a b c d", "x")] * 3 + [(None, "q r s t", "x"), (None, "q r s t", "y"), (4, "q r s t", "x"), (4, "q r s t", "z")]
+    got = keep_one(spark.createDataFrame(rows, "doc_id long, text string, n string")).collect()
+    assert sorted(r.doc_id for r in got) == [1, 4]
