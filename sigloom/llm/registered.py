@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpus_pipeline import ORACLE_SQL, run
-from sigloom.llm import oracle, queries
+from sigloom.llm import layout_queries, oracle, queries
 
-QUERIES = queries.QUERIES | {"pipeline": run}
+QUERIES = queries.QUERIES | layout_queries.QUERIES | {"pipeline": run}
 ORACLE = oracle.ORACLE | ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})
