@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import shards
+from sigloom.llm import chat, shards
 from sigloom.llm.common import table
 
 
@@ -17,6 +17,28 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and one made of control strings, formatted and read back."""
+    own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = chat.chains(own.unionByName(odd))
+    said = chat.format_chat(rows, "conv_id", "node", "parent", "role", "text", "score")
+    back = said.select(
+        "conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss")).alias("told")
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("told").cast("long").alias("loss_chars"),
+        F.sha2("told", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES = {
     "op8_sharding": op8_sharding,
+    "op9_chat_format": op9_chat_format,
 }

@@ -46,4 +46,23 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM rows_ LEFT JOIN told USING (row)
 """
 
-ORACLE = {"op1_secret_scans": SECRETS}
+_DOUBLED = "replace({0}, chr(92), chr(92) || chr(92))"
+_ESCAPED = (
+    "regexp_replace(" + _DOUBLED + r""", '(?i)(<)(\||/?s>|</?sys>>|(?:unk|pad|bos|eos)>)|(\[)(/?inst\])', '\1\3\\\2\4', 'g')"""
+)
+_MARKS = len("<|im_start|>" + "<|im_sep|>" + "<|im_end|>\n")
+
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({_MARKS} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLE = {"op1_secret_scans": SECRETS, "op9_chat_format": CHAT}
