@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import chat, shards
+from sigloom.llm import chat, shards, topk
 from sigloom.llm.common import table
 
 
@@ -38,7 +38,17 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every twentieth vector with all others."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("raw"))
+    rows = rows.filter(F.col("id").isNotNull() & topk.usable(F.col("raw")))
+    rows = rows.select("id", F.transform("raw", lambda x: F.floor(F.lit(64.0) * x).cast("double")).alias("vector"))
+    found = topk.nearest(rows, rows.filter(F.col("id") % 20 == 0), 20)
+    return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+
+
 QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_chat_format": op9_chat_format,
+    "op10_topk_search": op10_topk_search,
 }

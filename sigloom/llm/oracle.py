@@ -65,4 +65,16 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-ORACLE = {"op1_secret_scans": SECRETS, "op9_chat_format": CHAT}
+TOPK = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE = {"op1_secret_scans": SECRETS, "op9_chat_format": CHAT, "op10_topk_search": TOPK}
