@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import chat, shards, topk
+from sigloom.llm import chat, shards, topk, urls
 from sigloom.llm.common import table
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    judged = urls.filter_urls(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("bad", 6).alias("block_score"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, packed by bytes, tokens and rows."""
     placed = shards.assign_shards(table(spark, sf_dir, "documents"))
@@ -48,6 +54,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_url_filter": op3_url_filter,
     "op8_sharding": op8_sharding,
     "op9_chat_format": op9_chat_format,
     "op10_topk_search": op10_topk_search,
