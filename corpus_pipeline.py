@@ -17,7 +17,7 @@ from sigloom.scale import settle
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity below one half, by a model of the labelled rows that are not held out."""
-    model = toxicity.fit_toxicity(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return docs.filter(toxicity.toxicity(F.coalesce("text", F.lit("")), model)["score"] < 0.5)
 
 

@@ -40,7 +40,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, from a model that has not seen the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit_toxicity(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs, model)
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "spans")
 

@@ -1,7 +1,7 @@
 """Toxic spans with a linear-chain conditional random field.
 
-Training (``fit_toxicity``) uses a bounded sample of labelled rows: at most ``sample_docs`` of each class with at most
-``sample_chars`` characters, first by hash of the text, and ``sample_sentences`` sentences of these.  Word and prefix features that are much more frequent in toxic
+Training (``fit_toxicity``) uses a bounded sample of labelled rows: about ``sample_docs`` of each class, chosen by a hash
+of the id, those with at most ``sample_chars`` characters, and ``sample_sentences`` sentences of these.  Word and prefix features that are much more frequent in toxic
 documents make tokens of toxic documents positive, everything else negative, which gives labelled tokens.  A two-state
 chain over sentences is fitted to them by forward-backward gradients, then a logistic function of the document's
 marginals, weighted back to the share that toxic documents have among all training rows.
@@ -10,7 +10,7 @@ Scoring (``toxicity``) reads whole texts: forward-backward marginals of every se
 offsets of the tokens whose marginal is at least one half.
 
 Null, empty and wordless texts have no tokens: their score is the fitted function of no evidence, never an error.
-Without both classes among the training rows the score is the share of toxic rows (0 without any).  Repeated rows and
+Without both classes in the sample every score is that of the one class there is (0 without any).  Repeated rows and
 null ids get one result each.
 """
 
@@ -274,8 +274,36 @@ def strong_features(texts: dict[int, list[str]], least: int, ratio: float) -> li
     return sorted(f for f, c in counts[1].items() if c >= least and c * n0 >= ratio * (counts[0][f] + 1) * n1)
 
 
+def _sample(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, size: int, chars: int
+) -> tuple[dict[int, list[str]], dict[int, int]]:
+    """Texts by class, about ``size`` of each, and the number of labelled ids of each class.
+
+    Ids are chosen on the labels alone, by hash, so that only a bounded list of ids meets the documents and no text but
+    those of the sample is moved.  An id labelled twice counts once, as toxic if either label says so; of several texts
+    of an id one counts.
+    """
+    marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_toxic"))
+    marks = marks.filter(F.col("_toxic").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
+    marks = marks.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
+    counts = {r["_toxic"]: r["count"] for r in marks.groupBy("_toxic").count().collect()}
+    draw, whole = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)), 1 << 30
+    chosen = F.lit(False)
+    for label, count in counts.items():
+        chosen = chosen | ((F.col("_toxic") == label) & (draw < min(whole, -(-whole * size // count))))
+    texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
+    texts = texts.filter(F.length("_text").between(1, chars))
+    rows = texts.join(F.broadcast(marks.filter(chosen)), "_id").groupBy("_id", "_toxic").agg(F.min("_text").alias("_text"))
+    own = {0: [], 1: []}
+    for row in sorted(rows.select("_toxic", "_text").collect()):
+        own[row["_toxic"]].append(row["_text"])
+    return own, counts
+
+
 def fit_toxicity(
-    train: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
     *,
@@ -285,18 +313,12 @@ def fit_toxicity(
     least: int = 4,
     ratio: float = 10.0,
 ) -> Model:
-    """A model from rows with a text and a 0/1 label; rows without either are left out."""
-    rows = train.select(text_of(text_col).alias("_text"), F.col(label_col).cast("int").alias("_toxic"))
-    rows = rows.filter(F.col("_toxic").isin(0, 1) & (F.col("_text") != ""))
-    counts = {r["_toxic"]: r["count"] for r in rows.groupBy("_toxic").count().collect()}
+    """A model from the labelled documents that are not held out."""
+    texts, counts = _sample(docs, labels, id_col, text_col, label_col, sample_docs, sample_chars)
     model = Model()
-    if len(counts) < 2:
-        share = float(counts.get(1, 0) > 0)
-        model.link = np.array([40.0 if share else -40.0, 0, 0, 0])
+    if not (texts[0] and texts[1]):
+        model.link = np.array([40.0 if texts[1] else -40.0, 0, 0, 0])
         return model
-    short = rows.filter(F.length("_text") <= sample_chars)
-    order = [F.xxhash64("_text"), F.col("_text")]
-    texts = {y: [r["_text"] for r in short.filter(F.col("_toxic") == y).orderBy(*order).limit(sample_docs).collect()] for y in (0, 1)}
     names = strong_features(texts, least, ratio)
     number = {n: i for i, n in enumerate(names)}
     sentences = []
@@ -320,10 +342,10 @@ def fit_toxicity(
         step = -(-len(sentences) // sample_sentences)
         model = _fit_chain(sentences[::step], names)
     scorer = Scorer(model)
-    x = np.concatenate([scorer.evidence(texts[y])[0] for y in (0, 1) if texts[y]])
+    x = np.concatenate([scorer.evidence(texts[y])[0] for y in (0, 1)])
     y = np.array([0.0] * len(texts[0]) + [1.0] * len(texts[1]))
     # Back to the true shares of the classes.
-    weight = np.where(y == 1, counts[1] / max(len(texts[1]), 1), counts[0] / max(len(texts[0]), 1))
+    weight = np.where(y == 1, counts[1] / len(texts[1]), counts[0] / len(texts[0]))
     model.link = _fit_link(x, y, weight / weight.mean())
     return model
 
@@ -359,9 +381,3 @@ def held_out(id_col: Column) -> Column:
     """True for the fifth of the ids that no training may see: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
-
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled documents that are not held out; a document labelled twice counts once, as toxic if either says so."""
-    marks = labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(marks, "doc_id").select("text", "toxic")

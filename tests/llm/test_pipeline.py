@@ -31,7 +31,7 @@ def words(text):
 def test_run_against_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    model = toxicity.fit_toxicity(toxicity.training_rows(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     rows = sorted(docs.collect(), key=lambda r: r.doc_id)
     scores = toxicity.Scorer(model).score([r.text for r in rows])["score"]
     rows = [r for r, s in zip(rows, scores, strict=True) if s < 0.5]

@@ -50,8 +50,9 @@ def corpus(n=400):
 
 def test_held_out_accuracy_and_edges(spark):
     rows = corpus()
-    train = spark.createDataFrame([r[1:] for r in rows[:300]] + [(None, 1), ("", 0), ("x", None)], "text string, toxic int")
-    model = toxicity.fit_toxicity(train)
+    more = [(901, None, 1), (902, "", 0), (903, "x", None), (None, "y", 1), (1, "again", 0), (1, rows[1][1], 0)]
+    train = spark.createDataFrame(rows[:300] + more, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(train.select("doc_id", "text"), train)
     docs = spark.createDataFrame(
         [(r[0], r[1], "a") for r in rows[300:]] + [(None, "idiot", "b"), (-1, None, "b"), (-2, "", None), (-2, "", None), (-3, "ok " * 50_000, "c")],
         "doc_id long, text string, score string",
@@ -63,7 +64,8 @@ def test_held_out_accuracy_and_edges(spark):
     assert len(got[-2]) == 2 and got[-1][0].predicted == got[-2][0].predicted == got[-3][0].predicted == 0
     assert all(0 <= r.score <= 1 for own in got.values() for r in own) and got[-1][0].spans == []
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
-    alone = toxicity.fit_toxicity(train.filter("toxic = 0"))
+    alone = toxicity.fit_toxicity(train, train.filter("toxic = 0"))
+    assert not toxicity.fit_toxicity(train.limit(0), train.limit(0)).weights
     assert toxicity.score_toxicity(docs, alone).filter("predicted = 1").count() == 0
 
 
