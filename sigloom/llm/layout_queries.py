@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import chat, shards, topk, urls
+from sigloom.llm import chat, repeats, shards, topk, urls
 from sigloom.llm.common import table
 
 
@@ -15,6 +15,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("bad", 6).alias("block_score"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that repeated strings of 200 bytes cover, per document, and a digest of the others."""
+    rows = repeats.drop_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, packed by bytes, tokens and rows."""
     placed = shards.assign_shards(table(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_url_filter": op3_url_filter,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_chat_format": op9_chat_format,
     "op10_topk_search": op10_topk_search,
