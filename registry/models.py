@@ -268,7 +268,7 @@ ORACLE = {
     "word2vec": "SELECT doc_id, 100 AS size FROM documents",
     "word_vectors": "WITH " + WORDS + "SELECT DISTINCT term AS word, 100 AS size, false AS broken FROM words",
     "topic_weights": "WITH " + WORDS + """SELECT CAST(t AS INTEGER) AS topic,
-        least(262144, (SELECT count(DISTINCT term) FROM words)) AS terms, 1.0::DOUBLE AS weight FROM range(10) r(t)""",
+        (SELECT count(DISTINCT term) FROM words) AS terms, 1.0::DOUBLE AS weight FROM range(10) r(t)""",
     "som_word_parts": "WITH " + POSTINGS + f"""SELECT DISTINCT term AS word,
         CASE WHEN CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part,
         true AS on_grid FROM ({topic_words(1000)})""",

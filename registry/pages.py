@@ -84,7 +84,7 @@ def _dump(spark, sf):
 
 def _lines(spark, sf):
     path = fresh_path(spark, "lines")
-    tables.write_delimited(corpus(spark, sf).select("text"), path)
+    corpus(spark, sf).select("text").write.text(path)
     return read_lines(spark, path).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -47,7 +47,7 @@ def _union(spark, sf):
 
 
 def _vocabulary(spark, sf):
-    return terms.vocabulary(postings(spark, sf), 1 << 18).select("term", "n", "df")
+    return terms.vocabulary(postings(spark, sf)).select("term", "n", "df")
 
 
 def _selected(spark, sf):
@@ -124,7 +124,7 @@ ORACLE = {
         (SELECT count(*) FROM (SELECT DISTINCT doc_id, term FROM words)) AS doc_terms,
         (SELECT count(*) FROM words) AS tokens""",
     "vocabulary": "WITH " + POSTINGS + """SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS df
-        FROM postings GROUP BY term ORDER BY n DESC, term LIMIT 262144""",
+        FROM postings GROUP BY term""",
     "term_freq": "WITH " + POSTINGS + "SELECT doc_id, topic, term, tf FROM postings",
     "term_freq_hashed": "WITH " + TOKENS + "SELECT doc_id, 100000 AS buckets, len(tokens) AS tokens FROM tokens",
     "idf": "WITH " + POSTINGS + f"""SELECT term, count(*) AS df, round(ln(({_N} + 1) / (count(*) + 1)), 6) AS idf

@@ -96,7 +96,7 @@ kept AS (SELECT doc_id, regexp_replace(t, '([!-#%-\-/:-@\[-`{{-~0-9]|\x01)\s*',
 _LEMMA = r"""CASE
   WHEN regexp_matches(term, 'ies$') AND NOT regexp_matches(term, '[ea]ies$') THEN regexp_replace(term, 'ies$', 'y')
   WHEN regexp_matches(term, 'es$') AND NOT regexp_matches(term, '[aeo]es$') THEN regexp_replace(term, 's$', '')
-  WHEN regexp_matches(term, 's$') AND NOT regexp_matches(term, '(es|us|ss)$') THEN regexp_replace(term, 's$', '')
+  WHEN regexp_matches(term, 's$') AND NOT regexp_matches(term, '(us|ss)$') THEN regexp_replace(term, 's$', '')
   ELSE term END"""
 
 _PARTS = "list_slice(string_split(url, '/'), -2, -1)"

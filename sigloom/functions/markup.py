@@ -20,27 +20,30 @@ def _code_point(number: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
 
-_ENTITY = r"^(#x[0-9a-fA-F]+|#[0-9]+|[0-9A-Za-z_.:-]+);?"
+# A character reference behind its '&': hexadecimal or decimal without leading zeros, or a name.  A number with more
+# digits than the largest code point is no reference.
+_REFERENCE = (
+    r"^(?:#[xX]0*([0-9a-fA-F]{1,6})(?![0-9a-fA-F])"
+    r"|#0*([0-9]{1,7})(?![0-9])"
+    r"|([a-zA-Z][a-zA-Z0-9]*));?"
+)
 
 
 def decode_entities(text: Column | str) -> Column:
-    """Replace decimal, hexadecimal and named HTML entities; unknown ones stay as they are."""
-    named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
-
-    def character(entity: Column) -> Column:
-        hexadecimal = F.conv(F.substring(entity, 3, 12), 16, 10).cast("bigint")
-        decimal = F.substring(entity, 2, 18).cast("bigint")
-        return (
-            F.when(entity.startswith("#x"), _code_point(hexadecimal))
-            .when(entity.startswith("#"), _code_point(decimal))
-            .otherwise(F.element_at(named, entity))
-        )
+    """Replace decimal, hexadecimal and named HTML character references; unknown ones stay as they are."""
+    names = {**name2codepoint, "apos": ord("'")}
+    named = F.create_map(*[F.lit(x) for name, code in sorted(names.items()) for x in (name, chr(code))])
+
+    def character(part: Column) -> Column:
+        hexadecimal = F.conv(F.nullif(F.regexp_extract(part, _REFERENCE, 1), F.lit("")), 16, 10).cast("bigint")
+        decimal = F.nullif(F.regexp_extract(part, _REFERENCE, 2), F.lit("")).cast("bigint")
+        name = F.element_at(named, F.regexp_extract(part, _REFERENCE, 3))
+        return F.coalesce(_code_point(hexadecimal), _code_point(decimal), name)
 
     def one(part: Column) -> Column:
         # The part begins right behind an '&'.
-        rest = F.substr(part, F.length(F.regexp_extract(part, _ENTITY, 0)) + 1)
-        found = F.concat(let(F.regexp_extract(part, _ENTITY, 1), character), rest)
-        return F.coalesce(found, F.concat(F.lit("&"), part))
+        rest = F.substr(part, F.length(F.regexp_extract(part, _REFERENCE, 0)) + 1)
+        return F.coalesce(F.concat(character(part), rest), F.concat(F.lit("&"), part))
 
     def decoded(whole: Column) -> Column:
         parts = F.transform(F.split(whole, "&"), lambda part, i: F.when(i == 0, part).otherwise(one(part)))
@@ -182,27 +185,34 @@ def _number_items(text: Column) -> Column:
     return F.when(text.rlike(r"(?m)^#"), numbered).otherwise(text)
 
 
+# Namespace numbers by title prefix, in English and German.
+NAMESPACES = {"CATEGORY": -8, "KATEGORIE": -8, "IMAGE": 6, "BILD": 6, "TEMPLATE": 11, "VORLAGE": 11}
+# A page of another language has a prefix of up to three bytes, or this one.
+OTHER_LANGUAGE = -9
+LONG_LANGUAGE = "SIMPLE"
+
+
 def page_namespace(title: Column | str) -> Column:
-    """Namespace number from the title prefix: -8 category, -9 other language, 6 image, 11 template, else 0."""
-    title = _col(title)
-    prefix = F.trim(F.upper(F.substring_index(title, ":", 1)))
-    return (
-        F.when((F.instr(title, ":") == 0) | (prefix == ""), 0)
-        .when(prefix.isin("CATEGORY", "KATEGORIE"), -8)
-        .when((F.octet_length(prefix) < 4) | (prefix == "SIMPLE"), -9)
-        .when(prefix.isin("IMAGE", "BILD"), 6)
-        .when(prefix.isin("TEMPLATE", "VORLAGE"), 11)
-        .otherwise(0)
-    )
+    """Number of the namespace that the prefix of a title names; 0 without a known prefix."""
+    numbers = F.create_map(*[F.lit(x) for pair in NAMESPACES.items() for x in pair])
+
+    def number(prefix: Column) -> Column:
+        foreign = F.octet_length(prefix).between(1, 3) | (prefix == LONG_LANGUAGE)
+        return F.coalesce(F.element_at(numbers, prefix), F.when(foreign, OTHER_LANGUAGE), F.lit(0))
+
+    return let(F.trim(F.upper(F.regexp_extract(_col(title), "^([^:]*):", 1))), number)
+
+
+# A redirect page: the keyword, and a link whose page ends at a pipe or a section mark.
+_REDIRECT = r"(?i)^\s*#redirect\s*:?\s*\[\[\s*([^\[\]|#\n]+?)\s*(?:[|#][^\[\]\n]*)?\]\]"
 
 
 def redirect_target(text: Column | str) -> Column:
-    """Title a ``#REDIRECT [[title]]`` page points to, null for other pages."""
-    text = F.trim(_col(text))
-    rest = F.substring_index(F.substr(text, F.lit(10)), "\n", 1)
-    bare = F.trim(F.regexp_replace(rest, r"\[\[|\]\]", ""))
-    titled = F.concat(F.upper(F.substring(bare, 1, 1)), F.substr(bare, F.lit(2)))
-    return F.when(F.upper(F.substring(text, 1, 9)) == "#REDIRECT", titled)
+    """Title that a redirect page such as ``#REDIRECT [[title]]`` points to, null for other pages."""
+    return let(
+        F.nullif(F.regexp_extract(_col(text), _REDIRECT, 1), F.lit("")),
+        lambda page: F.concat(F.upper(F.left(page, F.lit(1))), F.substr(page, F.lit(2))),
+    )
 
 
 def wiki_links(wikitext: Column | str) -> Column:

@@ -113,7 +113,7 @@ def strip_plural(word: Column) -> Column:
         F.when(~ends("s"), word)
         .when(ends("ies") & ~ends("eies", "aies"), F.concat(without_last(3), F.lit("y")))
         .when(ends("es") & ~ends("aes", "ees", "oes"), without_last(1))
-        .when(~ends("es", "us", "ss"), without_last(1))
+        .when(~ends("us", "ss"), without_last(1))
         .otherwise(word)
     )
 

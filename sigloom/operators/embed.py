@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sigloom.functions.vectors import as_doubles, literal_array, sum_vectors
-from sigloom.operators.kernel import assign, shared_codebook
+from sigloom.operators.kernel import assign, matrix_of, shared_codebook
 from sigloom.scale import bounded_rows, sized_join
 
 # Largest number of words whose neighbours are searched in one pass.
@@ -23,16 +23,15 @@ BROADCAST_BYTES = 256 << 20
 
 
 def fit_word2vec(
-    df: DataFrame, size: int = 100, min_count: int = 0, seed: int = 11, partitions: int | None = None,
+    df: DataFrame, size: int = 100, min_count: int = 0, seed: int = 11, partitions: int = 8,
     tokens: str = "tokens",
 ) -> Word2VecModel:
     """Word2Vec with window 5, step 0.025 and one pass.
 
-    ``partitions`` train in parallel, by default one per core of the session;
-    raise ``min_count`` on a large corpus, since Spark holds the vocabulary of
-    the model on the driver.
+    ``partitions`` train in parallel and are averaged, so their number is part
+    of the model and does not follow the cluster; raise it, and ``min_count``,
+    on a large corpus, since Spark holds the vocabulary on the driver.
     """
-    partitions = partitions or df.sparkSession.sparkContext.defaultParallelism
     trainer = Word2Vec(
         vectorSize=size, minCount=min_count, seed=seed, numPartitions=partitions,
         inputCol=tokens, outputCol="vector", windowSize=5, stepSize=0.025, maxIter=1,
@@ -104,7 +103,7 @@ def synonyms(
         step = max(64, 4_000_000 // len(names))
         for batch in batches:
             words = np.array(batch.column(0).to_pylist(), dtype=object)
-            points = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, table.shape[1])
+            points = matrix_of(batch.column(1), table.shape[1])
             norm = np.sqrt((points**2).sum(axis=1))
             points = points / np.where(norm > 0, norm, 1.0)[:, None]
             for start in range(0, len(points), step):

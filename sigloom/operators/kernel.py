@@ -33,7 +33,10 @@ def shared_codebook(spark: SparkSession, codebook: np.ndarray):
     return spark.sparkContext.broadcast(codebook)
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
+def matrix_of(column: pa.Array, width: int) -> np.ndarray:
+    """The vectors of a batch as a matrix; a vector that is null or has another length is an error."""
+    if column.null_count or not np.all(column.value_lengths().to_numpy(zero_copy_only=False) == width):
+        raise ValueError(f"vectors must have {width} numbers, and none may be null")
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
@@ -73,7 +76,7 @@ def assign(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            best, d = nearest(_matrix(batch.column(len(keys)), width), table, norm)
+            best, d = nearest(matrix_of(batch.column(len(keys)), width), table, norm)
             columns = [batch.column(i) for i in range(len(keys))]
             columns += [pa.array(best, pa.int32()), pa.array(d, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*keys, unit, dist])
@@ -93,7 +96,7 @@ def unit_sums(df: DataFrame, vector: str, codebook: np.ndarray) -> DataFrame:
         error = np.zeros(units)
         total = np.zeros((units, width))
         for batch in batches:
-            points = _matrix(batch.column(0), width)
+            points = matrix_of(batch.column(0), width)
             best, d = nearest(points, table, "l2")
             count += np.bincount(best, minlength=units)
             error += np.bincount(best, weights=np.sqrt(d), minlength=units)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions.markup import html_links, ranked_title, redirect_target, wiki_links
 from sigloom.functions.text import sentence_lines
-from sigloom.scale import spread_join
+from sigloom.scale import sized_join, spread_join
 
 
 def page_links(pages: DataFrame, column: str, keys: Sequence[str], kind: str = "wiki") -> DataFrame:
@@ -31,9 +31,11 @@ def resolve_redirects(pages: DataFrame) -> DataFrame:
     marked = pages.select("title", "text", redirect_target("text").alias("target"))
     plain = marked.filter(F.col("target").isNull()).select("title", "target", "text")
     redirects = marked.filter(F.col("target").isNotNull()).select("title", "target")
-    found = spread_join(
-        redirects, pages.select(F.col("title").alias("target"), "text"), ["target"], ["title"], "left"
-    ).select("title", "target", F.coalesce("text", F.lit("")).alias("text"))
+    # Only pages that a redirect asks for go into the join.
+    asked = redirects.select("target").distinct()
+    named = pages.select(F.col("title").alias("target"), "text")
+    aims = sized_join(named, asked, ["target"], ["target"], "left_semi")
+    found = spread_join(redirects, aims, ["target"], ["title"], "left").select("title", "target", F.coalesce("text", F.lit("")).alias("text"))
     return plain.unionByName(found)
 
 

@@ -72,6 +72,7 @@ def initial_codebook(df: DataFrame, width: int, height: int, key: str, vector: s
     units, however many rows there are.
     """
     units = width * height
+    df = df.filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
     total = df.count()
     if not total:
         raise ValueError("no rows to train on")

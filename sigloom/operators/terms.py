@@ -82,11 +82,11 @@ def corpus_summary(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     ).select(documents.alias("documents"), "*")
 
 
-def vocabulary(postings: DataFrame, size: int = 1 << 18, min_df: int = 1) -> DataFrame:
-    """The ``size`` most frequent terms (term, n, df) of (doc_id, term, tf) rows."""
+def vocabulary(postings: DataFrame, size: int | None = None, min_df: int = 1) -> DataFrame:
+    """All terms (term, n, df) of (doc_id, term, tf) rows, or the ``size`` most frequent."""
     counted = postings.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
-    order = [F.desc("n"), F.asc("term")]
-    return top_n(counted.filter(F.col("df") >= min_df), order, size, ["term"])
+    kept = counted.filter(F.col("df") >= min_df)
+    return kept if size is None else top_n(kept, [F.desc("n"), F.asc("term")], size, ["term"])
 
 
 def _idf(n: Column, df: Column) -> Column:

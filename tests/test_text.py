@@ -54,9 +54,9 @@ def test_short_ngrams(spark):
 
 
 def test_plural_rule(spark):
-    words = ["ponies", "toes", "cats", "class", "virus", "pies", "houses", "dies", "a"]
+    words = ["ponies", "toes", "cats", "class", "virus", "pies", "houses", "dies", "a", "trees", "shoes"]
     got = [one(spark, w, text.strip_plural) for w in words]
-    assert got == ["pony", "toes", "cat", "class", "virus", "py", "house", "dy", "a"]
+    assert got == ["pony", "toe", "cat", "class", "virus", "py", "house", "dy", "a", "tree", "shoe"]
     assert one(spark, ["was", "cats"], lambda c: text.lemma_array(c, lexicon.IRREGULAR_LEMMAS), "array<string>") == ["be", "cat"]
 
 
@@ -70,6 +70,8 @@ def test_entities(spark):
     decode = markup.decode_entities
     assert one(spark, "a&amp;lt; &#169; &#xA9 &nosuch; &eacute;t&eacute; &", decode) == "a&lt; © © &nosuch; été &"
     assert one(spark, "&copy2008 &#0; &#x110000;", decode) == "&copy2008 &#0; &#x110000;"
+    assert one(spark, "&#x0000000000041; &#X42; &#0000000000000000000067; &apos;", decode) == "A B C '"
+    assert one(spark, "&#99999999; &#x1234567; &# &;", decode) == "&#99999999; &#x1234567; &# &;"
 
 
 def test_wiki_text(spark):
@@ -94,7 +96,10 @@ def test_namespaces_and_redirects(spark):
     for title, want in cases.items():
         assert one(spark, title, markup.page_namespace) == want, title
     assert one(spark, "#Redirect [[foo bar]]\nrest", markup.redirect_target) == "Foo bar"
-    assert one(spark, "plain", markup.redirect_target) is None
+    for source in ("#REDIRECT [[a|b]]", " #redirect: [[ a#part]] {{R}}", "#redirect[[A]]\n#redirect [[b]]"):
+        assert one(spark, source, markup.redirect_target) == "A"
+    for source in ("plain", "see #redirect [[a]]", "#REDIRECT a", None):
+        assert one(spark, source, markup.redirect_target) is None
 
 
 def test_titles(spark):
