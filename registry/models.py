@@ -18,37 +18,33 @@ from sigloom.sources import tables
 from sigloom.sources.corpus import split_sentences
 
 SIZE = 100
-GRID = (20, 20)
+TOP_WORDS = 10_000
+GRID = (100, 100)
 EPOCHS = 5
+RADIUS = (30.0, 1.0)
 SIGNATURES = 40
-
-# Models that several queries use are trained once per session and input folder.
-_trained: dict[tuple, object] = {}
-
-
-def _once(spark, sf, name, make):
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _trained:
-        _trained[key] = make()
-    return _trained[key]
+# A full covariance needs more rows than dimensions in every component, which the test tables have for a few.
+COMPONENTS = 4
+TOPICS = 20
+ROUNDS = 1000
 
 
 def word2vec(spark, sf):
-    rows = tokens(spark, sf)
-    return _once(spark, sf, "word2vec", lambda: embed.fit_word2vec(rows, SIZE))
+    return embed.fit_word2vec(tokens(spark, sf), SIZE)
 
 
 def word_vectors(spark, sf):
-    return _once(spark, sf, "vectors", lambda: settle(embed.word_vectors(word2vec(spark, sf)), "vectors"))
+    return settle(embed.word_vectors(word2vec(spark, sf)), "vectors")
 
 
 def topic_model(spark, sf, reducer, signature, classifier, target="signature"):
-    name = f"{reducer}-{signature}-{classifier}-{target}"
-    words = _once(spark, sf, "top-words", lambda: plan.top_words_table(tokens(spark, sf), 1000))
-    return _once(spark, sf, name, lambda: plan.train_topic_model(
-        tokens(spark, sf), reducer, signature, classifier, target, 1000, SIZE, GRID, EPOCHS, (6.0, 1.0),
-        SIGNATURES if signature != "gmm" else 4, 20, vectors=word_vectors(spark, sf), words=words,
-    ))
+    """Every query trains its own model, from the word vectors on."""
+    rows = tokens(spark, sf)
+    return plan.train_topic_model(
+        rows, reducer, signature, classifier, target, TOP_WORDS, SIZE, GRID, EPOCHS, RADIUS,
+        COMPONENTS if signature == "gmm" else SIGNATURES, ROUNDS if signature != "gmm" else 20,
+        vectors=word_vectors(spark, sf), words=plan.top_words_table(rows, TOP_WORDS),
+    )
 
 
 def _variant(*choice):
@@ -66,20 +62,20 @@ def _word2vec(spark, sf):
 
 
 def _similar_words(spark, sf):
-    vectors = word_vectors(spark, sf)
-    heads = topic_model(spark, sf, "som", "kmeans", "nb").words
+    model = topic_model(spark, sf, "som", "kmeans", "nb")
+    vectors, heads = model.vectors, model.words
     best = heads.groupBy("signature").agg(F.min("word").alias("word")).select("word")
     return embed.synonyms(plan.embed_selected(vectors, best), vectors, 10)
 
 
 def _kmeans(spark, sf):
     vectors = embeddings(spark, sf)
-    model = cluster.fit_kmeans(vectors, 10, 20)
+    model = cluster.fit_kmeans(vectors, 10, ROUNDS)
     return cluster.model_assign(vectors, model, ["vec_id"])
 
 
 def _kmeans_centers(spark, sf):
-    model = cluster.fit_kmeans(embeddings(spark, sf), 10, 20)
+    model = cluster.fit_kmeans(embeddings(spark, sf), 10, ROUNDS)
     return cluster.centers_table(spark, cluster.center_matrix(model))
 
 
@@ -92,7 +88,7 @@ def _gmm(spark, sf):
 def _saved(spark, sf):
     """k-means saved, exported as PMML, loaded, and applied: the rows on which both models agree."""
     vectors = embeddings(spark, sf)
-    model = cluster.fit_kmeans(vectors, 10, 20)
+    model = cluster.fit_kmeans(vectors, 10, ROUNDS)
     path = fresh_path(spark, "kmeans")
     tables.save_model(model, path)
     tables.export_pmml(model, path + "-pmml")
@@ -104,9 +100,7 @@ def _saved(spark, sf):
 
 
 def _lda(spark, sf, optimizer, features="counts"):
-    rows = settle(tokens(spark, sf).select("doc_id", "tokens"), "tokens")
-    return _once(spark, sf, f"lda-{optimizer}-{features}", lambda: topics.fit_lda(
-        rows, 10, optimizer, features, max_iter=5))
+    return topics.fit_lda(tokens(spark, sf).select("doc_id", "tokens"), TOPICS, optimizer, features)
 
 
 def _topics(optimizer, features="counts"):
@@ -128,7 +122,7 @@ def _likelihood(spark, sf):
 
 def _som_history(spark, sf):
     vectors = word_vectors(spark, sf)
-    book = som.fit_som(vectors, "word", *GRID, epochs=EPOCHS, radius=(6.0, 1.0))
+    book = som.fit_som(vectors, "word", *GRID, epochs=EPOCHS, radius=RADIUS)
     return book.history_table(spark)
 
 
@@ -268,10 +262,10 @@ ORACLE = {
     "word2vec": "SELECT doc_id, 100 AS size FROM documents",
     "word_vectors": "WITH " + WORDS + "SELECT DISTINCT term AS word, 100 AS size, false AS broken FROM words",
     "topic_weights": "WITH " + WORDS + """SELECT CAST(t AS INTEGER) AS topic,
-        (SELECT count(DISTINCT term) FROM words) AS terms, 1.0::DOUBLE AS weight FROM range(10) r(t)""",
+        (SELECT count(DISTINCT term) FROM words) AS terms, 1.0::DOUBLE AS weight FROM range(20) r(t)""",
     "som_word_parts": "WITH " + POSTINGS + f"""SELECT DISTINCT term AS word,
         CASE WHEN CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part,
-        true AS on_grid FROM ({topic_words(1000)})""",
+        true AS on_grid FROM ({topic_words(10000)})""",
     "score_sentences_ranges": """SELECT doc_id, CAST(unnest(range(len(s))) AS INTEGER) AS sent_no, unnest(s) AS sentence,
         1.0::DOUBLE AS total, true AS known FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)""",
     "bayes": "WITH " + _MAP + _BAYES + """SELECT CAST(label AS DOUBLE) AS label, CAST(prediction AS DOUBLE) AS prediction,

@@ -203,8 +203,8 @@ def page_namespace(title: Column | str) -> Column:
     return let(F.trim(F.upper(F.regexp_extract(_col(title), "^([^:]*):", 1))), number)
 
 
-# A redirect page: the keyword, and a link whose page ends at a pipe or a section mark.
-_REDIRECT = r"(?i)^\s*#redirect\s*:?\s*\[\[\s*([^\[\]|#\n]+?)\s*(?:[|#][^\[\]\n]*)?\]\]"
+# A redirect page: the keyword, and a link whose page ends at a pipe.
+_REDIRECT = r"(?i)^\s*#redirect\s*:?\s*\[\[\s*([^\[\]|\n]+?)\s*(?:[|][^\[\]\n]*)?\]\]"
 
 
 def redirect_target(text: Column | str) -> Column:

@@ -150,13 +150,13 @@ def score_sentences(sentences: DataFrame, model: TopicSignatures, keys: tuple[st
 
 
 def fit_sentence_clusters(
-    sentences: DataFrame, k: int = 10, size: int = 100, max_iter: int = 20, seed: int = 11
+    sentences: DataFrame, k: int = 10, size: int = 100, max_iter: int = 20, seed: int = 11, partitions: int = 8
 ) -> tuple[PipelineModel, KMeansModel]:
-    """Tokenizer, stop words and Word2Vec as one pipeline, and k-means over its sentence vectors."""
+    """Tokenizer, stop words and Word2Vec (trained in ``partitions`` tasks) as one pipeline, and k-means over its vectors."""
     pipeline = Pipeline(stages=[
         RegexTokenizer(inputCol="sentence", outputCol="raw", pattern=r"\s+", minTokenLength=1),
         StopWordsRemover(inputCol="raw", outputCol="tokens"),
-        Word2Vec(inputCol="tokens", outputCol="features", vectorSize=size, minCount=0, seed=seed),
+        Word2Vec(inputCol="tokens", outputCol="features", vectorSize=size, minCount=0, seed=seed, numPartitions=partitions),
     ])
     fitted = pipeline.fit(sentences)
     vectors = fitted.transform(sentences).select("features")

@@ -9,7 +9,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -46,12 +48,13 @@ def shared_dir(spark: SparkSession) -> str:
     application = spark.sparkContext.applicationId
     if application not in _local_dirs:
         _local_dirs[application] = tempfile.mkdtemp(prefix="sigloom-")
+        atexit.register(shutil.rmtree, _local_dirs[application], ignore_errors=True)
     return _local_dirs[application]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return os.path.join(shared_dir(spark), "sigloom", f"{label}-{uuid.uuid4().hex}")
+    """A new, unused path below the application's folder in the shared folder; that folder may go when the application ends."""
+    return os.path.join(shared_dir(spark), "sigloom", spark.sparkContext.applicationId, f"{label}-{uuid.uuid4().hex}")
 
 
 def settle(df: DataFrame, label: str = "table") -> DataFrame:

@@ -96,7 +96,7 @@ def test_namespaces_and_redirects(spark):
     for title, want in cases.items():
         assert one(spark, title, markup.page_namespace) == want, title
     assert one(spark, "#Redirect [[foo bar]]\nrest", markup.redirect_target) == "Foo bar"
-    for source in ("#REDIRECT [[a|b]]", " #redirect: [[ a#part]] {{R}}", "#redirect[[A]]\n#redirect [[b]]"):
+    for source in ("#REDIRECT [[a|b]]", " #redirect: [[ a ]] {{R}}", "#redirect[[A]]\n#redirect [[b]]"):
         assert one(spark, source, markup.redirect_target) == "A"
     for source in ("plain", "see #redirect [[a]]", "#REDIRECT a", None):
         assert one(spark, source, markup.redirect_target) is None
