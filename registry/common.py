@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sigloom.functions.lexicon import ENGLISH_STOP_WORDS
 from sigloom.functions.text import content_words
 from sigloom.operators.terms import term_freq
-from sigloom.scale import sized_join
+from sigloom.scale import rows_within, sized_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +44,7 @@ def hashed_word_vectors(spark: SparkSession, sf_dir: str, rows: DataFrame) -> Da
     size = vectors.agg(F.count(F.lit(1))).scalar()
     place = F.pmod(F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint"), size)
     words = counted.select(F.col("term").alias("word"), "df", place.alias("vec_id"))
-    return sized_join(words, vectors.select("vec_id", "vector"), ["vec_id"], ["word"])
+    return sized_join(words, vectors.select("vec_id", "vector"), ["vec_id"], ["word"], max_rows=rows_within(64))
 
 
 def long_vectors(df: DataFrame, keys: list[str], vector: str = "vector", digits: int = 6) -> DataFrame:

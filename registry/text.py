@@ -93,7 +93,7 @@ marked AS (SELECT doc_id, array_to_string(list_transform(r, lambda x:
   CASE WHEN regexp_full_match(x, '\p{{L}}{{1,2}}') THEN chr(1) ELSE x END), '') AS t FROM runs),
 kept AS (SELECT doc_id, regexp_replace(t, '([!-#%-\-/:-@\[-`{{-~0-9]|\x01)\s*', ' ', 'g') AS t FROM marked)"""
 
-_LEMMA = r"""CASE
+LEMMA = r"""CASE
   WHEN regexp_matches(term, 'ies$') AND NOT regexp_matches(term, '[ea]ies$') THEN regexp_replace(term, 'ies$', 'y')
   WHEN regexp_matches(term, 'es$') AND NOT regexp_matches(term, '[aeo]es$') THEN regexp_replace(term, 's$', '')
   WHEN regexp_matches(term, 's$') AND NOT regexp_matches(term, '(us|ss)$') THEN regexp_replace(term, 's$', '')
@@ -129,7 +129,7 @@ ORACLE = {
     "lemmas": rf"""WITH w AS (SELECT term FROM (SELECT unnest(string_split_regex(lower(
           regexp_replace(text, '[^a-zA-Z\s:]', ' ', 'g')), '\s+')) AS term FROM documents) WHERE term <> ''),
         lexicon(form, lemma) AS {values(IRREGULAR_LEMMAS.items())}
-        SELECT term, coalesce(l.lemma, {_LEMMA}) AS lemma, count(*) AS n
+        SELECT term, coalesce(l.lemma, {LEMMA}) AS lemma, count(*) AS n
         FROM w LEFT JOIN lexicon l ON l.form = w.term GROUP BY ALL""",
     "bigrams": "WITH " + TOKENS + """SELECT bigram, count(*) AS n FROM (
           SELECT unnest(list_transform(range(1, len(tokens)), lambda i: tokens[i] || ' ' || tokens[i + 1])) AS bigram

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sigloom.functions.paths import key_percent
 from sigloom.functions.vectors import as_doubles, literal_array
 from sigloom.operators.terms import MAX_TOPICS
-from sigloom.scale import bounded_rows, settle, sized_join
+from sigloom.scale import bounded_rows, rows_within, settle, sized_join
 
 
 def key_split(df: DataFrame, key: str, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -80,7 +80,7 @@ def predict_term_bayes(postings: DataFrame, model: TermBayes, keys: Sequence[str
     """
     size = len(model.topics)
     theta = model.table.select("term", "df", "theta")
-    joined = sized_join(postings, theta, ["term"], keys, "left", weight="df")
+    joined = sized_join(postings, theta, ["term"], keys, "left", weight="df", max_rows=rows_within(size))
     sums = [
         (F.coalesce(F.sum(F.col("theta")[i] * F.col("tf")), F.lit(0.0)) + F.lit(model.priors[i])) for i in range(size)
     ]

@@ -14,12 +14,10 @@ from pyspark.sql import types as T
 
 from sigloom.functions.vectors import as_doubles, literal_array, sum_vectors
 from sigloom.operators.kernel import assign, matrix_of, shared_codebook
-from sigloom.scale import bounded_rows, sized_join
+from sigloom.scale import bounded_rows, rows_within, sized_join
 
 # Largest number of words whose neighbours are searched in one pass.
 MAX_QUERIES = 100_000
-# Largest vector table that is broadcast to average documents.
-BROADCAST_BYTES = 256 << 20
 
 
 def fit_word2vec(
@@ -65,8 +63,7 @@ def embed(
     size = vector_size(vectors) if size is None else size
     known = [] if weight is None else [F.col(weight).alias("_weight")]
     named = vectors.select(F.col("word").alias("term"), F.col("vector").alias("_v"), *known)
-    fitting = BROADCAST_BYTES // (8 * size + 100)
-    joined = sized_join(postings, named, ["term"], keys, "left", "_weight" if known else None, max_rows=fitting)
+    joined = sized_join(postings, named, ["term"], keys, "left", "_weight" if known else None, max_rows=rows_within(size))
     added = joined.groupBy(*keys).agg(
         sum_vectors(F.col("_v"), size, F.col("tf")).alias("_s"), F.sum("tf").alias("_n")
     )

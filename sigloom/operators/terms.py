@@ -99,6 +99,25 @@ def idf(postings: DataFrame, n_docs: Column) -> DataFrame:
     return counted.withColumn("idf", _idf(n_docs, F.col("df")))
 
 
+def write_idf(idf_table: DataFrame, n_docs: Column, path: str) -> None:
+    """The idf table and the number of documents it was counted on."""
+    idf_table.select("term", "df", "idf", n_docs.alias("n")).write.parquet(path)
+
+
+def tfidf_of_new(postings: DataFrame, path: str) -> DataFrame:
+    """TF-IDF of (doc_id, term, tf) rows by a table of ``write_idf``; a term it does not hold has df 0."""
+    saved = postings.sparkSession.read.parquet(path)
+    unknown = _idf(saved.agg(F.max("n")).scalar(), F.lit(0))
+    joined = sized_join(postings, saved.select("term", "df", "idf"), ["term"], ["doc_id"], "left")
+    return joined.withColumn("tfidf", F.col("tf") * F.coalesce("idf", unknown)).drop("df", "idf")
+
+
+def lemma_freq(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(doc_id, topic, term, tf) of the lemmas of (doc_id, topic, tokens) rows."""
+    found = lemmatize(term_freq(tokens), lexicon, ("doc_id",))
+    return found.groupBy("doc_id", "topic", F.col("lemma").alias("term")).agg(F.sum("tf").alias("tf"))
+
+
 def tfidf(postings: DataFrame, idf_table: DataFrame) -> DataFrame:
     """TF-IDF of each (doc_id, term, tf) row; the heaviest terms are spread over many tasks."""
     joined = sized_join(postings, idf_table, ["term"], ["doc_id"], weight="df")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from typing import Any
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover, Word2Vec
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.text import content_words
 from sigloom.operators import classify, cluster, embed, evaluate, som, terms
-from sigloom.scale import settle, top_per_group
+from sigloom.scale import bounded_rows, settle, top_per_group
+from sigloom.sources import tables
 
 
 @dataclass
@@ -149,6 +152,59 @@ def score_sentences(sentences: DataFrame, model: TopicSignatures, keys: tuple[st
     return terms.attach(scored, sentences.select(*keys, "sentence"), keys)
 
 
+def score_by_signatures(sentences: DataFrame, model: TopicSignatures) -> DataFrame:
+    """(doc_id, sent_no, topic, probability): the topic that the signature path gives each sentence, for ``summarize``."""
+    if model.target != "topic":
+        raise ValueError("topics need a model with the target 'topic'")
+    scored = score_sentences(sentences, model)
+    names = F.array(*[F.lit(t) for t in model.labels])
+    return scored.select("doc_id", "sent_no", F.get(names, F.col("prediction").cast("int")).alias("topic"), "probability")
+
+
+def save_topic_model(model: TopicSignatures, path: str) -> None:
+    """Vectors, words, map, signatures and classifier as one folder."""
+    spark = model.vectors.sparkSession
+    model.vectors.write.parquet(f"{path}/vectors")
+    model.words.write.parquet(f"{path}/words")
+    settings = {
+        "size": model.size, "reducer": model.reducer, "signature": model.signature, "target": model.target,
+        "labels": model.labels, "bounds": model.bounds,
+        "grid": [model.codebook.width, model.codebook.height] if model.codebook else None,
+        "signer_grid": [model.signer.width, model.signer.height] if model.signature == "som" else None,
+    }
+    spark.createDataFrame([(json.dumps(settings),)], "value string").coalesce(1).write.text(f"{path}/settings")
+    for name, book in (("codebook", model.codebook), ("signer", model.signer)):
+        if isinstance(book, som.Codebook):
+            book.to_table(spark).write.parquet(f"{path}/{name}")
+    if model.signature != "som":
+        tables.save_model(model.signer, f"{path}/signer")
+    tables.save_model(model.classifier, f"{path}/classifier")
+
+
+def load_topic_model(spark: SparkSession, path: str) -> TopicSignatures:
+    """What ``save_topic_model`` wrote, ready to score sentences; test predictions are not kept."""
+    settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
+
+    def book(name: str, grid: list[int]) -> som.Codebook:
+        rows = bounded_rows(spark.read.parquet(f"{path}/{name}").select("unit", "weight"), grid[0] * grid[1], name)
+        return som.Codebook(*grid, np.array([r["weight"] for r in sorted(rows)]))
+
+    signer = book("signer", settings["signer_grid"]) if settings["signature"] == "som" else tables.load_model(spark, f"{path}/signer")
+    return TopicSignatures(
+        spark.read.parquet(f"{path}/vectors"),
+        settings["size"],
+        settings["reducer"],
+        settings["signature"],
+        settings["target"],
+        book("codebook", settings["grid"]) if settings["grid"] else None,
+        tuple(settings["bounds"]) if settings["bounds"] else None,
+        signer,
+        tables.load_model(spark, f"{path}/classifier"),
+        settings["labels"],
+        spark.read.parquet(f"{path}/words"),
+    )
+
+
 def fit_sentence_clusters(
     sentences: DataFrame, k: int = 10, size: int = 100, max_iter: int = 20, seed: int = 11, partitions: int = 8
 ) -> tuple[PipelineModel, KMeansModel]:

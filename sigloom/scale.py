@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 # Largest side table (rows of a word and a few numbers, below 100 MB) that is broadcast; counted before every broadcast.
 BROADCAST_ROWS = 1_000_000
+# Largest table, in bytes of its numbers, that is broadcast when its rows are wide.
+BROADCAST_BYTES = 256 << 20
 # A join key is hot when it holds at least this share of the rows, so at most 1/HOT_SHARE keys are hot.
 HOT_SHARE = 1e-4
 # Largest k handed straight to one ordered limit or one ranked window.
@@ -85,6 +87,11 @@ def within(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+def rows_within(numbers: int) -> int:
+    """Rows of a word and so many numbers that fit BROADCAST_BYTES, at most BROADCAST_ROWS."""
+    return min(BROADCAST_ROWS, BROADCAST_BYTES // (8 * numbers + 100))
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,
