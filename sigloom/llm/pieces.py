@@ -17,21 +17,23 @@ rows are encoded alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import os
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-# Encoded words and checked pairs that a task remembers; emptied when full.
-_CACHE = 300_000
+# Encoded words (and twice as many checked pairs) that a task remembers; emptied when full.
+_CACHE = 200_000
 
 
 def read_model(path: str = MODEL_PATH) -> bytes:
@@ -86,6 +88,10 @@ class Vocabulary:
         self.bytes = {int(pieces[i][1:-1], 16): i for i, kind in enumerate(kinds) if kind == 6}
         self.unknown = next((i for i, kind in enumerate(kinds) if kind == 2), 0)
         self.longest = max(map(len, self.ids), default=1)
+        # The length of the longest piece that ends with a character.
+        self.reach: dict[str, int] = {}
+        for piece in self.ids:
+            self.reach[piece[-1]] = max(self.reach.get(piece[-1], 1), len(piece))
         self.worst = min(scores, default=0.0) - 10.0
         raw = [p.replace(SPACE, " ").encode() for p in pieces]
         for value, i in self.bytes.items():
@@ -103,7 +109,8 @@ class Vocabulary:
         for a, b in beside:
             self.joined[self.number[ord(a)], self.number[ord(b)]] = True
         self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.spines: dict[str, tuple[list, list, bool, bool]] = {}
 
     # Words
 
@@ -144,29 +151,71 @@ class Vocabulary:
             offer(a, after[a])
         return [p for p in parts if p is not None]
 
-    def follows(self, left: str, right: str) -> bool:
-        """True if merging left + right leaves these two pieces."""
-        key = (left, right)
-        if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) >= _CACHE:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(left + right) == ([left, right] if left else [right])
+    def edges(self, piece: str) -> tuple[list, list, bool, bool]:
+        """The symbols at the left and at the right end of a piece while it is merged: (symbol, made at, gone at).
+
+        Also whether merging leaves the piece whole, and whether scores fall along both edges.  Scores stand for time:
+        merges happen in falling order of their scores.
+        """
+        if (known := self.spines.get(piece)) is not None:
+            return known
+        parts = list(piece)
+        left, right = [[parts[0], np.inf, -np.inf]], [[parts[-1], np.inf, -np.inf]]
+        while len(parts) > 1:
+            best, at = -np.inf, -1
+            for i in range(len(parts) - 1):
+                if (n := self.ids.get(parts[i] + parts[i + 1])) is not None and self.scores[n] > best:
+                    best, at = self.scores[n], i
+            if at < 0:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if at == 0:
+                left[-1][2] = best
+                left.append([parts[0], best, -np.inf])
+            if at == len(parts) - 1:
+                right[-1][2] = best
+                right.append([parts[-1], best, -np.inf])
+        falling = all(made > gone for edge in (left, right) for _, made, gone in edge)
+        known = self.spines[piece] = (left, right, parts == [piece], falling)
         return known
 
-    def _bpe_state(self, word: str, at: int, starts: list[int]) -> int:
-        """Where the last piece of the prefix ``word[:at]`` begins."""
-        ids = self.ids
-        for begin in range(max(0, at - self.longest), at):
-            piece = word[begin:at]
-            if piece in ids:
-                # The piece before begins where the state there says; -1 stands for nothing before.
-                left = word[starts[begin] : begin] if begin else ""
-                if left in ids or not left:
-                    if self.follows(left, piece):
-                        return begin
-                elif self.follows("", piece):
-                    return begin
-        return at - 1
+    def follows(self, left: int, right: int) -> bool:
+        """True if merging two pieces leaves them as they are; left may be -1 for nothing or a loose character."""
+        if left < 0:
+            return self.edges(self.names[right])[2]
+        a, b = self.names[left], self.names[right]
+        return self._apart(a, b, self.edges(a), self.edges(b))
+
+    def _apart(self, left: str, right: str, before: tuple, after: tuple) -> bool:
+        if not (before[2] and after[2]):
+            return False
+        if not (before[3] and after[3]):
+            return self.merged(left + right) == [left, right]
+        # The border is crossed if two symbols stand there at one time and merge before either merges elsewhere; of
+        # equal scores the merge further left comes first.
+        for x, made_x, gone_x in before[1]:
+            for y, made_y, gone_y in after[0]:
+                if made_y > gone_x and made_x >= gone_y and (n := self.ids.get(x + y)) is not None:
+                    score = self.scores[n]
+                    if score > gone_x and score >= gone_y:
+                        return False
+        return True
+
+    def _bpe_states(self, word: str, shared: int, starts: list[int], lasts: list[int]) -> None:
+        """Extends the states (where the last piece begins, its id or -1) from the shared prefix to the whole word."""
+        find, known, reach, pairs = self.ids.get, self.pairs.get, self.reach.get, self.pairs
+        for at in range(shared + 1, len(word) + 1):
+            start, last = at - 1, -1
+            for begin in range(max(0, at - reach(word[at - 1], 1)), at):
+                if (right := find(word[begin:at])) is not None:
+                    key = (lasts[begin] << 24) + right
+                    if (fits := known(key)) is None:
+                        fits = pairs[key] = self.follows(lasts[begin], right)
+                    if fits:
+                        start, last = begin, right
+                        break
+            starts.append(start)
+            lasts.append(last)
 
     def _best_state(self, word: str, at: int, best: list[float]) -> tuple[float, int]:
         """(best score, where the last piece begins) of the prefix ``word[:at]``."""
@@ -179,8 +228,10 @@ class Vocabulary:
         return found, where
 
     def learn(self, words: set[str]) -> None:
-        """Encodes new words in the order of their trie; ``starts`` and ``best`` are the stack of forward states."""
-        last, starts, best = "", [0], [0.0]
+        """Encodes new words in the order of their trie; the lists are stacks of forward states."""
+        if len(self.pairs) >= 2 * _CACHE:
+            self.pairs.clear()
+        last, starts, lasts, best = "", [0], [-1], [0.0]
         for word in sorted(words):
             if self.bpe and word.startswith(SPACE * 2):
                 # Runs of spaces all merge at one score, where only the order of the merges decides.
@@ -189,11 +240,11 @@ class Vocabulary:
             shared, most = 0, min(len(last), len(word))
             while shared < most and last[shared] == word[shared]:
                 shared += 1
-            del starts[shared + 1 :], best[shared + 1 :]
-            for at in range(shared + 1, len(word) + 1):
-                if self.bpe:
-                    starts.append(self._bpe_state(word, at, starts))
-                else:
+            del starts[shared + 1 :], lasts[shared + 1 :], best[shared + 1 :]
+            if self.bpe:
+                self._bpe_states(word, shared, starts, lasts)
+            else:
+                for at in range(shared + 1, len(word) + 1):
                     score, where = self._best_state(word, at, best)
                     best.append(score)
                     starts.append(where)
@@ -218,15 +269,12 @@ class Vocabulary:
             cuts.append([self.cut(p) if p else [] for p in parts] if text else [])
         if len(self.words) >= _CACHE:
             self.words.clear()
-        new = {w for cut in cuts for words in cut for w in words}.difference(self.words)
-        self.learn(new)
+        self.learn({w for cut in cuts for words in cut for w in words}.difference(self.words))
         known, mark = self.words.__getitem__, tuple(self._loose(SPACE))
         out = []
         for cut in cuts:
-            ids = chain.from_iterable(
-                chain(mark if i else (), chain.from_iterable(map(known, words))) for i, words in enumerate(cut)
-            )
-            out.append(np.fromiter(ids, dtype=np.int32))
+            each = (chain(mark if i else (), chain.from_iterable(map(known, words))) for i, words in enumerate(cut))
+            out.append(np.fromiter(chain.from_iterable(each), dtype=np.int32))
         return out
 
     def decode(self, ids) -> str:
@@ -235,39 +283,72 @@ class Vocabulary:
         return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
-def _runs(texts: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
-    """Consecutive texts of about so many characters."""
+def _runs(texts: pa.Array, room: int = 1 << 20) -> Iterator[pa.Array]:
+    """Slices of about so many bytes."""
     at = 0
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     while at < len(texts):
-        to, room = at + 1, chars - len(texts[at])
-        while to < len(texts) and len(texts[to]) <= room:
-            room -= len(texts[to])
-            to += 1
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + room, side="right")))
         yield texts[at:to]
         at = to
 
 
+def _lists(ids: list[np.ndarray | None]) -> pa.Array:
+    """An Arrow array of lists."""
+    ends = np.cumsum([0] + [0 if x is None else len(x) for x in ids]).astype(np.int32)
+    values = np.concatenate([x for x in ids if x is not None] or [np.empty(0, np.int32)])
+    empty = pa.array([x is None for x in ids], type=pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, type=pa.int32()), mask=empty)
+
+
+def _known(vocabulary: Vocabulary, run: pa.Array) -> tuple[list[str | None], list[np.ndarray | None]]:
+    texts = run.to_pylist()
+    ids = vocabulary.encode_all([t or "" for t in texts])
+    return texts, [None if t is None else x for t, x in zip(texts, ids, strict=True)]
+
+
 def encode(text: Column, model) -> Column:
     """array<int>: the ids of a text; ``model`` is the broadcast model file."""
 
-    @pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = Vocabulary(model.value)
         for texts in batches:
-            out = [x for run in _runs([t or "" for t in texts]) for x in vocabulary.encode_all(run)]
-            yield pd.Series([x if t is not None else None for x, t in zip(out, texts, strict=True)], dtype=object)
+            for run in _runs(texts):
+                yield _lists(_known(vocabulary, run)[1])
 
     return ids(text)
 
 
+def encode_checked(text: Column, model) -> Column:
+    """struct<ids, sha256, exact>: the ids, a digest of the text that they decode to, and whether it is the text."""
+
+    @arrow_udf("struct<ids: array<int>, sha256: string, exact: boolean>")
+    def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        vocabulary = Vocabulary(model.value)
+        for texts in batches:
+            for run in _runs(texts):
+                own, ids = _known(vocabulary, run)
+                back = [None if x is None else vocabulary.decode(x.tolist()) for x in ids]
+                digests = [None if t is None else hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back]
+                same = [a == b for a, b in zip(own, back, strict=True)]
+                yield pa.StructArray.from_arrays(
+                    [_lists(ids), pa.array(digests, type=pa.string()), pa.array(same)], names=["ids", "sha256", "exact"]
+                )
+
+    return checked(text)
+
+
 def decode(ids: Column, model) -> Column:
     """The text of an array of ids."""
 
-    @pandas_udf("string")
-    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @arrow_udf("string")
+    def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocabulary = Vocabulary(model.value)
         for arrays in batches:
-            yield pd.Series([None if a is None else vocabulary.decode(a) for a in arrays], dtype=object)
+            for at in range(0, len(arrays), 256):
+                run = arrays[at : at + 256].to_pylist()
+                yield pa.array([None if x is None else vocabulary.decode(x) for x in run], type=pa.string())
 
     return text(ids)
 

@@ -25,10 +25,14 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of the text that they decode to."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = pieces.detokenize(pieces.tokenize(docs))
-    return decoded.select(
-        "doc_id", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"), F.expr("decoded <=> text").alias("exact")
+    model = spark.sparkContext.broadcast(pieces.read_model())
+    rows = table(spark, sf_dir, "documents").select("doc_id", pieces.encode_checked(F.col("text"), model).alias("out"))
+    return rows.select(
+        "doc_id",
+        F.coalesce(F.size("out.ids"), F.lit(0)).alias("n_tokens"),
+        F.col("out.ids").alias("token_ids"),
+        F.col("out.sha256").alias("decoded_sha256"),
+        F.col("out.exact").alias("exact"),
     )
 
 
