@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import NaiveBayes
@@ -294,3 +296,37 @@ def test_document_classifiers(docs):
         assert evaluate.accuracy(found.predictions).first()[0] > 0.5
     with pytest.raises(ValueError):
         documents.train_document_classifier(docs, "other")
+
+
+def test_vectors_of_another_length_are_refused(spark):
+    book = np.zeros((2, 2))
+    for vectors in ([[1.0, 1.0, 1.0], [0.0]], [[1.0, 1.0], None], [[], [0.0, 0.0]]):
+        rows = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "id bigint, vector array<double>")
+        with pytest.raises(Exception, match="none may be null"):
+            kernel.assign(rows, ["id"], "vector", book).collect()
+
+
+def test_initial_codebook_with_null_keys(spark):
+    rows = spark.createDataFrame([(None, [1.0]), ("a", [2.0]), ("b", None)], "key string, vector array<double>")
+    book = som.initial_codebook(rows, 2, 1, "key")
+    assert book.weights.tolist() == [[2.0], [2.0]]
+
+
+def test_delimited_files_keep_any_text(spark, tmp_path):
+    words = ["plain", "tab\there", "line\nbreak", 'quote "x"', "", None, "\\", " a ", "é,;", "\\N x"]
+    rows = [(w, i, None if i % 3 else i / 2) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "word string, n int, x double")
+    for sep in ("\t", ";"):
+        path = str(tmp_path / f"sep{ord(sep)}")
+        tables.write_delimited(df, path, sep)
+        back = tables.read_delimited(spark, path, "word string, n int, x decimal(10,2)", sep).collect()
+        assert sorted((r.n, r.word) for r in back) == [(i, w) for i, w in enumerate(words)]
+
+
+def test_new_text_with_a_saved_idf(spark, tmp_path):
+    known = spark.createDataFrame([(1, "a", 2), (2, "a", 1), (2, "b", 1)], "doc_id bigint, term string, tf bigint")
+    count = F.lit(2)
+    terms.write_idf(terms.idf(known, count), count, str(tmp_path / "idf"))
+    new = spark.createDataFrame([(9, "b", 2), (9, "c", 1)], "doc_id bigint, term string, tf bigint")
+    got = {r.term: r.tfidf for r in terms.tfidf_of_new(new, str(tmp_path / "idf")).collect()}
+    assert got == pytest.approx({"b": 2 * math.log(3 / 2), "c": math.log(3)})
