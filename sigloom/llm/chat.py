@@ -43,26 +43,32 @@ def reply_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     nodes = settle(nodes.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "nodes")
     real = nodes.select("tree", F.col("node").alias("parent"), F.col("node").alias("up"))
     first = nodes.join(real, ["tree", "parent"], "left")
-    jumps = [settle(first.select("tree", "node", "up", F.col("score").alias("total"), F.lit(1).alias("steps")), "jumps")]
-    # A round doubles the reach; beyond 2 ** 40 only a cycle is left.
-    while len(jumps) < 40 and jumps[-1].filter("up is not null").limit(1).count():
-        on = jumps[-1].select("tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("total").alias("t2"), F.col("steps").alias("s2"))
-        further = jumps[-1].join(on, ["tree", "up"], "left").select(
+    live = settle(first.select("tree", "node", "up", F.col("score").alias("total"), F.lit(1).alias("steps")), "jumps")
+    parents = live.filter("up is not null").select("tree", F.col("up").alias("node")).distinct()
+    # ``done``: nodes whose pointer has passed the root, with the score and length of their whole path.
+    done, jumps = live.filter("up is null"), []
+    live = live.filter("up is not null")
+    # A round doubles the reach of the others; beyond 2 ** 40 only a cycle is left.
+    while len(jumps) < 40 and live.limit(1).count():
+        jumps.append(live.select("tree", "node", "up"))
+        on = live.unionByName(done).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("far"), F.col("total").alias("t2"), F.col("steps").alias("s2")
+        )
+        further = live.join(on, ["tree", "up"]).select(
             "tree",
             "node",
             F.col("far").alias("up"),
-            (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
-            (F.col("steps") + F.coalesce("s2", F.lit(0))).alias("steps"),
+            (F.col("total") + F.col("t2")).alias("total"),
+            (F.col("steps") + F.col("s2")).alias("steps"),
         )
-        jumps.append(settle(further, "jumps"))
-    parents = first.filter("up is not null").select("tree", F.col("up").alias("node")).distinct()
-    leaves = jumps[-1].filter("up is null").join(parents, ["tree", "node"], "left_anti")
+        further = settle(further, "jumps")
+        done, live = done.unionByName(further.filter("up is null")), further.filter("up is not null")
+    leaves = done.join(parents, ["tree", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("steps"), "node"))
     paths = leaves.withColumn("rank", rank).filter(F.col("rank") <= keep)
     paths = paths.select("tree", F.col("node").alias("leaf"), "node", F.col("steps").alias("place"))
-    for power in range(len(jumps) - 2, -1, -1):
-        jump = jumps[power].filter("up is not null").select("tree", "node", "up")
-        above = paths.join(jump, ["tree", "node"]).select(
+    for power in range(len(jumps) - 1, -1, -1):
+        above = paths.join(jumps[power], ["tree", "node"]).select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("place") - (1 << power)).alias("place")
         )
         paths = settle(paths.unionByName(above), "paths")
