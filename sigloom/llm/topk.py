@@ -79,7 +79,7 @@ def build_trees(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
     count = vectors.count()
     number = F.pmod(F.xxhash64("id", "vector"), F.lit(-(-max(count, 1) // shard)))
     dealt = vectors.select("id", "vector", F.size("vector").alias("dim"), number.alias("shard"))
-    # The shard's name is hashed once more with its length, so that ragged tables do not mix.
+    # Vectors of different lengths make different trees.
     return dealt.groupBy("shard", "dim").applyInPandas(_packed, "dim int, ids binary, points binary, borders binary")
 
 
