@@ -33,6 +33,8 @@ MAX_BITS = 3
 SEED = 42
 # Fingerprints of one index entry that are compared in one go.
 TILE = 1024
+# Rows of two numbers, one for each document that stays, that may be broadcast.
+KEPT_ROWS = 500_000
 # Shingles whose bits are counted at a time.
 _BLOCK = 1 << 16
 
@@ -180,7 +182,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = first.select("_first._k1", "_first._k2").join(slim.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("n")), ["_k1", "_k2"])
     first = settle(first, "kept")
     rows = docs.select(F.struct("*").alias("_row"), *mark)
-    kept = rows.join(small(first.filter("n = 1")), ["_k1", "_k2"], "left_semi")
+    single = first.filter("n = 1").select("_k1", "_k2")
+    kept = rows.join(small(single, KEPT_ROWS), ["_k1", "_k2"], "left_semi")
     repeated = first.filter("n > 1")
     if repeated.limit(1).count():
         again = rows.join(small(repeated), ["_k1", "_k2"], "left_semi").groupBy("_k1", "_k2").agg(F.first("_row").alias("_row"))
