@@ -5,9 +5,9 @@ are equal after the last pass are exactly the repeated windows, and those alone
 
 1. The first digit of a window is its anchor: the run of ``gram`` bytes in it with the smallest hash (the leftmost of
    equals).  Equal windows have equal anchors at equal places, and neighbouring windows share one, so one row stands for
-   all windows of an anchor (about one row for 70 bytes).  Anchors that occur once in the corpus leave.
+   all windows of an anchor (about one row for 70 bytes).
 2. The second digit is all bytes that the windows of an anchor cover.  Anchors equal in both digits are repeated with all
-   their windows, and need no further pass.
+   their windows, and need no further pass; anchors whose first digit occurs once leave.
 3. Only anchors that are repeated in other surroundings send these bytes, less than 400, to the bucket of the first
    digit; there each window is the last digit.  Buckets of more than ``bucket`` surroundings are dealt again by window.
 
@@ -34,10 +34,8 @@ from sigloom.scale import settle
 WIDTH = 200
 GRAM = 32
 BUCKET = 2048
-# Bits of the bitmap of anchors that occur at least twice; it is fixed, so it has 4 MB for any corpus.
-BITMAP_BITS = 25
 # Rows of spans, a few numbers per repeated passage of a text, that may be broadcast.
-SPAN_ROWS = 1_000_000
+SPAN_ROWS = 300_000
 # Windows that are read together; longer texts are read in overlapping parts.
 _PART = 1 << 20
 _PLACE = 21
@@ -118,51 +116,40 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.int64, casting="unsafe") if x.dtype == np.uint64 else x)
 
 
-def _first_digits(width: int, gram: int):
+def _anchor_rows(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data, sizes, _, _ in _parts(batch.column("data"), width):
-                digit, count = np.unique(anchors(data, sizes, width, gram)[4], return_counts=True)
-                yield pa.record_batch([_signed(digit), pa.array(count)], names=["a", "n"])
-
-    return run
-
-
-def _repeated_anchors(width: int, gram: int, bitmap):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
         for batch in batches:
             k1, k2 = (batch.column(k).to_numpy(zero_copy_only=False) for k in _KEY)
             for data, sizes, rows, offsets in _parts(batch.column("data"), width):
                 own, lo, hi, place, a, c = anchors(data, sizes, width, gram)
-                bit = (a >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                kept = np.flatnonzero((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-                own, lo, hi, place = own[kept], lo[kept], hi[kept], place[kept]
                 at = (lo + offsets[own]) << 16 | (hi - lo) << 8 | (place - lo)
                 row = rows[own]
-                columns = [_signed(a[kept]), _signed(c[kept]), pa.array(k1[row]), pa.array(k2[row]), pa.array(at)]
+                columns = [_signed(a), _signed(c), pa.array(k1[row]), pa.array(k2[row]), pa.array(at)]
                 yield pa.record_batch(columns, names=["a", "c", *_KEY, "at"])
 
     return run
 
 
-def _bitmap(repeated: DataFrame) -> np.ndarray:
-    """A bit for each first digit, put together by Spark in words of 32 bits."""
-    bit = f"shiftrightunsigned(a, {64 - BITMAP_BITS})"
-    words = repeated.select(F.expr(f"{bit} >> 5").alias("word"), F.expr(f"shiftleft(1L, cast({bit} & 31 as int))").alias("bits"))
-    rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITMAP_BITS - 5), dtype="<u4")
-    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return out.view(np.uint8)
+# Marks of a wanted piece beside its place: no other has both of its digits; its bucket is crowded.
+_OPEN, _CROWDED = 1 << 61, 1 << 60
+_PIECES = "array<struct<a: bigint, c: bigint, at: bigint, bytes: binary>>"
 
 
-def _slices(data: pa.Array, spans: pa.Array) -> pa.Array:
-    """The bytes of each span (start, size as two numbers in a row)."""
-    out = []
-    for text, own in zip(data, spans, strict=True):
-        whole, own = text.as_py(), own.as_py()
-        out.append([whole[a : a + n] for a, n in zip(own[::2], own[1::2], strict=True)])
-    return pa.array(out, type=pa.list_(pa.binary()))
+def _pieces(width: int):
+    def cut(data: pa.Array, wanted: pa.Array) -> pa.Array:
+        """The bytes of the surroundings that a text is asked for (three numbers each: both digits and the place)."""
+        out = []
+        for text, own in zip(data, wanted, strict=True):
+            whole, own = text.as_py(), own.as_py()
+            found = []
+            for a, c, at in zip(own[::3], own[1::3], own[2::3], strict=True):
+                lo = (at & (_CROWDED - 1)) >> 16
+                found.append({"a": a, "c": c, "at": at, "bytes": whole[lo : lo + (at >> 8 & 255) + width]})
+            out.append(found)
+        kinds = [("a", pa.int64()), ("c", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())]
+        return pa.array(out, type=pa.list_(pa.struct(kinds)))
+
+    return cut
 
 
 def _windows(frame, width: int):
@@ -236,12 +223,8 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, bucke
     """(k1, k2, start, end): bytes of texts (k1, k2, data: binary) that repeated windows cover; spans may overlap."""
     if not 8 <= gram < width or width - gram > 255:
         raise ValueError("gram must be at least 8 and less than width, by at most 255")
-    # Pass 1: first digits that occur at least twice.
-    digits = texts.select("data").mapInArrow(_first_digits(width, gram), "a long, n long")
-    repeated = digits.groupBy("a").agg(F.sum("n").alias("n")).filter("n > 1")
-    sent = texts.sparkSession.sparkContext.broadcast(_bitmap(repeated))
-    # Pass 2: of these (and few others that share a bit), both digits; equal texts send equal rows.
-    rows = texts.mapInArrow(_repeated_anchors(width, gram, sent), "a long, c long, k1 long, k2 long, at long")
+    # Passes 1 and 2: both digits of every anchor; equal texts send equal rows.
+    rows = texts.mapInArrow(_anchor_rows(width, gram), "a long, c long, k1 long, k2 long, at long")
     places = settle(rows.groupBy("a", "c", *_KEY, "at").agg(F.count(F.lit(1)).alias("n")), "places")
     both = places.groupBy("a", "c").agg(F.sum("n").alias("n"), F.min(F.struct(*_KEY, "at")).alias("one"))
     both = settle(both, "digits")
@@ -250,19 +233,18 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, bucke
     # Pass 3: surroundings that occur once, beside others of the same first digit.
     buckets = both.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
     buckets = buckets.filter("kinds > 1 and least = 1").select("a", "kinds")
-    open_to = both.join(buckets, "a").select("a", "c", "kinds", (F.col("n") == 1).alias("open"), "one.k1", "one.k2", "one.at")
-    spans = F.struct("a", "c", "kinds", "open", "at")
-    lists = open_to.groupBy(*_KEY).agg(F.collect_list(spans).alias("wanted"))
+    marks = F.expr(f"one.at + if(n = 1, {_OPEN}L, 0L) + if(kinds > {bucket}, {_CROWDED}L, 0L)")
+    wanted = both.join(buckets, "a").select("one.k1", "one.k2", F.array("a", "c", marks).alias("piece"))
+    lists = wanted.groupBy(*_KEY).agg(F.flatten(F.collect_list("piece")).alias("wanted"))
     lists = small(settle(lists, "wanted"), SPAN_ROWS)
-    starts = F.flatten(F.transform("wanted", lambda w: F.array(F.shiftright(w["at"], 8 + 8), F.shiftright(w["at"], 8).bitwiseAND(255) + width)))
-    cut = texts.join(lists, _KEY).select(*_KEY, F.arrays_zip("wanted", arrow_udf(_slices, "array<binary>")("data", starts).alias("bytes")).alias("both"))
-    cut = cut.select(*_KEY, F.explode("both").alias("x")).select(*_KEY, "x.wanted.*", "x.bytes")
+    cut = texts.join(lists, _KEY).select(*_KEY, F.explode(arrow_udf(_pieces(width), _PIECES)("data", "wanted")).alias("x"))
     # Equal texts cut equal pieces.
-    cut = cut.groupBy("a", "c").agg(*[F.first(x).alias(x) for x in (*_KEY, "kinds", "open", "at", "bytes")])
-    cut = settle(cut, "surroundings").select("a", "at", "open", "kinds", *_KEY, "bytes")
-    plain = cut.filter(F.col("kinds") <= bucket).drop("kinds").repartition("a").sortWithinPartitions("a")
+    cut = cut.select(*_KEY, "x.*").groupBy("a", "c").agg(*[F.first(x).alias(x) for x in (*_KEY, "at", "bytes")])
+    place, open_to = F.expr(f"at & {_CROWDED - 1}L").alias("at"), F.expr(f"at & {_OPEN}L <> 0").alias("open")
+    cut = settle(cut.select("a", place, open_to, F.expr(f"at & {_CROWDED}L <> 0").alias("crowded"), *_KEY, "bytes"), "surroundings")
+    plain = cut.filter("not crowded").drop("crowded").repartition("a").sortWithinPartitions("a")
     found = plain.mapInArrow(_resolve(width), "k1 long, k2 long, start long, end long")
-    windows = cut.filter(F.col("kinds") > bucket).drop("kinds").mapInArrow(
+    windows = cut.filter("crowded").drop("crowded").mapInArrow(
         _window_rows(width), "window long, k1 long, k2 long, open boolean, start long"
     )
     twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window")
