@@ -11,8 +11,8 @@ are equal after the last pass are exactly the repeated windows, and those alone
 3. Only anchors that are repeated in other surroundings send these bytes, less than 400, to the bucket of the first
    digit; there each window is the last digit.  Buckets of more than ``bucket`` surroundings are dealt again by window.
 
-Equal texts send equal rows, which are counted in the tasks before they are shuffled.  The digits are 64 bits each and
-two strings count as equal when they agree in two of them.
+Equal texts send equal rows, which are counted in the tasks before they are shuffled.  The digits are 64 bits each: the first
+two are compared together, the hash of a window (mixed with its anchor's digit and place) alone.
 
 Null and empty texts have no bytes; texts shorter than ``width`` keep all of theirs; a repeated row makes each of the two
 a repeat of the other; null ids keep their row; an empty table gives an empty result.
