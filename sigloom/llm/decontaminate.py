@@ -2,10 +2,15 @@
 
 A text becomes a template: its words lose case and punctuation; numbers, names (capitalised words inside a
 sentence) and units become typed placeholders.  Windows of ``size`` template words (whole items if they are shorter, but
-no shorter than ``least_words``) are hashed and joined with the windows of the benchmark.  The values behind the
-placeholders of joined windows must agree: along one alignment of a text with an item, one value of the item may stand
-for one value of the text only, so a question with other numbers is found and an unrelated text of the same shape is not.
-A text leaks an item when consistent alignments cover at least ``share`` of the item's windows.
+no shorter than ``least_words``; half of items of 12 to 15 words, so that one changed word leaves a window) are hashed
+and joined with the windows of the benchmark.  The values behind the placeholders of joined windows must agree: along one
+alignment of a text with an item, one value of the item may stand for one value of the text only, so a question with
+other numbers is found and an unrelated text of the same shape is not.
+
+A text leaks an item when a consistent alignment covers a run of ``run`` of the item's words (the whole item if it is
+shorter), as a passage copied word for word does, or when consistent alignments together cover at least ``share`` of its
+words, as a copy with changed words does.  Windows that are mostly placeholders count for a run only if all values are
+equal, else any two lists of numbers would match.
 
 A bitmap of fixed size, made from the benchmark windows, drops windows of documents that cannot join before they leave
 the task; it has no false negatives.  Equal texts are decided once.
@@ -29,7 +34,11 @@ from sigloom.scale import settle
 
 SIZE = 8
 LEAST_WORDS = 5
+# Words of an item in one run, and share of its words in any windows, that make a leak.
+RUN = 13
 SHARE = 0.5
+# Items of at least twice as many words have no windows shorter than this.
+LEAST_HALF = 6
 # Bits of the bitmap; it is fixed, so the bitmap is 4 MB for any benchmark.
 BITMAP_BITS = 25
 # Bytes of text that are read together.
@@ -152,7 +161,7 @@ def windows(text: Column, sizes: list[int], bitmap=None) -> Column:
     """Windows of whole texts: hash, place, number of words, placeholder values.
 
     With a broadcast ``bitmap`` only the windows whose bit is set, of all ``sizes``; without it, as for the benchmark,
-    all windows of the largest size, or the whole text if that is shorter.
+    all windows of the size that ``item_size`` gives for the largest one.
     """
 
     @pandas_udf(WINDOWS)
@@ -192,8 +201,13 @@ def _held_windows(words: Words, texts: int, sizes: list[int], bits: np.ndarray)
     return out
 
 
+def item_size(words: int, size: int) -> int:
+    """Words in a window of an item: ``size``, or the whole item, or half of it where a change would leave no window."""
+    return min(size, words if words < 2 * LEAST_HALF else words // 2)
+
+
 def _item_windows(words: Words, size: int) -> list:
-    size = min(size, len(words.codes))
+    size = item_size(len(words.codes), size)
     if not size:
         return []
     signed = window_hashes(words.codes, size).astype(np.int64).tolist()
@@ -223,10 +237,10 @@ def bitmap_of(grams: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def leaked_texts(texts: DataFrame, grams: DataFrame, share: float = SHARE) -> DataFrame:
+def leaked_texts(texts: DataFrame, grams: DataFrame, share: float = SHARE, run: int = RUN) -> DataFrame:
     """(_h1, _h2, _len, item, covered, exact): the texts (_text) that leak an item of ``grams`` (a settled table).
 
-    ``covered`` is the share of the item's windows that is found; ``exact`` tells that all placeholder values are equal.
+    ``covered`` is the share of the item's words that is found; ``exact`` tells that all placeholder values are equal.
     """
     sizes = sorted(r.words for r in grams.select("words").distinct().collect())
     bitmap = texts.sparkSession.sparkContext.broadcast(bitmap_of(grams))
@@ -235,15 +249,24 @@ def leaked_texts(texts: DataFrame, grams: DataFrame, share: float = SHARE) -> Da
     joined = held.join(small(grams), ["hash", "words"])
     # Value pairs along one alignment: one value of the item may stand for one value of the text.
     pairs = F.expr("transform(arrays_zip(slots, values), p -> struct(p.slots as old, p.values as new))")
-    aligned = joined.groupBy(*KEY, "item", "of", F.expr("there - at").alias("shift")).agg(
-        F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+    sure = F.expr("if(slots = values or 2 * size(slots) <= words, at, null)")
+    aligned = joined.groupBy(*KEY, "item", "of", "words", F.expr("there - at").alias("shift")).agg(
+        F.collect_set("at").alias("ats"),
+        F.array_sort(F.collect_set(sure)).alias("sure"),
+        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
     )
     firm = aligned.filter("size(pairs) = size(array_distinct(transform(pairs, p -> p.old)))")
-    found = firm.groupBy(*KEY, "item", "of").agg(
-        (F.size(F.array_distinct(F.flatten(F.collect_list("ats")))) / F.col("of")).alias("covered"),
+    # Windows in a row that cover the run; places are distinct and sorted, so only the first and the last are compared.
+    need = f"greatest(least({run}, of + words - 1) - words + 1, 1)"
+    run_found = f"size(filter(sure, (at, i) -> get(sure, i + {need} - 1) = at + {need} - 1)) > 0"
+    firm = firm.withColumn("ran", F.expr(run_found))
+    places = F.array_distinct(F.flatten(F.collect_list(F.expr("flatten(transform(ats, at -> sequence(at, at + words - 1)))"))))
+    found = firm.groupBy(*KEY, "item", "of", "words").agg(
+        (F.size(places) / F.expr("of + words - 1")).alias("covered"),
+        F.bool_or("ran").alias("ran"),
         F.bool_and(F.expr("forall(pairs, p -> p.old = p.new)")).alias("exact"),
     )
-    return found.filter(F.col("covered") >= share).select(*KEY, "item", "covered", "exact")
+    return found.filter(F.col("ran") | (F.col("covered") >= share)).select(*KEY, "item", "covered", "exact")
 
 
 def find_leaks(
@@ -256,11 +279,12 @@ def find_leaks(
     item_text_col: str = "text",
     size: int = SIZE,
     share: float = SHARE,
+    run: int = RUN,
 ) -> DataFrame:
     """(id, item, covered, exact): one row for each document and benchmark item that it leaks."""
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
     grams = settle(benchmark_windows(benchmark, item_col, item_text_col, size), "windows")
-    leaks = settle(leaked_texts(rows.select("_text"), grams, share), "leaks")
+    leaks = settle(leaked_texts(rows.select("_text"), grams, share, run), "leaks")
     named = rows.select("_id", *text_key(F.col("_text"))).join(small(leaks), KEY)
     return named.select(F.col("_id").alias(id_col), F.col("item").alias(item_col), "covered", "exact")
 

@@ -54,6 +54,38 @@ def test_values_must_agree_along_an_alignment(spark):
     assert leaks(spark, [(1, good, "", 1), (2, bad, "", 1)], [(1, item)]) == [(1, 1, False)]
 
 
+PROSE = "the old miller carried three sacks of grain over the narrow bridge while his dog slept near the warm oven and nobody in that quiet village heard the river rise before dawn came slowly"
+
+
+def test_planted_passages_of_an_item(spark):
+    """A run of 13 words of a longer item is a leak wherever it is cut; 12 words of 32 are not."""
+    words = PROSE.split()
+    rows = [(i, "some text " + " ".join(words[i : i + 13]) + " more text", "", 1) for i in range(len(words) - 12)]
+    rows += [(100 + i, " ".join(words[i : i + 12]), "", 1) for i in range(len(words) - 11)]
+    assert leaks(spark, rows, [(1, PROSE)]) == sorted(((i, 1, True) for i in range(len(words) - 12)), key=str)
+
+
+def test_copies_with_one_changed_word(spark):
+    """Any one word of an item of 12 or more words may be changed, left out or doubled."""
+    rows, items = [], []
+    for n in (12, 13, 15, 16, 17, 20, 32):
+        words = PROSE.split()[-n:]
+        items.append((n, " ".join(words)))
+        for i in range(n):
+            edits = (["changed"], [], [words[i], words[i], "really"])
+            rows += [(1000 * n + 10 * i + k, " ".join(["so", *words[:i], *e, *words[i + 1 :], "yes"]), "", 1) for k, e in enumerate(edits)]
+    for n, text in items:
+        own = [r for r in rows if r[0] // 1000 == n]
+        assert [i for i, _, _ in leaks(spark, own, [(n, text)])] == sorted((r[0] for r in own), key=str)
+
+
+def test_lists_of_numbers_are_not_passages(spark):
+    item = "Add 1 2 3 4 5 6 7 8 9 10 11 12 13 14 and then tell us in plain words what the whole long sum of all these numbers would have to be"
+    other = "Lines 21 22 23 24 25 26 27 28 29 30 31 32 33 34 were lost"
+    same = "See 1 2 3 4 5 6 7 8 9 10 11 12 13 14 there"
+    assert [i for i, _, _ in leaks(spark, [(1, other, "", 1), (2, same, "", 1)], [(1, item)])] == [2]
+
+
 def test_filter_keeps_columns(spark):
     docs = spark.createDataFrame([(1, ITEM, "a"), (2, "clean", "b"), (3, None, "c")], "doc_id long, text string, _h1 string")
     kept = decontaminate.without_leaks(docs, spark.createDataFrame([(1, ITEM)], "item_id long, text string"))
