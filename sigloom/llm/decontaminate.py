@@ -7,6 +7,11 @@ and joined with the windows of the benchmark.  The values behind the placeholder
 alignment of a text with an item, one value of the item may stand for one value of the text only, so a question with
 other numbers is found and an unrelated text of the same shape is not.
 
+Which words are names depends on capitals and on the marks before them, so every text is read in three ways: plain (no
+names), by sentence (a capital makes a name, but not where a sentence begins) and by capital (every capital makes a
+name).  Windows join with windows of the same reading, and an alignment has one reading.  A copy in other case or with
+other marks agrees in the plain reading, whatever its other readings are.
+
 A text leaks an item when a consistent alignment covers a run of ``run`` of the item's words (the whole item if it is
 shorter), as a passage copied word for word does, or when consistent alignments together cover at least ``share`` of its
 words, as a copy with changed words does.  Windows that are mostly placeholders count for a run only if all values are
@@ -51,7 +56,9 @@ UNITS = (
     " litres liter liters gallon gallons dollar dollars cent cents euro euros percent degree degrees usd eur gbp"
 ).split()
 NUM, NAME, UNIT = 1, 2, 3
-WINDOWS = "array<struct<hash:bigint,at:int,words:int,slots:array<string>>>"
+# The readings, as bits of a mask.
+SENTENCE, PLAIN, CAPITAL = 1, 2, 4
+WINDOWS = "array<struct<hash:bigint,at:int,words:int,slots:array<string>,readings:int>>"
 _BYTES = np.arange(256)
 _DIGIT = (_BYTES >= 48) & (_BYTES <= 57)
 _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
@@ -74,7 +81,8 @@ class Words:
     """The template words of some texts.
 
     A word is a run of letters and digits; the case of ASCII and Latin-1 letters does not count.  Numbers with points or
-    commas inside are one word.  ``codes`` are hashes (of the placeholder where there is one), ``kinds`` its type or 0.
+    commas inside are one word.  ``codes`` are hashes (of the placeholder where there is one), ``kinds`` its type or 0, both
+    by sentence; ``readings`` has them for every reading.
     """
 
     def __init__(self, texts: list[str]):
@@ -114,8 +122,12 @@ class Words:
         second = self.starts + np.where(a[self.starts] == 0xC3, 2, 1)
         self.capital = capital = upper[self.starts] & lower[second]
         # A capital makes a name, but not at the start of a text or of a sentence.
-        self.kinds = np.where(digit, NUM, np.where(capital & ~opens, NAME, np.where(np.isin(hashes, _UNIT_CODES), UNIT, 0)))
-        self.codes = np.where(self.kinds > 0, _PLACES[self.kinds], hashes)
+        unit = np.where(np.isin(hashes, _UNIT_CODES), UNIT, 0)
+        self.readings = []
+        for reading, names in ((SENTENCE, capital & ~opens), (PLAIN, np.zeros_like(capital)), (CAPITAL, capital)):
+            kinds = np.where(digit, NUM, np.where(names, NAME, unit))
+            self.readings.append((reading, np.where(kinds > 0, _PLACES[kinds], hashes), kinds))
+        _, self.codes, self.kinds = self.readings[0]
 
     @staticmethod
     def _hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -158,7 +170,7 @@ def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def windows(text: Column, sizes: list[int], bitmap=None) -> Column:
-    """Windows of whole texts: hash, place, number of words, placeholder values.
+    """Windows of whole texts: hash, place, number of words, placeholder values, readings that give this window.
 
     With a broadcast ``bitmap`` only the windows whose bit is set, of all ``sizes``; without it, as for the benchmark,
     all windows of the size that ``item_size`` gives for the largest one.
@@ -184,20 +196,33 @@ def windows(text: Column, sizes: list[int], bitmap=None) -> Column:
     return cut(text)
 
 
-def _window(words: Words, codes: int, kinds: np.ndarray, at: int, first: int, size: int):
+def _window(words: Words, code: int, kinds: np.ndarray, at: int, first: int, size: int, readings: int):
     slots = [f"{kinds[i]}{words.value(i)}" for i in range(at, at + size) if kinds[i]]
-    return codes, at - first, size, slots
+    return code, at - first, size, slots, readings
+
+
+def _read_windows(words: Words, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(hashes, kinds, readings, fresh) of all windows; a window is fresh in the first of the readings that agree on it."""
+    hashes = [window_hashes(codes, size) for _, codes, _ in words.readings]
+    for i, (_, _, kinds) in enumerate(words.readings):
+        readings = sum(r * (hashes[j] == hashes[i]) for j, (r, _, _) in enumerate(words.readings))
+        fresh = np.ones(len(hashes[i]), dtype=bool)
+        for earlier in hashes[:i]:
+            fresh &= earlier != hashes[i]
+        yield hashes[i], kinds, readings, fresh
 
 
 def _held_windows(words: Words, texts: int, sizes: list[int], bits: np.ndarray) -> list[list]:
     out = [[] for _ in range(texts)]
     begin = np.searchsorted(words.doc, np.arange(texts))
     for size in sizes:
-        hashes = window_hashes(words.codes, size)
-        hits = np.flatnonzero(_in_bitmap(bits, hashes))
-        for at in hits[words.doc[hits] == words.doc[hits + size - 1]].tolist():
-            doc = words.doc[at]
-            out[doc].append(_window(words, int(hashes[at].astype(np.int64)), words.kinds, at, int(begin[doc]), size))
+        for hashes, kinds, readings, fresh in _read_windows(words, size):
+            some = np.flatnonzero(fresh)
+            hits = some[_in_bitmap(bits, hashes[some])]
+            for at in hits[words.doc[hits] == words.doc[hits + size - 1]].tolist():
+                doc = words.doc[at]
+                code = int(hashes[at].astype(np.int64))
+                out[doc].append(_window(words, code, kinds, at, int(begin[doc]), size, int(readings[at])))
     return out
 
 
@@ -210,18 +235,20 @@ def _item_windows(words: Words, size: int) -> list:
     size = item_size(len(words.codes), size)
     if not size:
         return []
-    signed = window_hashes(words.codes, size).astype(np.int64).tolist()
-    found = [_window(words, h, words.kinds, at, 0, size) for at, h in enumerate(signed)]
+    found = []
+    for hashes, kinds, readings, fresh in _read_windows(words, size):
+        signed = hashes.astype(np.int64).tolist()
+        found += [_window(words, signed[at], kinds, at, 0, size, int(readings[at])) for at in np.flatnonzero(fresh).tolist()]
     if words.capital[0] and not words.kinds[0]:
         # Inside another text the capital of an item's first word would make it a name: that window counts as well.
         codes, kinds = words.codes[:size].copy(), words.kinds.copy()
         codes[0], kinds[0] = _PLACES[NAME], NAME
-        found.append(_window(words, int(window_hashes(codes, size)[0].astype(np.int64)), kinds, 0, 0, size))
+        found.append(_window(words, int(window_hashes(codes, size)[0].astype(np.int64)), kinds, 0, 0, size, SENTENCE))
     return found
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """(item, of, hash, at, words, slots): every window of every item, ``of`` the number of windows of the item."""
+    """(item, of, hash, at, words, slots, readings): every window of every item, ``of`` the number of its places."""
     rows = benchmark.select(F.col(id_col).alias("item"), text_of(text_col).alias("_text"))
     cut = rows.select("item", windows(F.col("_text"), [size]).alias("_w"))
     return cut.select("item", F.expr("array_max(_w.at) + 1").alias("of"), F.inline("_w")).filter(F.col("words") >= min(LEAST_WORDS, size))
@@ -245,12 +272,14 @@ def leaked_texts(texts: DataFrame, grams: DataFrame, share: float = SHARE, run:
     sizes = sorted(r.words for r in grams.select("words").distinct().collect())
     bitmap = texts.sparkSession.sparkContext.broadcast(bitmap_of(grams))
     cut = texts.select(*text_key(F.col("_text")), windows(F.col("_text"), sizes, bitmap).alias("_w"))
-    held = cut.select(*KEY, F.inline("_w")).withColumnsRenamed({"at": "there", "slots": "values"})
+    held = cut.select(*KEY, F.inline("_w")).withColumnsRenamed({"at": "there", "slots": "values", "readings": "read"})
     joined = held.join(small(grams), ["hash", "words"])
+    common = F.expr(f"filter(array({SENTENCE}, {PLAIN}, {CAPITAL}), r -> r & readings & read > 0)")
+    joined = joined.withColumn("reading", F.explode(common))
     # Value pairs along one alignment: one value of the item may stand for one value of the text.
     pairs = F.expr("transform(arrays_zip(slots, values), p -> struct(p.slots as old, p.values as new))")
     sure = F.expr("if(slots = values or 2 * size(slots) <= words, at, null)")
-    aligned = joined.groupBy(*KEY, "item", "of", "words", F.expr("there - at").alias("shift")).agg(
+    aligned = joined.groupBy(*KEY, "item", "of", "words", F.expr("there - at").alias("shift"), "reading").agg(
         F.collect_set("at").alias("ats"),
         F.array_sort(F.collect_set(sure)).alias("sure"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),

@@ -79,6 +79,20 @@ def test_copies_with_one_changed_word(spark):
         assert [i for i, _, _ in leaks(spark, own, [(n, text)])] == sorted((r[0] for r in own), key=str)
 
 
+def test_case_and_marks_do_not_count(spark):
+    """Copies that keep the words are found, in any case and with any marks between the words, and only those."""
+    item = "Yes. Élise met Tom. Then they went to Rome by train. Who paid? Tom did. How much, in euros, did Élise owe him? Ten."
+    bare = re.sub(r"[^\w ]", "", item)
+    mixed = " ".join(w.title() if i % 3 else w.lower() for i, w in enumerate(bare.split()))
+    named = bare.replace("Tom", "Max").replace("Élise", "Ida")
+    forms = [item, bare, item.lower(), item.upper(), item.title(), bare.title(), mixed, item.replace(" ", "! "), item.replace(".", ";")]
+    rows = [(i, lead + form + " ok", "", 1) for i, (form, lead) in enumerate((f, x) for f in [*forms, named] for x in ("", "by ", "Go. "))]
+    rows += [(100, "Nobody. Knows what went on there. Who cared? Few did. How many, in truth, did she ask? One.", "", 1)]
+    found = leaks(spark, rows, [(1, item)])
+    assert sorted(i for i, _, _ in found) == list(range(30))
+    assert all(exact == (i < 27) for i, _, exact in found)
+
+
 def test_lists_of_numbers_are_not_passages(spark):
     item = "Add 1 2 3 4 5 6 7 8 9 10 11 12 13 14 and then tell us in plain words what the whole long sum of all these numbers would have to be"
     other = "Lines 21 22 23 24 25 26 27 28 29 30 31 32 33 34 were lost"
