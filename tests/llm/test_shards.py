@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from sigloom.llm import layout_queries, shards
 
@@ -39,6 +40,48 @@ def test_groups_stay_together_and_large_ones_are_cut(spark):
     assert shards.assign_shards(docs.limit(0)).count() == 0
 
 
+def homes_of(spark, texts, count):
+    """Checked result: the shards of each text."""
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    homes = {}
+    for shard, own in check(shards.assign_shards(docs, shards=count, bundles=32).collect(), texts, count, 1.06).items():
+        for r in own:
+            homes.setdefault(r.text_crc32, set()).add(shard)
+    return lambda text: len(homes[zlib.crc32(text.encode())])
+
+
+# Copies of one text: many bytes in one word, many words, or many rows.
+KINDS = {"bytes": ("x" * 400, 25), "tokens": ("a b c d " * 25, 20), "rows": ("r", 300)}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_a_group_is_cut_only_beyond_a_shard_in_any_measure(spark, kind):
+    text, copies = KINDS[kind]
+    rest = [(i, f"some words {i} that fill the rest") for i in range(5000, 6500)]
+    assert homes_of(spark, [(i, text) for i in range(copies)] + rest, 4)(text) == 1
+    many = [(i, text) for i in range(copies * 12)]
+    assert len(many) < 5000 and homes_of(spark, many + rest, 4)(text) > 1
+
+
+def test_groups_that_leave_no_room_are_cut_last():
+    """Five groups of 0.6 shards fill four shards: one is cut, the others stay whole."""
+    of = [f"g{g}" for g in range(5) for _ in range(20)] + [""] * 100
+    sums = np.array([[3.0, 3, 3]] * 100 + [[1.0, 1, 1]] * 100)
+    out = shards.place(of, sums, 4)
+    parts = [len(set(out[20 * g : 20 * g + 20])) for g in range(5)]
+    assert sorted(parts)[:4] == [1] * 4 and max(parts) > 1
+    assert np.bincount(out, weights=sums[:, 0]).max() <= 1.05 * sums[:, 0].sum() / 4
+
+
+def test_copy_groups_of_the_query_stay_together(spark):
+    """No copy group of this table exceeds a shard, so none is torn apart."""
+    homes = {}
+    for r in layout_queries.op8_sharding(spark, "/root/testdata/sf0.01").collect():
+        homes.setdefault((r.text_crc32, r.size), []).append(r.shard)
+    copies = [own for own in homes.values() if len(own) > 1]
+    assert len(copies) > 50 and all(len(set(own)) == 1 for own in copies)
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
