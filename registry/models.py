@@ -62,10 +62,9 @@ def _word2vec(spark, sf):
 
 
 def _similar_words(spark, sf):
+    """The ten nearest words of every top word."""
     model = topic_model(spark, sf, "som", "kmeans", "nb")
-    vectors, heads = model.vectors, model.words
-    best = heads.groupBy("signature").agg(F.min("word").alias("word")).select("word")
-    return embed.synonyms(plan.embed_selected(vectors, best), vectors, 10)
+    return embed.synonyms(plan.embed_selected(model.vectors, model.words.select("word").distinct()), model.vectors, 10)
 
 
 def _kmeans(spark, sf):

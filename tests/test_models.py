@@ -1,4 +1,5 @@
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, MinMaxScaler, StringIndexer
 from pyspark.sql import functions as F
 
+from registry import models
 from sigloom.functions.text import content_words
 from sigloom.operators import classify, cluster, embed, evaluate, extract, kernel, pages, som, terms, topics
 from sigloom.plans import signatures, summarize
@@ -76,6 +78,16 @@ def test_decay():
     assert som.decay(99, 10, 30, 5) == 5 and som.decay(0, 1, 30, 5) == 30
 
 
+def test_similar_words_of_every_top_word(spark, monkeypatch):
+    rows = [(f"w{i}", [float(i), float(i * i % 7), 1.0]) for i in range(30)]
+    vectors = spark.createDataFrame(rows, "word string, vector array<double>")
+    words = vectors.filter("word <> 'w3'").selectExpr("word", "length(word) as signature")
+    model = SimpleNamespace(vectors=vectors, words=words.union(words))
+    monkeypatch.setattr(models, "topic_model", lambda *_: model)
+    got = [r["query"] for r in models.QUERIES["similar_words"](spark, "").collect()]
+    assert sorted(got) == sorted([w for w, _ in rows if w != "w3"] * 10)
+
+
 def test_synonyms_against_brute_force(spark, vectors):
     rows = sorted((r.vec_id, np.array(r.vector)) for r in vectors.collect())
     queries = vectors.filter("vec_id in (3, 77, 140)")
