@@ -55,6 +55,16 @@ MORE_RULES = (
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
 )
 RULES = BASE_RULES + MORE_RULES
+# What masking uses: a private key runs on to its END line; where there is none, over its header lines and base64 runs.  Line
+# ends may be escaped.  Everything that repeats is possessive, so long texts need no stack.
+_KEY_LINE = r"-----{} [A-Z ]{{0,40}}PRIVATE KEY-----"
+_KEY_GAP = r"(?:\s|\\[nr])*+"
+_KEY_TO_END = r"[^-]*+(?:-(?!----)[^-]*+)*+" + _KEY_LINE.format("END")
+_KEY_CUT_OFF = (
+    rf"(?:{_KEY_GAP}(?:Proc-Type|DEK-Info):[^\n\\]*+)*+(?:{_KEY_GAP}[A-Za-z0-9+/=]{{16,}}+)*+(?:{_KEY_GAP}[A-Za-z0-9+/]{{1,15}}={{1,2}})?"
+)
+KEY_BLOCK = Rule("private", _KEY_LINE.format("BEGIN") + f"(?:{_KEY_TO_END}|{_KEY_CUT_OFF})")
+MASK_RULES = tuple(KEY_BLOCK if r.kind == KEY_BLOCK.kind else r for r in RULES)
 SPANS = "array<struct<start: int, place: int, end: int, kind: string>>"
 
 
@@ -152,10 +162,10 @@ def _redacted(mark: str) -> str:
           done -> concat(array_join(done.parts, ''), substring(_text, done.at + 1, length(_text))))"""
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", rules=RULES) -> DataFrame:
+def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", rules=MASK_RULES) -> DataFrame:
     """``docs`` with every secret in ``text_col`` replaced by ``mark``; touching or overlapping spans become one mark.
 
-    All columns stay, whatever their names; null texts stay null.
+    A private key is replaced as a whole, from its BEGIN to its END line.  All columns stay, whatever their names; null texts stay null.
     """
     rows = docs.select(F.struct("*").alias("_row"), text_of(text_col).alias("_text"))
     found = find_secrets(rows, rules)
