@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sigloom.llm import licences
 from sigloom.llm.secrets import BASE_RULES, RULES
 
 # The expressions of the rules as DuckDB needs them: only ASCII letters count in either case.
@@ -77,4 +78,42 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLE = {"op1_secret_scans": SECRETS, "op9_chat_format": CHAT, "op10_topk_search": TOPK}
+_LICENSE_RULES = ",\n".join(
+    f"({i}, {r.rank}, '{r.label}', '{r.expression}', [{', '.join(repr(f' {k} ') for k in r.keywords)}], {licences._SURE[r.rank]})"
+    for i, r in enumerate(licences.RULES)
+)
+LICENSES = f"""
+WITH rules(rule, rank, label, expression, keywords, sure) AS (VALUES {_LICENSE_RULES}),
+cut AS (
+  SELECT row_number() OVER () AS row, doc_id, trim(regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', '  ', 'g'), ' ') AS spaced
+  FROM documents),
+rows_ AS MATERIALIZED (SELECT row, doc_id, CASE WHEN spaced = '' THEN '' ELSE ' ' || spaced || ' ' END AS words FROM cut),
+tried AS (
+  SELECT row, rule, rank, label, sure, regexp_extract_all(words, expression) AS hits, string_split_regex(words, expression) AS gaps
+  FROM rows_ JOIN rules ON len(list_filter(keywords, lambda k: NOT contains(words, k))) = 0),
+sized AS (
+  SELECT row, rule, rank, label, sure, list_transform(hits, lambda x: (length(x) - length(replace(x, ' ', ''))) // 2) AS hits,
+         list_transform(gaps, lambda x: (length(x) - length(replace(x, ' ', ''))) // 2) AS gaps
+  FROM tried WHERE len(hits) > 0),
+found AS (
+  SELECT row, rule, rank, label, sure, CAST(list_sum(gaps[1:i]) + coalesce(list_sum(hits[1:i-1]), 0) AS BIGINT) AS begin,
+         CAST(list_sum(gaps[1:i]) + list_sum(hits[1:i]) AS BIGINT) AS finish
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM sized)),
+kept AS (
+  SELECT * FROM found d WHERE rank = {licences.BASE} OR NOT EXISTS (
+    SELECT 1 FROM found e WHERE e.row = d.row AND e.rank <= d.rank AND e.begin <= d.begin AND e.finish >= d.finish
+      AND (e.rank < d.rank OR e.begin < d.begin OR e.finish > d.finish OR e.rule < d.rule))),
+told AS (
+  SELECT row, count(*) FILTER (rank = {licences.BASE}) AS n_base, min(begin) FILTER (rank = {licences.BASE}) AS first_word,
+         max(begin) FILTER (rank = {licences.BASE}) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (rank = {licences.BASE}) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(sure) AS score
+  FROM kept GROUP BY row)
+SELECT doc_id, CAST((length(words) - length(replace(words, ' ', ''))) // 2 AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+       first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM rows_ LEFT JOIN told USING (row)
+"""
+
+ORACLE = {"op1_secret_scans": SECRETS, "op9_chat_format": CHAT, "op10_topk_search": TOPK, "op11_license_scans": LICENSES}
