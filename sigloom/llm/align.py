@@ -7,8 +7,9 @@ number of bytes.  Bytes after which tokens of A and B both end cut the text into
 group incidence with the token order lists each group's tokens, and every A-B pair of one group is a shared-group link.
 Groups are returned as their two lists, which holds all those links without writing each one.
 
-The links of all documents are counted by pair of ids, as partial sums in the tasks before they are shuffled; the counts
-are joined back by broadcast if they are counted to be few, else by a join that spreads frequent pairs.
+One pass encodes and aligns the texts; it writes the tokens, packed, and the links counted by pair of ids, added up in the
+tasks.  A second one joins each document's links with the corpus-wide counts, by broadcast if they are counted
+to be few, else by a join that spreads frequent pairs.
 
 Texts that are null or empty, or that either tokenizer does not give back byte by byte, have no tokens; any text, however
 long, is encoded whole; strings of special tokens are plain text; repeated rows and null ids count as a document each; an
@@ -24,13 +25,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
+from pyspark.sql import types as T
 
-from sigloom.llm.common import text_of
+from sigloom.llm.common import bounded_batches, text_of
 from sigloom.llm.pieces import read_model
 from sigloom.scale import settle, sized_join
 
@@ -40,6 +42,8 @@ B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Bytes of text that are aligned together.
 _CHUNK = 1 << 18
+# Counts of id pairs that a task gathers before it adds them up.
+_GATHERED = 1_000_000
 
 
 # Tokenizers
@@ -118,19 +122,19 @@ class Rows:
     def times(self, other: Rows) -> Rows:
         """Gustavson's product: each row is the sum of the rows of ``other`` that its entries name."""
         counts = np.diff(other.starts)[self.columns]
-        ends = np.cumsum(counts)
-        inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
-        taken = np.repeat(other.starts[self.columns], counts) + inside
-        key = np.repeat(self.rows(), counts) * other.width + other.columns[taken]
-        value = np.repeat(self.values, counts) * other.values[taken]
+        taken, row, value = other.starts[self.columns], self.rows(), self.values
+        if np.any(counts != 1):
+            ends = np.cumsum(counts)
+            taken = np.repeat(taken - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+            row, value = np.repeat(row, counts), np.repeat(value, counts)
+        column, value = other.columns[taken], value * other.values[taken]
+        key = row * other.width + column
         if np.any(key[1:] < key[:-1]):
             order = np.argsort(key, kind="stable")
-            key, value = key[order], value[order]
+            key, row, column, value = key[order], row[order], column[order], value[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
-        row, column = np.divmod(key[first], max(other.width, 1))
-        height = len(self.starts) - 1
-        starts = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=height))))
-        return Rows(starts, column, np.add.reduceat(value, first) if len(first) else value[:0], other.width)
+        starts = np.concatenate(([0], np.cumsum(np.bincount(row[first], minlength=len(self.starts) - 1))))
+        return Rows(starts, column[first], np.add.reduceat(value, first) if len(first) else value, other.width)
 
 
 def incidence(sizes: np.ndarray) -> Rows:
@@ -139,187 +143,178 @@ def incidence(sizes: np.ndarray) -> Rows:
     return Rows.of_places(np.repeat(np.arange(len(sizes)), sizes), np.arange(width), len(sizes), width)
 
 
-def groups_of(ends: np.ndarray, cuts: np.ndarray) -> Rows:
-    """Tokens by groups, from the ends of the tokens and of the groups."""
-    return Rows.of_places(np.arange(len(ends)), np.searchsorted(cuts, ends), len(ends), len(cuts))
-
-
-@dataclass
-class Aligned:
-    """Links and groups of the joined tokens of some texts."""
-
-    links: Rows
-    a_groups: Rows
-    b_groups: Rows
-
+def groups_of(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[Rows, Rows]:
+    """Groups by the tokens of A and of B, cut after the bytes where tokens of both end."""
+    ends = np.zeros((2, int(a_sizes.sum()) + 1), dtype=bool)
+    places = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    for side, at in enumerate(places):
+        ends[side, at] = True
+    number = np.cumsum(ends[0] & ends[1])
+    count = int(number[-1])
+    sides = (Rows.of_places(np.arange(len(at)), number[at - 1], len(at), count) for at in places)
+    a, b = (side.transposed() for side in sides)
+    return a, b
 
-def aligned(a_sizes: np.ndarray, b_sizes: np.ndarray) -> Aligned:
-    """The alignment of two tokenizations of the same bytes, from the sizes of their tokens.
 
-    Several texts may be joined: they end together in both, so nothing links two of them.
-    """
-    a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
-    cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    links = incidence(a_sizes).times(incidence(b_sizes).transposed())
-    return Aligned(links, groups_of(a_ends, cuts).transposed(), groups_of(b_ends, cuts).transposed())
+def links_of(a_sizes: np.ndarray, b_sizes: np.ndarray) -> Rows:
+    """Overlap links of two tokenizations of the same bytes: tokens of A by tokens of B."""
+    return incidence(a_sizes).times(incidence(b_sizes).transposed())
 
 
-class _Batch:
-    """The tokens of some rows, joined, with the place where each row's begin."""
+class Batch:
+    """The tokens of some rows, joined: the rows' texts end in both tokenizations, so nothing links two of them."""
 
-    def __init__(self, a: pa.Array, b: pa.Array, a_bytes: np.ndarray, b_bytes: np.ndarray):
-        self.a, self.b = (x.flatten().to_numpy(zero_copy_only=False).astype(np.int64) for x in (a, b))
-        self.a_at, self.b_at = (
-            np.concatenate(([0], np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)))) for x in (a, b)
-        )
-        self.aligned = aligned(a_bytes[self.a], b_bytes[self.b])
-        links = self.aligned.links
-        self.row = np.searchsorted(self.a_at, links.rows(), side="right") - 1
-        self.pair = self.a[links.rows()] << 32 | self.b[links.columns]
+    def __init__(self, a: list[np.ndarray], b: list[np.ndarray], sizes: tuple[np.ndarray, np.ndarray]):
+        none = np.empty(0, dtype=np.int64)
+        self.a, self.b = (np.concatenate([none, *x]).astype(np.int64) for x in (a, b))
+        self.a_counts, self.b_counts = (np.array([len(y) for y in x], dtype=np.int64) for x in (a, b))
+        self.a_sizes, self.b_sizes = sizes[0][self.a], sizes[1][self.b]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, pair, links) of every id pair that a row holds linked."""
-        order = np.lexsort((self.pair, self.row))
-        row, pair = self.row[order], self.pair[order]
+        links = links_of(self.a_sizes, self.b_sizes)
+        token = links.rows()
+        row = np.repeat(np.arange(len(self.a_counts)), self.a_counts)[token]
+        pair = self.a[token] << 32 | self.b[links.columns]
+        order = np.lexsort((pair, row))
+        row, pair = row[order], pair[order]
         first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (pair[1:] != pair[:-1]))))[: len(row)]
         return row[first], pair[first], np.diff(np.append(first, len(row)))
 
-    def told(self, a_names: list[str], b_names: list[str]) -> tuple[list[int], list[int], list[str]]:
-        """(groups, shared-group links, groups as text) of every row."""
-        a, b = self.aligned.a_groups, self.aligned.b_groups
+    def told(self, names: list[bytes], a_names: int) -> tuple[list[int], list[int], list[bytes]]:
+        """(groups, shared-group links, groups as text) of every row; ``names`` has two of each id, those of A first."""
+        a, b = groups_of(self.a_sizes, self.b_sizes)
         # In every group the tokens of A, then those of B; names end with the sign that follows in that place.
         a_sizes, b_sizes = np.diff(a.starts), np.diff(b.starts)
         codes = np.empty(len(self.a) + len(self.b), dtype=np.int64)
         a_place = np.arange(len(self.a)) + np.repeat(b.starts[:-1], a_sizes)
         b_place = np.arange(len(self.b)) + np.repeat(a.starts[1:], b_sizes)
         codes[a_place] = 2 * self.a[a.columns]
-        codes[b_place] = 2 * (self.b[b.columns] + len(a_names) // 2)
+        codes[b_place] = 2 * self.b[b.columns] + a_names
         codes[a_place[a.starts[1:] - 1]] += 1
         codes[b_place[b.starts[1:] - 1]] += 1
-        name = [*a_names, *b_names].__getitem__
-        edges = np.searchsorted(a.starts, self.a_at)
+        a_at = np.concatenate(([0], np.cumsum(self.a_counts)))
+        spots = (a_at + np.concatenate(([0], np.cumsum(self.b_counts)))).tolist()
+        edges = np.searchsorted(a.starts, a_at)
         shared = np.concatenate(([0], np.cumsum(a_sizes * b_sizes)))
-        spots, codes = (self.a_at + self.b_at).tolist(), codes.tolist()
-        texts = ["".join(map(name, codes[x:y]))[:-1] for x, y in zip(spots, spots[1:], strict=False)]
+        name, codes = names.__getitem__, codes.tolist()
+        texts = [b"".join(map(name, codes[x:y]))[:-1] for x, y in zip(spots, spots[1:], strict=False)]
         return np.diff(edges).tolist(), np.diff(shared[edges]).tolist(), texts
 
 
-def _names(count: int, inside: str, last: str) -> list[str]:
-    return list(chain.from_iterable((f"{i}{inside}", f"{i}{last}") for i in range(count)))
-
-
-# Spark jobs
-
-
-def _encoders(a_model, b_model) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(a_model.value), Pieces(b_model.value)
-
-
-def encode_both(text: Column, a_model, b_model) -> Column:
-    """struct<a, b>: the ids of both tokenizers, empty where one of them does not give the text back."""
-
-    def ids(texts: list[str], a: ByteLevel, b: Pieces) -> Iterator[tuple[list[int], list[int]]]:
-        for t, own, other in zip(texts, a.encode(texts), b.encode(texts), strict=True):
-            whole = (" " + t).encode()
-            same = t and b"".join(map(a.raw.__getitem__, own)) == whole == b"".join(map(b.raw.__getitem__, other))
-            yield (own, other) if same else ([], [])
+def _gathered(counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, documents) of several such counts."""
+    pair, back = np.unique(np.concatenate([x for x, _ in counts]), return_inverse=True)
+    return pair, np.bincount(back, np.concatenate([y for _, y in counts]), len(pair)).astype(np.int64)
 
-    @arrow_udf("struct<a: array<int>, b: array<int>>")
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        a, b = _encoders(a_model, b_model)
-        kind = pa.list_(pa.int32())
-        for texts in batches:
-            parts = [_int_lists(ids(run, a, b)) for run in _runs(texts)]
-            columns = [pa.concat_arrays([p[i] for p in parts]) if parts else pa.array([], kind) for i in (0, 1)]
-            yield pa.StructArray.from_arrays(columns, names=["a", "b"])
 
-    return both(text)
+def _names(count: int, inside: str, last: str) -> list[bytes]:
+    return list(chain.from_iterable((f"{i}{inside}".encode(), f"{i}{last}".encode()) for i in range(count)))
 
 
-def _int_lists(pairs: Iterator[tuple[list[int], list[int]]]) -> tuple[pa.Array, pa.Array]:
-    both = list(pairs)
-    out = []
-    for side in (0, 1):
-        ends = np.cumsum([0] + [len(p[side]) for p in both]).astype(np.int32)
-        values = np.fromiter(chain.from_iterable(p[side] for p in both), dtype=np.int32, count=int(ends[-1]))
-        out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values)))
-    return out[0], out[1]
+# Spark jobs
 
 
-def _runs(texts: pa.Array) -> Iterator[list[str]]:
-    group, room = [], _CHUNK
-    for text in texts.to_pylist():
-        if group and len(text) > room:
-            yield group
-            group, room = [], _CHUNK
-        group.append(text)
-        room -= len(text)
-    if group:
-        yield group
+_TOKENS = [("row", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("links", pa.int64()), ("pair", pa.int64()), ("docs", pa.int64())]
 
 
-def _over_batches(work: Callable[[_Batch, pa.RecordBatch], pa.RecordBatch], a_model, b_model):
-    """Applies ``work`` to slices of rows (with lists of ids a and b) of bounded size."""
+def _over_slices(work: Callable[[Batch, pa.RecordBatch], pa.RecordBatch], sizes: tuple[np.ndarray, np.ndarray], kind: np.dtype):
+    """Applies ``work`` to slices of token rows of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = [np.array([len(x) for x in v.raw], dtype=np.int64) for v in _encoders(a_model, b_model)]
         for batch in batches:
-            ends = np.cumsum(batch.column("a").value_lengths().to_numpy(zero_copy_only=False))
-            at = 0
-            while at < batch.num_rows:
-                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _CHUNK // 4, side="right")))
-                part = batch.slice(at, to - at)
-                yield work(_Batch(part.column("a"), part.column("b"), *sizes), part)
-                at = to
+            for part in _slices(batch, np.asarray(pc.binary_length(batch.column("a"))), _CHUNK // 2):
+                ids = [[np.frombuffer(x.as_buffer(), dtype=kind) for x in part.column(c)] for c in ("a", "b")]
+                yield work(Batch(*ids, sizes), part)
 
     return run
 
 
 class Alignment:
-    """Both tokenizations of all rows of a table, settled, with the links and groups that follow from them."""
+    """Both tokenizations of all rows of a table, settled, with the links and groups that follow from them.
+
+    ``rows`` has (row, id); row numbers are given once, so they stay the same when a task runs again.
+    """
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str = A_PATH, b_path: str = B_PATH):
-        context = docs.sparkSession.sparkContext
-        self._models = context.broadcast(read_model(a_path)), context.broadcast(read_model(b_path))
-        rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text"))
-        rows = rows.select(F.monotonically_increasing_id().alias("row"), "id", encode_both(F.col("_text"), *self._models).alias("_ids"))
-        self.tokens = settle(rows.select("row", "id", "_ids.a", "_ids.b"), "tokens")
+        bounded_batches(docs.sparkSession)
+        self._context = docs.sparkSession.sparkContext
+        self._models = read_model(a_path), read_model(b_path)
+        vocabularies = ByteLevel(self._models[0]), Pieces(self._models[1])
+        self._sizes = tuple(np.array([len(x) for x in v.raw], dtype=np.int64) for v in vocabularies)
+        # Packed ids: two bytes each where they fit.
+        self._kind = np.dtype("<u2" if max(map(len, self._sizes)) <= 1 << 16 else "<u4")
+        rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+        made = rows.mapInArrow(self._encode(), _schema(rows.schema["id"].dataType))
+        made = settle(made, "tokens")
+        self.tokens = made.filter("row is not null").select("row", "id", "a", "b", "links")
+        self._linked = made.filter("row is null").select("pair", "docs")
+
+    def _encode(self):
+        models, sizes, kind = [self._context.broadcast(m) for m in self._models], self._sizes, self._kind
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            a, b = ByteLevel(models[0].value), Pieces(models[1].value)
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            for batch in batches:
+                schema = pa.schema([_TOKENS[0], batch.schema.field("id"), *_TOKENS[1:]])
+                for part in _slices(batch, np.asarray(pc.binary_length(batch.column("text"))), _CHUNK):
+                    texts = part.column("text").to_pylist()
+                    both = [own if _exact(t, *own, a, b) else ([], []) for t, own in zip(texts, zip(a.encode(texts), b.encode(texts)))]
+                    ids = [[np.array(x[side], dtype=kind) for x in both] for side in (0, 1)]
+                    row, pair, links = Batch(*ids, sizes).pairs()
+                    counts = np.bincount(row, weights=links, minlength=len(texts)).astype(np.int64)
+                    none = pa.nulls(len(texts), pa.int64())
+                    packed = [pa.array([x.tobytes() for x in side], pa.binary()) for side in ids]
+                    columns = [part.column("row"), part.column("id"), *packed, pa.array(counts), none, none]
+                    yield pa.record_batch(columns, schema=schema)
+                    held.append(np.unique(pair, return_counts=True))
+                    if sum(len(x) for x, _ in held) > _GATHERED:
+                        held = [_gathered(held)]
+                        if len(held[0][0]) > _GATHERED // 2:
+                            yield counted(schema, *held.pop())
+            if held:
+                yield counted(schema, *_gathered(held))
+
+        def counted(schema: pa.Schema, pair: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+            empty = [pa.nulls(len(pair), f.type) for f in list(schema)[:5]]
+            return pa.record_batch([*empty, pa.array(pair), pa.array(docs)], schema=schema)
+
+        return run
 
     def groups(self) -> DataFrame:
-        """(row, n_groups, n_links, n_shared, groups): the groups as text, ``a1,a2|b1;a3|b2,b3`` with ids in order.
+        """(row, n_groups, n_shared, groups): the groups as text, ``a1,a2|b1;a3|b2,b3`` with ids in order.
 
         ``n_shared`` is the number of shared-group links.
         """
-        a_count, b_count = (len(v.raw) for v in _encoders(*self._models))
+        sizes, kind = self._sizes, self._kind
+        a_count, b_count = map(len, sizes)
+
+        def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = [*_names(a_count, ",", "|"), *_names(b_count, ",", ";")]
 
-        def work(batch: _Batch, part: pa.RecordBatch) -> pa.RecordBatch:
-            counts, shared, texts = batch.told(a_names, b_names)
-            links = np.bincount(batch.row, minlength=part.num_rows)
-            columns = [part.column("row"), pa.array(counts, pa.int64()), pa.array(links), pa.array(shared, pa.int64()), pa.array(texts, pa.string())]
-            return pa.record_batch(columns, names=["row", "n_groups", "n_links", "n_shared", "groups"])
+            def work(batch: Batch, part: pa.RecordBatch) -> pa.RecordBatch:
+                counts, shared, texts = batch.told(names, 2 * a_count)
+                text = pa.array(texts, pa.binary()).cast(pa.string())
+                columns = [part.column("row"), pa.array(counts, pa.int64()), pa.array(shared, pa.int64()), text]
+                return pa.record_batch(columns, names=["row", "n_groups", "n_shared", "groups"])
 
-        a_names, b_names = _names(a_count, ",", "|"), _names(b_count, ",", ";")
-        schema = "row long, n_groups long, n_links long, n_shared long, groups string"
-        return self.tokens.select("row", "a", "b").mapInArrow(_over_batches(work, *self._models), schema)
+            yield from _over_slices(work, sizes, kind)(batches)
+
+        return self.tokens.select("row", "a", "b").mapInArrow(told, "row long, n_groups long, n_shared long, groups string")
 
     def pairs(self) -> DataFrame:
         """(row, pair, links): the id pairs (a << 32 | b) that each document holds linked, with the number of places."""
 
-        def work(batch: _Batch, part: pa.RecordBatch) -> pa.RecordBatch:
+        def work(batch: Batch, part: pa.RecordBatch) -> pa.RecordBatch:
             row, pair, links = batch.pairs()
             return pa.record_batch([part.column("row").take(pa.array(row)), pa.array(pair), pa.array(links)], names=["row", "pair", "links"])
 
-        return self.tokens.select("row", "a", "b").mapInArrow(_over_batches(work, *self._models), "row long, pair long, links long")
+        return self.tokens.select("row", "a", "b").mapInArrow(_over_slices(work, self._sizes, self._kind), "row long, pair long, links long")
 
     def counts(self) -> DataFrame:
         """(pair, docs, best): in how many documents a pair is linked, and whether that is the most for its id of A."""
-
-        def work(batch: _Batch, part: pa.RecordBatch) -> pa.RecordBatch:
-            pair, docs = np.unique(batch.pairs()[1], return_counts=True)
-            return pa.record_batch([pa.array(pair), pa.array(docs)], names=["pair", "docs"])
-
-        found = self.tokens.select("a", "b").mapInArrow(_over_batches(work, *self._models), "pair long, docs long")
-        found = settle(found.groupBy("pair").agg(F.sum("docs").alias("docs")), "pairs")
+        found = settle(self._linked.groupBy("pair").agg(F.sum("docs").alias("docs")), "pairs")
         most = found.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("docs").alias("most"))
         ranked = found.withColumn("a", F.shiftright("pair", 32)).join(most, "a")
         return settle(ranked.select("pair", "docs", (F.col("docs") == F.col("most")).alias("best")), "counts")
@@ -330,9 +325,35 @@ class Alignment:
         best = F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("n_best")
         return scored.groupBy("row").agg(best, F.sum(F.col("links") * F.col("docs")).alias("count_sum"))
 
+    def sizes(self) -> DataFrame:
+        """(row, id, n_a, n_b, n_links) of every row."""
+        counts = [(F.octet_length(c) / self._kind.itemsize).cast("long").alias(f"n_{c}") for c in ("a", "b")]
+        return self.tokens.select("row", "id", *counts, F.col("links").alias("n_links"))
+
+
+def _schema(id_type) -> T.StructType:
+    out = T.StructType().add("row", T.LongType()).add("id", id_type).add("a", T.BinaryType()).add("b", T.BinaryType())
+    return out.add("links", T.LongType()).add("pair", T.LongType()).add("docs", T.LongType())
+
+
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray, room: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose rows, of the given sizes, add up to about ``room``."""
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + room, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _exact(text: str, a_ids: list[int], b_ids: list[int], a: ByteLevel, b: Pieces) -> bool:
+    """True if both tokenizations give the text back."""
+    whole = (" " + text).encode()
+    return text != "" and b"".join(map(a.raw.__getitem__, a_ids)) == whole == b"".join(map(b.raw.__getitem__, b_ids))
+
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str = A_PATH, b_path: str = B_PATH) -> DataFrame:
-    """(id, a, b, n_groups, n_links, n_shared, groups, n_best, count_sum) of every document."""
+    """(id, n_a, n_b, n_links, n_groups, n_shared, groups, n_best, count_sum) of every document."""
     found = Alignment(docs, id_col, text_col, a_path, b_path)
-    out = found.tokens.join(found.groups(), "row").join(found.scores(), "row", "left").fillna(0, ["n_best", "count_sum"])
+    out = found.sizes().join(found.groups(), "row").join(found.scores(), "row", "left").fillna(0, ["n_best", "count_sum"])
     return out.drop("row").withColumnRenamed("id", id_col)

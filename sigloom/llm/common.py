@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Bytes of rows that are sent to a Python worker at a time: texts are long, and a worker holds them in several forms.
+BATCH_BYTES = 4 << 20
 # Largest side table that is broadcast: rows of a few numbers each, counted before every broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -34,3 +36,17 @@ KEY = ["_h1", "_h2", "_len"]
 def small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``side`` (a settled table) with a broadcast hint if it is counted to be small; else left to the planner."""
     return F.broadcast(side) if side.count() <= rows else side
+
+
+def small_bytes(side: DataFrame, row_bytes: str, most: int) -> DataFrame:
+    """``side`` (a settled table) with a broadcast hint if its rows, each of ``row_bytes`` (SQL), add up to at most ``most``."""
+    total = side.agg(F.sum(F.expr(row_bytes))).first()[0] or 0
+    return F.broadcast(side) if total <= most else side
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session sends rows to Python workers in batches of at most ``BATCH_BYTES`` (or less, if so set)."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(setting).removesuffix("b")
+    if not own.isdigit() or int(own) > BATCH_BYTES:
+        spark.conf.set(setting, BATCH_BYTES)

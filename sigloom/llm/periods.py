@@ -27,14 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from sigloom.llm.common import text_of
+from sigloom.llm.common import bounded_batches, text_of
 
 # A run has at least this many periods and this many words.
 REPEATS = 4
 LEAST = 6
 RUNS = "array<struct<start: bigint, length: bigint, period: bigint>>"
 # Bytes of text that are searched together.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
@@ -166,5 +166,6 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     """(id, n_words, runs, collapsed): the periodic runs of every text, and the text without what they repeat."""
     if repeats < 3:
         raise ValueError("repeats must be at least 3: a seed must be longer than its lag")
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), periodic(text_of(text_col), repeats, least).alias("_p"))
     return rows.select(F.col("_id").alias(id_col), "_p.n_words", "_p.runs", "_p.collapsed")

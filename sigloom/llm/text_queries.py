@@ -38,9 +38,8 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and overlap links of two tokenizations of every document, with corpus-wide counts of linked id pairs."""
     found = Alignment(table(spark, sf_dir, "documents"))
     digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256")
-    sizes = found.tokens.select("row", F.col("id").alias("doc_id"), F.size("a").cast("long").alias("n_a"), F.size("b").cast("long").alias("n_b"))
-    groups = found.groups().select("row", "n_groups", "n_links", digest, "n_shared")
-    out = sizes.join(groups, "row").join(found.scores(), "row", "left")
+    groups = found.groups().select("row", "n_groups", digest, "n_shared")
+    out = found.sizes().withColumnRenamed("id", "doc_id").join(groups, "row").join(found.scores(), "row", "left")
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", *counts, "groups_sha256", "n_shared")
 
