@@ -1,20 +1,24 @@
 """SimHash near-duplicates with a one-wildcard segment index.
 
 A fingerprint has 64 bits.  Links differ in at most three, so of two segments of 32 bits one differs in at most one.
-The index holds each segment once per bit with that bit as a wildcard: two segments that differ in at most one bit
-share at least one entry.  Rows that share an entry are verified on all 64 bits, and components of links are the groups.
+The index holds each segment as it is and once per bit with that bit as a wildcard.  Two fingerprints of an equal segment
+share its plain entry; two whose segments differ in one bit share the entry of that bit, which counts only if both values
+of the bit occur in it.  Rows that share an entry are verified on all 64 bits, and components of links are the groups.
 
-Only distinct fingerprints are indexed, so copies cost nothing.  An entry with many fingerprints is cut into tiles of
-at most 2 * TILE, and a tile returns a spanning forest of its links, not all its pairs.
+Only distinct fingerprints are indexed, so copies cost nothing.  The fingerprints of a crowded entry (more than ``TILE``)
+are indexed again by the other segment, whose bits are still free, cut in two halves in the same way, and so on.  An entry
+with at most eight free bits is compared whole: it holds less than 2,048 fingerprints, because each wildcard only doubles
+what the free bits allow.  A compared entry returns a spanning forest of its links, not all its pairs.
 
 Null texts count as empty; a text without words has fingerprint zero, linked like any other; null ids keep their row
 and are no candidates for the smallest id (a group of null ids alone has a null component); repeated rows are one
-fingerprint and keep one result row each; an empty table gives an empty result.
+fingerprint and keep one result row each; an empty table gives an empty result; columns of any other names may be there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,15 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from sigloom.llm.common import small, text_of
+from sigloom.llm.common import bounded_batches, small, text_of
 from sigloom.llm.components import connected_components
 from sigloom.scale import settle
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-# Fingerprints of one index entry that are compared in one go.
-TILE = 1024
+# Fingerprints of one index entry that are compared in one go, and free bits up to which any entry is.
+TILE = 512
+LAST_BITS = 8
+# Fingerprints that one task of the index starts from.
+_DEALT = 20_000
 # Rows of two numbers, one for each document that stays, that may be broadcast.
 KEPT_ROWS = 500_000
 # Shingles whose bits are counted at a time.
@@ -75,12 +82,21 @@ def fingerprints(text: Column, size: int = SHINGLE) -> Column:
     return simhash(text)
 
 
-def entries(marks: DataFrame) -> DataFrame:
-    """(entry, fp): 64 index entries a fingerprint, the number of the wildcard bit beside the segment without it."""
-    bit = F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit")
-    segment = "if(bit < 32, fp & 4294967295L, shiftrightunsigned(fp, 32))"
-    entry = f"shiftleft(cast(bit as bigint), 32) | ({segment} & ~shiftleft(1L, bit % 32))"
-    return marks.select("fp", bit).select(F.expr(entry).alias("entry"), "fp")
+def entries(rows: DataFrame, size: int) -> DataFrame:
+    """(entry, side, fp, free): the index entries of the ``size`` bits from bit ``free`` on of (key, fp, free) rows.
+
+    Each half gives a plain entry (side null) and one for each of its bits as the wildcard, with the bit's value as the
+    side; the other half stays free.
+    """
+    half = size // 2
+    which = F.explode(F.sequence(F.lit(0), F.lit(2 * half + 1))).alias("which")
+    rows = rows.select("key", "fp", "free", which)
+    rows = rows.select("*", F.expr(f"free + {half} * (which div {half + 1})").alias("at"), F.expr(f"which % {half + 1} - 1").alias("bit"))
+    mask = f"({(1 << half) - 1}L & ~if(bit < 0, 0L, shiftleft(1L, cast(bit as int))))"
+    entry = F.expr(f"xxhash64(key, which, shiftrightunsigned(fp, cast(at as int)) & {mask})")
+    side = F.expr("if(bit < 0, null, cast(shiftrightunsigned(fp, cast(at + bit as int)) & 1 as int))")
+    other = F.expr(f"cast(2 * free + {half} - at as int)")
+    return rows.select(entry.alias("entry"), side.alias("side"), "fp", other.alias("free"))
 
 
 def _forest(marks: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
@@ -102,11 +118,11 @@ def _tile_links(max_bits: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, rest = ("entry", "i", "j"), None
+        rest = None
         for batch in batches:
             frame = batch.to_pandas()
             rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            last = (rest[list(keys)] == rest[list(keys)].iloc[-1]).all(axis=1).to_numpy() if len(rest) else np.empty(0, bool)
+            last = (rest["entry"] == rest["entry"].iloc[-1]).to_numpy() if len(rest) else np.empty(0, bool)
             done, rest = rest[~last], rest[last]
             yield from _emit(done)
         if rest is not None:
@@ -115,9 +131,9 @@ def _tile_links(max_bits: int):
     def _emit(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
         if not len(frame):
             return
-        keys = frame[["entry", "i", "j"]].to_numpy()
+        keys = frame["entry"].to_numpy()
         marks = frame["fp"].to_numpy().astype(np.uint64, casting="unsafe")
-        starts = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1))))
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         ends = np.append(starts[1:], len(marks))
         two = starts[ends - starts == 2]
         two = two[np.bitwise_count(marks[two] ^ marks[two + 1]) <= max_bits]
@@ -137,16 +153,27 @@ def links(marks: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): links between distinct fingerprints (fp), enough to join all that a chain of links joins."""
     if max_bits > 3:
         raise ValueError("two segments with one wildcard find at most three differing bits")
-    index = entries(marks)
-    shared = index.groupBy("entry").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    rows = index.join(shared, "entry").select("entry", "fp", tiles.alias("tiles"))
-    # Blocks i and j of an entry meet in one tile; an entry of one block is its own tile.
-    block = F.pmod(F.xxhash64("fp"), F.col("tiles").cast("long")).cast("int")
-    rows = rows.select("entry", "fp", block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    rows = rows.select("entry", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    dealt = rows.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j")
-    return dealt.mapInArrow(_tile_links(max_bits), "a long, b long").distinct()
+    rows = marks.select(F.lit(0).cast("long").alias("key"), "fp", F.lit(0).alias("free"))
+    size, found = 64, []
+    while True:
+        index = entries(_dealt(rows), size)
+        sides = index.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
+        shared = sides.filter("n > 1 and (low is null or low < high)").select("entry", "n")
+        held = settle(index.select("entry", "fp", "free").join(shared, "entry"), "entries")
+        size //= 2
+        crowded = held.filter(F.col("n") > TILE) if size > LAST_BITS else held.limit(0)
+        small_enough = held.filter(F.col("n") <= TILE) if size > LAST_BITS else held
+        together = small_enough.select("entry", "fp").repartition("entry").sortWithinPartitions("entry")
+        found.append(together.mapInArrow(_tile_links(max_bits), "a long, b long"))
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionByName, found).distinct()
+        rows = crowded.select(F.col("entry").alias("key"), "fp", "free")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` (a settled table) over enough tasks for the entries that each row becomes."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // _DEALT)
+    return rows.repartition(tasks, "key", "fp")
 
 
 def _components(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -160,6 +187,7 @@ def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """(id, fp, component): the group of every row; its name is the smallest id that a chain of links reaches."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), fingerprints(text_of(text_col), size).alias("fp"))
     rows = settle(rows, "fingerprints")
     groups = _components(rows, max_bits)
@@ -174,6 +202,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Rows are told apart by two hashes of all their columns; of rows equal in every column one stays.
     """
+    bounded_batches(docs.sparkSession)
     mark = [F.xxhash64(*docs.columns).alias("_k1"), F.xxhash64(F.lit(1), *docs.columns).alias("_k2")]
     slim = settle(docs.select(*mark, F.col(id_col).alias("_id"), fingerprints(text_of(text_col)).alias("fp")), "rows")
     groups = small(_components(slim))

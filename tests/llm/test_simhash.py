@@ -68,6 +68,43 @@ def test_links_against_all_pairs(spark, monkeypatch):
     assert all((names[i] == names[j]) == (want[i] == want[j]) for i in range(len(marks)) for j in range(i))
 
 
+def crowd(n, seed=3):
+    """Fingerprints that share a half."""
+    draw = random.Random(seed)
+    return [(int(np.uint64(0xABCDEF0100000000 | x).astype(np.int64)),) for x in draw.sample(range(1 << 32), n)]
+
+
+def test_crowded_entries_stay_in_proportion(spark, monkeypatch):
+    counts = {}
+    held = []
+    settle = simhash.settle
+
+    def counted(df, label="table"):
+        out = settle(df, label)
+        held.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "settle", counted)
+    for n in (2000, 8000):
+        held.clear()
+        marks = simhash.settle(spark.createDataFrame(crowd(n), "fp long"))
+        simhash.links(marks).collect()
+        counts[n] = sum(held[1:])
+    assert counts[8000] < 64 * 8000 and counts[8000] < 5 * max(counts[2000], 8000)
+
+
+def test_a_ball_of_near_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 5)
+    draw = random.Random(9)
+    core = draw.getrandbits(64)
+    marks = sorted({core ^ (1 << a) ^ (1 << b) ^ (1 << c) for a, b, c in (draw.choices(range(64), k=3) for _ in range(150))})
+    signed = [int(np.uint64(m).astype(np.int64)) for m in marks]
+    joined = dict(map(tuple, connected_components(simhash.links(spark.createDataFrame([(m,) for m in signed], "fp long"))).collect()))
+    want = brute_components(marks, list(range(len(marks))))
+    names = [joined.get(s, s) for s in signed]
+    assert all((names[i] == names[j]) == (want[i] == want[j]) for i in range(len(marks)) for j in range(i))
+
+
 def test_edges_of_the_input(spark):
     rows = [(5, "a b c d e", "x"), (5, "a b c d e", "x"), (None, "a b c d e", "y"), (3, None, None), (2, "", "z"), (9, "w " * 9000, "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp string").withColumnRenamed("fp", "component")
