@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from registry.common import POSTINGS, WORDS, corpus, embeddings, table, tokens
 from registry.classify import ORACLE as CLASSIFY
 from registry.terms import topic_words
-from registry.vectors import _MAP, placed
+from registry.vectors import _MAP, _MEANS, placed
 from sigloom.functions.paths import key_percent
-from sigloom.operators import classify, cluster, embed, evaluate, som, topics
+from sigloom.operators import classify, cluster, embed, evaluate, mixture, som, topics
 from sigloom.plans import documents
 from sigloom.plans import signatures as plan
 from sigloom.scale import fresh_path, settle
@@ -20,12 +22,13 @@ from sigloom.sources.corpus import split_sentences
 SIZE = 100
 TOP_WORDS = 10_000
 GRID = (100, 100)
-EPOCHS = 5
-RADIUS = (30.0, 1.0)
+EPOCHS = 20
+RADIUS = (30.0, 5.0)
 SIGNATURES = 40
-# A full covariance needs more rows than dimensions in every component, which the test tables have for a few.
-COMPONENTS = 4
+COMPONENTS = 100
 TOPICS = 20
+# One round of expectation maximization from a fixed start.
+STEP_TOPICS, STEP_ALPHA, STEP_ETA = 5, 2.0, 1.1
 ROUNDS = 1000
 
 
@@ -42,7 +45,7 @@ def topic_model(spark, sf, reducer, signature, classifier, target="signature"):
     rows = tokens(spark, sf)
     return plan.train_topic_model(
         rows, reducer, signature, classifier, target, TOP_WORDS, SIZE, GRID, EPOCHS, RADIUS,
-        COMPONENTS if signature == "gmm" else SIGNATURES, ROUNDS if signature != "gmm" else 20,
+        SIGNATURES, ROUNDS,
         vectors=word_vectors(spark, sf), words=plan.top_words_table(rows, TOP_WORDS),
     )
 
@@ -79,9 +82,40 @@ def _kmeans_centers(spark, sf):
 
 
 def _gmm(spark, sf):
-    # A full covariance needs more rows per component than dimensions, so two components for 500 rows.
+    """The component of every vector in a mixture of a hundred, with what must hold: a component in range, a probability."""
     vectors = embeddings(spark, sf)
-    return cluster.model_assign(vectors, cluster.fit_gmm(vectors, 2, 20), ["vec_id"])
+    placed = mixture.mixture_assign(vectors, mixture.fit_gmm(vectors, COMPONENTS), ["vec_id"])
+    return placed.select("vec_id", F.col("cluster").between(0, COMPONENTS - 1).alias("known"), F.col("probability").between(0, 1).alias("share"))
+
+
+def _gmm_components(spark, sf):
+    """The components themselves: weight and size."""
+    model = mixture.fit_gmm(embeddings(spark, sf), COMPONENTS)
+    rows = [(i, float(w), [float(x) for x in m]) for i, (w, m) in enumerate(zip(model.weights, model.means, strict=True))]
+    return spark.createDataFrame(rows, "component int, weight double, mean array<double>")
+
+
+def gmm_start(spark, sf) -> mixture.Mixture:
+    """A component for each label: its share and mean, and the overall variances."""
+    vectors = embeddings(spark, sf)
+    rows = embed.mean_vectors(vectors, "label").orderBy("label").collect()
+    counts = np.array([r["n"] for r in rows], dtype=float)
+    means = np.array([r["vector"] for r in rows])
+    size = means.shape[1]
+    whole, _ = mixture.mixture_step(vectors, mixture.Mixture(np.ones(1), means[:1] * 0, np.ones((1, size))), np.zeros(size))
+    return mixture.Mixture(counts / counts.sum(), means, np.tile(whole.spread[0], (len(rows), 1)))
+
+
+def _gmm_step(spark, sf):
+    """Weights, means and variances after one round from the labels' means."""
+    start = gmm_start(spark, sf)
+    fresh, _ = mixture.mixture_step(embeddings(spark, sf), start, np.zeros(start.means.shape[1]))
+    rows = [
+        (i, d, float(fresh.weights[i]), float(fresh.means[i, d]), float(fresh.spread[i, d]))
+        for i in range(len(fresh.weights)) for d in range(fresh.means.shape[1])
+    ]
+    table = spark.createDataFrame(rows, "component int, dim int, weight double, mean double, variance double")
+    return table.select("component", "dim", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("weight", "mean", "variance")])
 
 
 def _saved(spark, sf):
@@ -106,11 +140,45 @@ def _topics(optimizer, features="counts"):
     return lambda spark, sf: topics.describe_topics(_lda(spark, sf, optimizer, features), 10)
 
 
-def _topic_weights(spark, sf):
-    """Terms and total weight of each topic; the weights of a topic add up to 1."""
-    matrix = topics.topic_matrix(_lda(spark, sf, "online"))
-    sums = matrix.groupBy("topic").agg(F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("weight"))
-    return sums
+def _topic_weights(*choice):
+    def run(spark, sf):
+        """Terms and total weight of each topic; the weights of a topic add up to 1."""
+        matrix = topics.topic_matrix(_lda(spark, sf, *choice))
+        return matrix.groupBy("topic").agg(F.count(F.lit(1)).alias("terms"), F.round(F.sum("weight"), 6).alias("weight"))
+
+    return run
+
+
+def _topic_places(*choice):
+    def run(spark, sf):
+        """What must hold for every line of a description: a place, a known term, weights that do not rise."""
+        fitted = _lda(spark, sf, *choice)
+        described = topics.describe_topics(fitted, 10)
+        after = F.lead("weight").over(Window.partitionBy("topic").orderBy("rank"))
+        falls = F.coalesce(F.col("weight") >= after, F.lit(True)).alias("falls")
+        known = described.join(fitted.terms.select("term", "df"), "term", "left")
+        return known.select("topic", "rank", F.col("df").isNotNull().alias("known"), F.col("weight").between(0, 1).alias("share"), falls)
+
+    return run
+
+
+def _em_step(spark, sf):
+    """Topic weights of all terms after one round from a start that md5 draws."""
+    postings, terms, documents = topics.numbered(tokens(spark, sf).select("doc_id", "tokens"))
+    named = postings.join(terms.select("term_id", "term"), "term_id")
+    seed = F.concat_ws(":", "term", "doc_id")
+    raw = F.array(
+        *[(F.conv(F.substring(F.md5(F.concat(seed, F.lit(f":{t}"))), 1, 4), 16, 10).cast("double") + 1) / 65536 for t in range(STEP_TOPICS)]
+    )
+    start = named.select("doc_id", "term_id", "n", raw.alias("r"))
+    total = F.aggregate("r", F.lit(0.0), lambda a, x: a + x)
+    start = settle(start.select("doc_id", "term_id", "n", "r", total.alias("total")), "drawn")
+    words, docs = topics.em_start(start, STEP_TOPICS, F.transform("r", lambda x: x / F.col("total")))
+    weights = terms.select("term_id", "df").join(words.withColumnRenamed("s", "weight"), "term_id")
+    sums = topics.vector_total(words, "s", STEP_TOPICS)
+    fresh, _ = topics.em_step(postings, weights, docs, sums, STEP_ALPHA, STEP_ETA, terms.count())
+    rows = fresh.join(terms.select("term_id", "term"), "term_id").select("term", F.posexplode("s").alias("topic", "weight"))
+    return rows.select("term", "topic", F.round("weight", 6).alias("weight"))
 
 
 def _likelihood(spark, sf):
@@ -189,7 +257,7 @@ def _cluster_documents(spark, sf):
 
 def _cluster_sentences(spark, sf):
     rows = _sentences(spark, sf)
-    pipeline, kmeans = plan.fit_sentence_clusters(rows, 10, 50)
+    pipeline, kmeans = plan.fit_sentence_clusters(rows, 10, SIZE)
     path = fresh_path(spark, "pipeline")
     tables.save_model(pipeline, path)
     again = tables.load_model(spark, path)
@@ -212,13 +280,19 @@ QUERIES = {
     "kmeans_fit": _kmeans,
     "kmeans_centers": _kmeans_centers,
     "gmm": _gmm,
+    "gmm_components": _gmm_components,
+    "gmm_step": _gmm_step,
     "saved_model": _saved,
     "lda_em": _topics("em"),
     "lda_online": _topics("online"),
     "lda_tfidf": _topics("online", "tfidf"),
     "lda_topic_lines": lambda spark, sf: topics.topic_lines(topics.describe_topics(_lda(spark, sf, "em"))),
     "topic_matrix": lambda spark, sf: topics.topic_matrix(_lda(spark, sf, "em")),
-    "topic_weights": _topic_weights,
+    "topic_weights": _topic_weights("online"),
+    "topic_weights_em": _topic_weights("em"),
+    "topic_places_tfidf": _topic_places("online", "tfidf"),
+    "topic_places_em": _topic_places("em"),
+    "lda_em_step": _em_step,
     "lda_log_likelihood": _likelihood,
     "som_fit": _som_history,
     "som_words": _som_words,
@@ -257,11 +331,47 @@ guessed AS (SELECT label, prediction FROM (
 
 CONFUSION = CLASSIFY["confusion"]
 
+_TOPIC_WEIGHTS = "WITH " + WORDS + f"""SELECT CAST(t AS INTEGER) AS topic,
+        (SELECT count(DISTINCT term) FROM words) AS terms, 1.0::DOUBLE AS weight FROM range({TOPICS}) r(t)"""
+_PLACES = f"""SELECT CAST(t AS INTEGER) AS topic, CAST(n + 1 AS INTEGER) AS rank, true AS known, true AS share, true AS falls
+        FROM range({TOPICS}) r(t) CROSS JOIN range(10) s(n)"""
+
+_LOG_DENSITY = """ln(share) - 0.5 * list_sum(list_transform(range(1, len(v.vector) + 1),
+      lambda i: ln(2 * pi() * variances[i]) + (v.vector[i] - s.vector[i]) * (v.vector[i] - s.vector[i]) / variances[i]))"""
+
 ORACLE = {
+    "gmm": "SELECT vec_id, true AS known, true AS share FROM embeddings",
+    "gmm_step": "WITH " + _MEANS + f""",
+        spread AS (SELECT list(v ORDER BY dim) AS variances FROM (SELECT dim, var_pop(value) AS v FROM dims GROUP BY dim)),
+        shares AS (SELECT label, count(*) / sum(count(*)) OVER () AS share FROM vectors GROUP BY label),
+        scores AS (SELECT v.vec_id, s.label, {_LOG_DENSITY} AS score
+          FROM vectors v CROSS JOIN signatures s JOIN shares ON shares.label = s.label CROSS JOIN spread),
+        topped AS (SELECT vec_id, label, exp(score - max(score) OVER (PARTITION BY vec_id)) AS p FROM scores),
+        held AS (SELECT vec_id, label, p / sum(p) OVER (PARTITION BY vec_id) AS r FROM topped),
+        sums AS (SELECT h.label, dim, sum(r) AS n, sum(r * value) AS s, sum(r * value * value) AS q
+          FROM held h JOIN dims d USING (vec_id) GROUP BY h.label, dim)
+        SELECT CAST(label AS INTEGER) AS component, CAST(dim AS INTEGER) AS dim,
+          round(n / (SELECT count(*) FROM vectors), 6) + 0.0 AS weight, round(s / n, 6) + 0.0 AS mean,
+          round(q / n - (s / n) * (s / n), 6) + 0.0 AS variance FROM sums""",
     "word2vec": "SELECT doc_id, 100 AS size FROM documents",
     "word_vectors": "WITH " + WORDS + "SELECT DISTINCT term AS word, 100 AS size, false AS broken FROM words",
-    "topic_weights": "WITH " + WORDS + """SELECT CAST(t AS INTEGER) AS topic,
-        (SELECT count(DISTINCT term) FROM words) AS terms, 1.0::DOUBLE AS weight FROM range(20) r(t)""",
+    "topic_places_tfidf": _PLACES,
+    "topic_places_em": _PLACES,
+    "topic_weights_em": _TOPIC_WEIGHTS,
+    "lda_em_step": "WITH " + POSTINGS + f""",
+        drawn AS (SELECT doc_id, term, tf, t, (CAST('0x' || substr(md5(term || ':' || doc_id || ':' || t), 1, 4) AS BIGINT) + 1) / 65536.0 AS r
+          FROM postings CROSS JOIN range({STEP_TOPICS}) x(t)),
+        dealt AS (SELECT doc_id, term, tf, t, tf * r / sum(r) OVER (PARTITION BY doc_id, term) AS v FROM drawn),
+        by_term AS (SELECT term, t, sum(v) AS v FROM dealt GROUP BY term, t),
+        by_doc AS (SELECT doc_id, t, sum(v) AS v FROM dealt GROUP BY doc_id, t),
+        totals AS (SELECT t, sum(v) AS v FROM by_term GROUP BY t),
+        size AS (SELECT count(DISTINCT term) AS terms FROM postings),
+        shares AS (SELECT p.doc_id, p.term, p.tf, t,
+            (w.v + {STEP_ETA - 1}) * (d.v + {STEP_ALPHA - 1}) / (totals.v + {STEP_ETA} * terms - terms) AS v
+          FROM postings p JOIN by_term w USING (term) JOIN by_doc d USING (doc_id, t) JOIN totals USING (t) CROSS JOIN size),
+        held AS (SELECT term, t, tf * v / sum(v) OVER (PARTITION BY doc_id, term) AS v FROM shares)
+        SELECT term, CAST(t AS INTEGER) AS topic, round(sum(v), 6) AS weight FROM held GROUP BY term, t""",
+    "topic_weights": _TOPIC_WEIGHTS,
     "som_word_parts": "WITH " + POSTINGS + f"""SELECT DISTINCT term AS word,
         CASE WHEN CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part,
         true AS on_grid FROM ({topic_words(10000)})""",

@@ -1,13 +1,11 @@
-"""Clusters of vectors: k-means, Gaussian mixtures, and reports on them."""
+"""Clusters of vectors: k-means and reports on it."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 import numpy as np
-from py4j.protocol import Py4JJavaError
-from pyspark import StorageLevel
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,11 +50,9 @@ def cluster_sizes(assigned: DataFrame, cluster: str = "cluster") -> DataFrame:
     return assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"))
 
 
-def center_matrix(model: KMeansModel | GaussianMixtureModel) -> np.ndarray:
-    """Centres (or component means) as a matrix."""
-    if isinstance(model, KMeansModel):
-        return np.array(model.clusterCenters())
-    return np.array([g.mean.toArray() for g in model.gaussians])
+def center_matrix(model: KMeansModel) -> np.ndarray:
+    """Centres as a matrix."""
+    return np.array(model.clusterCenters())
 
 
 def centers_table(spark: SparkSession, centers: np.ndarray) -> DataFrame:
@@ -65,27 +61,6 @@ def centers_table(spark: SparkSession, centers: np.ndarray) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, center array<double>")
 
 
-def fit_gmm(
-    df: DataFrame, k: int = 100, max_iter: int = 100, seed: int = 11, vector: str = "vector", starts: int = 3
-) -> GaussianMixtureModel:
-    """Gaussian mixture with full covariances by expectation maximization.
-
-    Spark's trainer fails when a component loses all its rows; up to ``starts``
-    seeds are tried before that is reported.
-    """
-    points = with_features(df, vector).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for start in range(starts):
-            try:
-                return GaussianMixture(k=k, maxIter=max_iter, seed=seed + start).fit(points)
-            except Py4JJavaError as error:
-                if "MatrixNotSymmetric" not in str(error.java_exception):
-                    raise
-        raise ValueError(f"the rows do not support {k} components with full covariances; use fewer")
-    finally:
-        points.unpersist()
-
-
 def model_assign(df: DataFrame, model, keys: Sequence[str], vector: str = "vector", cluster: str = "cluster") -> DataFrame:
-    """(keys…, cluster) by a fitted k-means or mixture model."""
+    """(keys…, cluster) by a fitted k-means model."""
     return model.transform(with_features(df, vector)).select(*keys, F.col("prediction").cast("int").alias(cluster))

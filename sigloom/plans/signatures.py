@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.text import content_words
-from sigloom.operators import classify, cluster, embed, evaluate, som, terms
+from sigloom.operators import classify, cluster, embed, evaluate, mixture, som, terms
 from sigloom.scale import bounded_rows, settle, top_per_group
 from sigloom.sources import tables
 
@@ -49,7 +49,7 @@ def _sign(df: DataFrame, model: TopicSignatures, keys: list[str]) -> DataFrame:
     """(keys…, vector, signature) without a join: the reduced vector travels along as a key."""
     carried = [*keys, "vector"]
     if model.signature == "gmm":
-        return cluster.model_assign(df, model.signer, carried, cluster="signature")
+        return mixture.mixture_assign(df.withColumn("_v", F.col("vector")), model.signer, carried, "_v", "signature").drop("probability")
     wide = df.withColumn("_v", F.col("vector"))
     weights = model.signer.weights if model.signature == "som" else cluster.center_matrix(model.signer)
     return cluster.kmeans_assign(wide, weights, carried, "_v", "signature").drop("dist")
@@ -102,7 +102,7 @@ def train_topic_model(
     if signature == "kmeans":
         model.signer = cluster.fit_kmeans(reduced, signatures, max_iter, seed)
     elif signature == "gmm":
-        model.signer = cluster.fit_gmm(reduced, signatures, min(max_iter, 100), seed)
+        model.signer = mixture.fit_gmm(reduced, signatures, min(max_iter, 100), seed)
     else:
         model.signer = som.fit_som(reduced, "word", 1, signatures, epochs=epochs, radius=(signatures / 4, 1.0))
     signed = _sign(reduced, model, ["word"])
@@ -176,7 +176,9 @@ def save_topic_model(model: TopicSignatures, path: str) -> None:
     for name, book in (("codebook", model.codebook), ("signer", model.signer)):
         if isinstance(book, som.Codebook):
             book.to_table(spark).write.parquet(f"{path}/{name}")
-    if model.signature != "som":
+    if model.signature == "gmm":
+        mixture.save_mixture(model.signer, spark, f"{path}/signer")
+    elif model.signature != "som":
         tables.save_model(model.signer, f"{path}/signer")
     tables.save_model(model.classifier, f"{path}/classifier")
 
@@ -189,7 +191,10 @@ def load_topic_model(spark: SparkSession, path: str) -> TopicSignatures:
         rows = bounded_rows(spark.read.parquet(f"{path}/{name}").select("unit", "weight"), grid[0] * grid[1], name)
         return som.Codebook(*grid, np.array([r["weight"] for r in sorted(rows)]))
 
-    signer = book("signer", settings["signer_grid"]) if settings["signature"] == "som" else tables.load_model(spark, f"{path}/signer")
+    if settings["signature"] == "som":
+        signer = book("signer", settings["signer_grid"])
+    else:
+        signer = (mixture.load_mixture if settings["signature"] == "gmm" else tables.load_model)(spark, f"{path}/signer")
     return TopicSignatures(
         spark.read.parquet(f"{path}/vectors"),
         settings["size"],

@@ -342,3 +342,30 @@ def test_new_text_with_a_saved_idf(spark, tmp_path):
     new = spark.createDataFrame([(9, "b", 2), (9, "c", 1)], "doc_id bigint, term string, tf bigint")
     got = {r.term: r.tfidf for r in terms.tfidf_of_new(new, str(tmp_path / "idf")).collect()}
     assert got == pytest.approx({"b": 2 * math.log(3 / 2), "c": math.log(3)})
+
+
+def test_codebook_files(spark, tmp_path):
+    book = som.Codebook(2, 3, np.arange(-12.0, 12.0).reshape(6, 4) / 7)
+    tables.write_codebook(book.to_table(spark), str(tmp_path / "c"))
+    back = som.codebook_from_table(tables.read_codebook(spark, str(tmp_path / "c")))
+    assert (back.width, back.height) == (2, 3) and (back.weights == book.weights).all()
+    lines = [r.value for r in spark.read.text(str(tmp_path / "c")).collect()]
+    assert all('"' not in line and len(line.split(" ")) == 7 for line in lines)
+
+
+def test_null_marks_as_text(spark, tmp_path):
+    words = ["\\N", "\\\\N", "\\\\\\N", None, "\\", "N", "\\n", "x\\N", "\\N\n", ""]
+    df = spark.createDataFrame(list(enumerate(words)), "n int, word string")
+    tables.write_delimited(df, str(tmp_path / "t"))
+    back = tables.read_delimited(spark, str(tmp_path / "t"), "n int, word string")
+    assert [r.word for r in sorted(back.collect())] == words
+
+
+def test_pmml_holds_the_centres(spark, vectors, tmp_path):
+    import xml.etree.ElementTree as tree
+
+    model = cluster.fit_kmeans(vectors, 3, 5)
+    tables.export_pmml(model, str(tmp_path / "m"))
+    text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "m")).collect())
+    arrays = [x.text.split() for x in tree.fromstring(text).iter() if x.tag.endswith("}Array")]
+    assert np.allclose(np.array(arrays, dtype=float), cluster.center_matrix(model))
