@@ -15,7 +15,9 @@ other marks agrees in the plain reading, whatever its other readings are.
 A text leaks an item when a consistent alignment covers a run of ``run`` of the item's words (the whole item if it is
 shorter), as a passage copied word for word does, or when consistent alignments together cover at least ``share`` of its
 words, as a copy with changed words does.  Windows that are mostly placeholders count for a run only if all values are
-equal, else any two lists of numbers would match.
+equal, else any two lists of numbers would match.  Windows of fewer than ``PLAIN_WORDS`` plain words are hashed with their
+values, so a list of numbers joins the same numbers only and not every other list: changed values are found as long as
+three words of a window are words.
 
 A bitmap of fixed size, made from the benchmark windows, drops windows of documents that cannot join before they leave
 the task; it has no false negatives.  Equal texts are decided once.
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from sigloom.llm.common import KEY, small, text_key, text_of
+from sigloom.llm.common import KEY, bounded_batches, small, text_key, text_of
 from sigloom.scale import settle
 
 SIZE = 8
@@ -42,12 +44,14 @@ LEAST_WORDS = 5
 # Words of an item in one run, and share of its words in any windows, that make a leak.
 RUN = 13
 SHARE = 0.5
+# Windows with fewer words that are no placeholders join by their values.
+PLAIN_WORDS = 3
 # Items of at least twice as many words have no windows shorter than this.
 LEAST_HALF = 6
 # Bits of the bitmap; it is fixed, so the bitmap is 4 MB for any benchmark.
 BITMAP_BITS = 25
 # Bytes of text that are read together.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 # Written units of measure.
 UNITS = (
     "mm cm m km kg g mg lb lbs oz ml l mph hz khz mhz ghz kb mb gb tb s sec secs min mins h hr hrs second seconds minute"
@@ -77,6 +81,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_known_powers = [np.ones(1, dtype=np.uint64)] * 2
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; those of one chunk are kept."""
+    if len(_known_powers[0]) >= size:
+        return _known_powers[0][:size], _known_powers[1][:size]
+    found = []
+    for base in (_BASE, _INVERSE):
+        powers = np.full(max(size, _CHUNK), base)
+        powers[0] = 1
+        found.append(np.cumprod(powers, out=powers))
+    if size <= 2 * _CHUNK:
+        _known_powers[:] = found
+    return found[0][:size], found[1][:size]
+
+
 class Words:
     """The template words of some texts.
 
@@ -109,7 +130,9 @@ class Words:
         more[1:] = digit[1:] & digit[:-1] & (starts[1:] - ends[:-1] == 1) & _JOINS[a[ends[:-1]]]
         first = np.flatnonzero(~more)
         last = np.append(first[1:], len(starts))[: len(first)] - 1
-        self.starts, self.ends, digit, hashes = starts[first], ends[last], digit[first], hashes[first]
+        # The value of a number of several parts is that of all of them.
+        hashes = np.where(first == last, hashes[first], self._hashes(low, starts[first], ends[last]))
+        self.starts, self.ends, digit, self.values = starts[first], ends[last], digit[first], hashes
         self.low = low.tobytes()
         self.doc = np.searchsorted(self.offsets, self.starts, side="right") - 1
         marks = np.concatenate(([0], np.cumsum(_MARK[a], dtype=np.int32)))
@@ -132,12 +155,11 @@ class Words:
     @staticmethod
     def _hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each run of bytes, from running sums of bytes times powers."""
-        powers = np.full(len(low), _BASE)
-        powers[:1] = 1
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((low + np.uint64(1)) * np.cumprod(powers))))
-        back = np.full(len(low), _INVERSE)
-        back[:1] = 1
-        return _mixed((sums[ends] - sums[starts]) * np.cumprod(back)[starts])
+        powers, back = _powers(len(low))
+        sums = np.zeros(len(low) + 1, dtype=np.uint64)
+        np.multiply(low + np.uint64(1), powers, out=sums[1:])
+        np.cumsum(sums, out=sums)
+        return _mixed((sums[ends] - sums[starts]) * back[starts])
 
     def value(self, place: int) -> str:
         return self.low[self.starts[place] : self.ends[place]].decode("utf-8", "replace")
@@ -203,7 +225,7 @@ def _window(words: Words, code: int, kinds: np.ndarray, at: int, first: int, siz
 
 def _read_windows(words: Words, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(hashes, kinds, readings, fresh) of all windows; a window is fresh in the first of the readings that agree on it."""
-    hashes = [window_hashes(codes, size) for _, codes, _ in words.readings]
+    hashes = [_template_hashes(codes, kinds, words.values, size) for _, codes, kinds in words.readings]
     for i, (_, _, kinds) in enumerate(words.readings):
         readings = sum(r * (hashes[j] == hashes[i]) for j, (r, _, _) in enumerate(words.readings))
         fresh = np.ones(len(hashes[i]), dtype=bool)
@@ -212,6 +234,19 @@ def _read_windows(words: Words, size: int) -> Iterator[tuple[np.ndarray, np.ndar
         yield hashes[i], kinds, readings, fresh
 
 
+def _template_hashes(codes: np.ndarray, kinds: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each window of the template, and of its values too where fewer than ``PLAIN_WORDS`` words are plain."""
+    out = window_hashes(codes, size)
+    plain = np.concatenate(([0], np.cumsum(kinds == 0)))
+    few = np.flatnonzero(plain[size:][: len(out)] - plain[: len(out)] < PLAIN_WORDS)
+    if len(few):
+        own = np.full(len(few), size, dtype=np.uint64)
+        for i in range(size):
+            own = own * _BASE + values[few + i]
+        out[few] = _mixed(out[few] + own)
+    return out
+
+
 def _held_windows(words: Words, texts: int, sizes: list[int], bits: np.ndarray) -> list[list]:
     out = [[] for _ in range(texts)]
     begin = np.searchsorted(words.doc, np.arange(texts))
@@ -243,7 +278,8 @@ def _item_windows(words: Words, size: int) -> list:
         # Inside another text the capital of an item's first word would make it a name: that window counts as well.
         codes, kinds = words.codes[:size].copy(), words.kinds.copy()
         codes[0], kinds[0] = _PLACES[NAME], NAME
-        found.append(_window(words, int(window_hashes(codes, size)[0].astype(np.int64)), kinds, 0, 0, size, SENTENCE))
+        code = _template_hashes(codes, kinds[:size], words.values, size)[0]
+        found.append(_window(words, int(code.astype(np.int64)), kinds, 0, 0, size, SENTENCE))
     return found
 
 
@@ -265,11 +301,12 @@ def bitmap_of(grams: DataFrame) -> np.ndarray:
 
 
 def leaked_texts(texts: DataFrame, grams: DataFrame, share: float = SHARE, run: int = RUN) -> DataFrame:
-    """(_h1, _h2, _len, item, covered, exact): the texts (_text) that leak an item of ``grams`` (a settled table).
+    """(_h1, _h2, _len, item, covered, exact): the texts (_text) that leak an item of ``grams`` (a settled table), settled.
 
     ``covered`` is the share of the item's words that is found; ``exact`` tells that all placeholder values are equal.
     """
     sizes = sorted(r.words for r in grams.select("words").distinct().collect())
+    bounded_batches(texts.sparkSession)
     bitmap = texts.sparkSession.sparkContext.broadcast(bitmap_of(grams))
     cut = texts.select(*text_key(F.col("_text")), windows(F.col("_text"), sizes, bitmap).alias("_w"))
     held = cut.select(*KEY, F.inline("_w")).withColumnsRenamed({"at": "there", "slots": "values", "readings": "read"})
@@ -295,7 +332,10 @@ def leaked_texts(texts: DataFrame, grams: DataFrame, share: float = SHARE, run:
         F.bool_or("ran").alias("ran"),
         F.bool_and(F.expr("forall(pairs, p -> p.old = p.new)")).alias("exact"),
     )
-    return found.filter(F.col("ran") | (F.col("covered") >= share)).select(*KEY, "item", "covered", "exact")
+    found = found.filter(F.col("ran") | (F.col("covered") >= share)).select(*KEY, "item", "covered", "exact")
+    found = settle(found, "leaks")
+    bitmap.destroy()
+    return found
 
 
 def find_leaks(
@@ -313,7 +353,7 @@ def find_leaks(
     """(id, item, covered, exact): one row for each document and benchmark item that it leaks."""
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
     grams = settle(benchmark_windows(benchmark, item_col, item_text_col, size), "windows")
-    leaks = settle(leaked_texts(rows.select("_text"), grams, share, run), "leaks")
+    leaks = leaked_texts(rows.select("_text"), grams, share, run)
     named = rows.select("_id", *text_key(F.col("_text"))).join(small(leaks), KEY)
     return named.select(F.col("_id").alias(id_col), F.col("item").alias(item_col), "covered", "exact")
 

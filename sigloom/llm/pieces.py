@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from sigloom.llm.common import bounded_batches
+
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Encoded words (and twice as many checked pairs) that a task remembers; emptied when full.
@@ -355,6 +357,7 @@ def decode(ids: Column, model) -> Column:
 
 def tokenize(docs: DataFrame, text_col: str = "text", path: str = MODEL_PATH) -> DataFrame:
     """``docs`` with token_ids and n_tokens; own columns of these names are replaced."""
+    bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(read_model(path))
     rows = docs.select(F.struct("*").alias("_row"), encode(F.col(text_col).cast("string"), model).alias("_ids"))
     kept = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("token_ids", "n_tokens")]

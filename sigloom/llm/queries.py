@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.llm import decontaminate, pieces, secrets, simhash, toxicity
-from sigloom.llm.common import table
+from sigloom.llm.common import bounded_batches, table
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and a digest of the text that they decode to."""
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(pieces.read_model())
     rows = table(spark, sf_dir, "documents").select("doc_id", pieces.encode_checked(F.col("text"), model).alias("out"))
     return rows.select(

@@ -27,12 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from sigloom.llm.common import text_of
+from sigloom.llm.common import bounded_batches, text_of
 
 _TOKEN = re.compile(r"\w+|[.!?\n]")
 _END = frozenset(".!?\n")
 PREFIXES = (4, 5, 6, 7)
 RESULT = "score double, spans array<struct<start:int,end:int,p:double>>"
+# Characters whose tokens are held at a time.
+_CHARS = 250_000
 # Token cache of a task; emptied when full.
 _CACHE = 300_000
 
@@ -314,6 +316,7 @@ def fit_toxicity(
     ratio: float = 10.0,
 ) -> Model:
     """A model from the labelled documents that are not held out."""
+    bounded_batches(docs.sparkSession)
     texts, counts = _sample(docs, labels, id_col, text_col, label_col, sample_docs, sample_chars)
     model = Model()
     if not (texts[0] and texts[1]):
@@ -359,10 +362,10 @@ def toxicity(text: Column, model: Model) -> Column:
         for texts in batches:
             parts, at = [], 0
             sizes = texts.str.len().to_numpy().cumsum() if len(texts) else []
-            # About two million characters at a time, so that the token arrays stay small.
+            # A part of the characters at a time, so that the token arrays stay small.
             while at < len(texts):
                 done = sizes[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(sizes, done + 2_000_000, side="right")))
+                to = max(at + 1, int(np.searchsorted(sizes, done + _CHARS, side="right")))
                 parts.append(scorer.score(list(texts.iloc[at:to])))
                 at = to
             yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"score": [], "spans": []})
@@ -372,6 +375,7 @@ def toxicity(text: Column, model: Model) -> Column:
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, predicted, spans) of every document."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("_id"), toxicity(text_of(text_col), model).alias("_t"))
     predicted = (F.col("_t.score") >= 0.5).cast("int").alias("predicted")
     return rows.select(F.col("_id").alias(id_col), F.col("_t.score").alias("score"), predicted, F.col("_t.spans").alias("spans"))

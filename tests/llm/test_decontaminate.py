@@ -1,5 +1,8 @@
+import random
 import re
 
+from llm.leak_rule import item_windows, leaked
+from pyspark.sql import functions as F
 from sigloom.llm import decontaminate, queries
 from sigloom.llm.decontaminate import Words
 
@@ -106,24 +109,44 @@ def test_filter_keeps_columns(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
 
 
-def test_query_against_plain_windows(spark):
-    """Every run of eight equal words, found by brute force, belongs to a reported pair and the other way round."""
+def test_windows_of_numbers_join_by_their_values(spark):
+    """Texts of numbers against lists of numbers: what is joined stays in proportion to what is held."""
+    draw = random.Random(5)
+    rows = [(i, " ".join(str(draw.randint(1, 99)) for _ in range(1500)), "", 1) for i in range(12)]
+    items = [(i, "Sort these: " + " ".join(str(draw.randint(1, 99)) for _ in range(24)) + " please") for i in range(25)]
+    rows.append((50, "look " + items[3][1][12:], "", 1))
+    assert [(d, i) for d, i, _ in leaks(spark, rows, items)] == [(50, 3)]
+    texts = spark.createDataFrame([(t,) for _, t, _, _ in rows], "_text string")
+    grams = decontaminate.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"))
+    held = texts.select(decontaminate.windows(F.col("_text"), [8]).alias("_w")).select(F.explode("_w.hash").alias("hash"))
+    assert held.join(grams, "hash").count() < 2000
+
+
+def variants(items, draw):
+    """Items as other texts may hold them."""
+    for _, text in items:
+        own = text.split()
+        at = draw.randrange(len(own))
+        yield "So. " + text + " End."
+        yield " ".join(own[:at] + own[at + 1 :])
+        yield re.sub(r"\d+", lambda m: str(int(m[0]) + 1), text)
+        yield "By " + re.sub(r"[^\w ]", "", text).title()
+        yield "see " + " ".join(own[at : at + draw.randint(8, 16)]) + " there"
+        yield re.sub(r"\b[A-Z][a-z]+", "Zoe", text)
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    """All pairs of the given tables and of planted variants, and no others, by the rule stated anew."""
     sf = "/root/testdata/sf0.01"
-
-    def words(text):
-        return re.findall(r"[^\W_]+", text.lower())
-
-    grams = {}
-    for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect():
-        own = words(r.text)
-        for i in range(len(own) - 7):
-            grams.setdefault(tuple(own[i : i + 8]), set()).add((r.item_id, i, len(own) - 7))
-    want = set()
-    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
-        own, held = words(r.text), {}
-        for i in range(len(own) - 7):
-            for item, at, of in grams.get(tuple(own[i : i + 8]), ()):
-                held.setdefault((item, of), set()).add(at)
-        want |= {(r.doc_id, item) for (item, of), at in held.items() if len(at) >= 0.5 * of}
-    got = {(r.doc_id, r.item_id) for r in queries.op4_decontamination(spark, sf).collect()}
-    assert got == want and got
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    planted = [(10_000 + i, t) for i, t in enumerate(variants(items, random.Random(2)))]
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()] + planted
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    index = item_windows(items)
+    want = {(d, item) for d, text in docs for item in leaked(text, index)}
+    got = [(r.doc_id, r.item_id) for r in queries.op4_decontamination(spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # Recall on what was planted: whole items with other marks or one word less.
+    whole = [(10_000 + 6 * n + k, item) for n, (item, _) in enumerate(items) for k in (0, 1, 3)]
+    assert sum(x in want for x in whole) / len(whole) > 0.95
