@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,7 +12,8 @@ from registry.classify import ORACLE as CLASSIFY
 from registry.terms import topic_words
 from registry.vectors import _MAP, _MEANS, placed
 from sigloom.functions.paths import key_percent
-from sigloom.operators import classify, cluster, embed, evaluate, mixture, som, topics
+from sigloom.operators import classify, cluster, embed, evaluate, mixture, skipgram, som, topics
+from sigloom.operators.terms import term_freq
 from sigloom.plans import documents
 from sigloom.plans import signatures as plan
 from sigloom.scale import fresh_path, settle
@@ -32,12 +33,14 @@ STEP_TOPICS, STEP_ALPHA, STEP_ETA = 5, 2.0, 1.1
 ROUNDS = 1000
 
 
-def word2vec(spark, sf):
-    return embed.fit_word2vec(tokens(spark, sf), SIZE)
+def word_vectors(spark, sf):
+    return settle(skipgram.train_vectors(tokens(spark, sf), SIZE), "vectors")
 
 
-def word_vectors(spark, sf):
-    return settle(embed.word_vectors(word2vec(spark, sf)), "vectors")
+def mean_vectors(spark, sf):
+    """(doc_id, vector): the mean word vector of every document."""
+    rows = term_freq(tokens(spark, sf).select("doc_id", "tokens"), keep_empty=True)
+    return embed.embed(rows, word_vectors(spark, sf), ["doc_id"], SIZE)
 
 
 def topic_model(spark, sf, reducer, signature, classifier, target="signature"):
@@ -58,10 +61,8 @@ def _variant(*choice):
 
 
 def _word2vec(spark, sf):
-    """Documents with the length of their mean vector; the numbers depend on the training order."""
-    sentences = tokens(spark, sf).select("doc_id", "tokens")
-    means = word2vec(spark, sf).transform(sentences).select("doc_id", vector_to_array("vector").alias("vector"))
-    return means.select("doc_id", F.size("vector").cast("bigint").alias("size"))
+    """Documents with the length of their mean vector; the numbers follow from the training."""
+    return mean_vectors(spark, sf).select("doc_id", F.size("vector").cast("bigint").alias("size"))
 
 
 def _similar_words(spark, sf):
@@ -248,7 +249,7 @@ def _documents(classifier):
 
 def _cluster_documents(spark, sf):
     """Documents clustered on their mean vectors, written as ``doc;cluster`` lines, and counted from the file."""
-    rows = word2vec(spark, sf).transform(tokens(spark, sf)).select("doc_id", F.col("vector").alias("features"))
+    rows = mean_vectors(spark, sf).select("doc_id", array_to_vector("vector").alias("features"))
     _, placed = documents.cluster_documents(rows, 5)
     path = fresh_path(spark, "document-clusters")
     tables.write_delimited(placed, path, ";")
@@ -265,10 +266,11 @@ def _cluster_sentences(spark, sf):
 
 
 def _sizes(spark, sf):
-    named = embeddings(spark, sf).select(F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"), "vector")
-    words = placed(spark, sf).select(F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"))
-    report = plan.signature_size_report(table(spark, sf, "documents"), named, words)
-    return report.withColumns({c: F.round(c, 6) for c in ("of_vectors", "of_text")})
+    """Bytes of the texts, of the trained word vectors and of the signatures, with what was published beside them."""
+    model = topic_model(spark, sf, "som", "kmeans", "nb")
+    report = plan.signature_size_report(table(spark, sf, "documents"), model.vectors, model.words)
+    published = [F.lit(x).alias(c) for c, x in (("published_of_vectors", 0.0089), ("published_of_text", 0.01))]
+    return report.select(*[F.round(c, 6).alias(c) if c.startswith("of_") else c for c in report.columns], *published)
 
 
 QUERIES = {
@@ -382,10 +384,11 @@ ORACLE = {
     "saved_model": "SELECT count(*) AS n, count(*) AS same FROM embeddings",
     # Trained on term counts by Spark ML, it must decide as the tables of ``nb_predict`` do.
     "documents_nb": CONFUSION,
-    "signature_sizes": """WITH sizes AS (SELECT
+    "signature_sizes": "WITH " + POSTINGS + f""",
+        sizes AS (SELECT
           (SELECT CAST(sum(octet_length(encode(text))) AS BIGINT) FROM documents) AS text_bytes,
-          CAST(sum(octet_length(encode('w' || vec_id)) + 8 * len(embedding)) AS BIGINT) AS vector_bytes,
-          CAST(sum(octet_length(encode('w' || vec_id)) + 24) AS BIGINT) AS signature_bytes FROM embeddings)
-        SELECT *, round(signature_bytes / vector_bytes, 6) AS of_vectors, round(signature_bytes / text_bytes, 6) AS of_text
-        FROM sizes""",
+          (SELECT CAST(sum(octet_length(encode(term)) + 8 * {SIZE}) AS BIGINT) FROM (SELECT DISTINCT term FROM words)) AS vector_bytes,
+          (SELECT CAST(sum(octet_length(encode(term)) + 24) AS BIGINT) FROM (SELECT DISTINCT term FROM ({topic_words(TOP_WORDS)}))) AS signature_bytes)
+        SELECT *, round(signature_bytes / vector_bytes, 6) AS of_vectors, round(signature_bytes / text_bytes, 6) AS of_text,
+          0.0089::DOUBLE AS published_of_vectors, 0.01::DOUBLE AS published_of_text FROM sizes""",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from registry.common import DIMS, POSTINGS, WORD_VECTORS, embeddings, hashed_word_vectors, long_vectors, postings
 from sigloom.operators import classify, cluster, embed, som
-from sigloom.scale import settle, top_per_group
+from sigloom.scale import settle
 
 GRID = (4, 4)
 RADIUS = 1.5
@@ -16,9 +16,8 @@ LINE = 8
 
 def _doc_means(spark, sf):
     rows = settle(postings(spark, sf), "postings")
-    vectors = hashed_word_vectors(spark, sf, rows).filter(F.col("df") >= 2)
-    vectors = settle(vectors.select("word", "df", "vector"), "word-vectors")
-    return long_vectors(embed.embed(rows, vectors, ["doc_id"], weight="df"), ["doc_id"])
+    vectors = settle(hashed_word_vectors(spark, sf, rows).select("word", "vector"), "word-vectors")
+    return long_vectors(embed.embed(rows, vectors, ["doc_id"]), ["doc_id"])
 
 
 def _signatures(spark, sf):
@@ -36,12 +35,9 @@ def _nearest(norm):
 
 
 def _synonyms(spark, sf):
+    """The ten nearest vectors of every one whose id is divisible by 100."""
     vectors = embeddings(spark, sf)
-    near = embed.nearest_signature(vectors, _signatures(spark, sf), ["vec_id", "vector"], "l2")
-    near = near.withColumn("distance", F.round("distance", 6))
-    order = [F.asc("distance"), F.asc("vec_id")]
-    heads = top_per_group(near, ["signature"], order, 1, ["vec_id"]).select("vec_id", "vector")
-    return embed.synonyms(heads, vectors, 10, "vec_id").select(
+    return embed.synonyms(vectors.filter("vec_id % 100 = 0"), vectors, 10, "vec_id").select(
         "query", "rank", F.col("vec_id").alias("neighbour"), "similarity"
     )
 
@@ -164,7 +160,7 @@ fresh AS (SELECT j.unit,
 ORACLE = {
     "doc_mean_vector": "WITH " + POSTINGS + "," + WORD_VECTORS + """,
         joined AS (SELECT p.doc_id, p.tf, w.vector FROM postings p
-          LEFT JOIN (SELECT * FROM word_vectors WHERE df >= 2) w ON w.word = p.term),
+          LEFT JOIN word_vectors w ON w.word = p.term),
         counts AS (SELECT doc_id, sum(tf) AS n FROM postings GROUP BY doc_id),
         parts AS (SELECT doc_id, tf, unnest(range(64)) AS dim, unnest(coalesce(vector, list_transform(range(64), lambda i: 0.0::DOUBLE))) AS value
           FROM joined)
@@ -172,14 +168,12 @@ ORACLE = {
         FROM parts JOIN counts USING (doc_id) GROUP BY doc_id, dim""",
     "class_mean_vector": "WITH " + _MEANS + """
         SELECT label, n, CAST(dim AS INTEGER) AS dim, round(value, 6) + 0.0 AS value FROM means""",
-    "synonyms_topk": "WITH " + _MEANS + _NEAREST.format(d=_L2) + """,
-        heads AS (SELECT vec_id, vector FROM (SELECT *, row_number() OVER
-          (PARTITION BY signature ORDER BY round(sqrt(d), 6), vec_id) AS r FROM nearest) WHERE r = 1)
+    "synonyms_topk": "WITH " + DIMS + """
         SELECT query, CAST(rank AS INTEGER) AS rank, neighbour, similarity FROM (
           SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, neighbour) AS rank FROM (
             SELECT h.vec_id AS query, v.vec_id AS neighbour,
                    round(list_cosine_similarity(h.vector, v.vector), 6) + 0.0 AS similarity
-            FROM heads h JOIN vectors v ON v.vec_id <> h.vec_id)) WHERE rank <= 10""",
+            FROM vectors h JOIN vectors v ON v.vec_id <> h.vec_id WHERE h.vec_id % 100 = 0)) WHERE rank <= 10""",
     "minmax_scale": "WITH " + DIMS + """,
         bounds AS (SELECT dim, min(value) AS low, max(value) AS high FROM dims GROUP BY dim)
         SELECT vec_id, CAST(dim AS INTEGER) AS dim,

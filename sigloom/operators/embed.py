@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,12 @@ from pyspark.sql import types as T
 
 from sigloom.functions.vectors import as_doubles, literal_array, sum_vectors
 from sigloom.operators.kernel import assign, matrix_of, shared_codebook
-from sigloom.scale import bounded_rows, rows_within, sized_join
+from sigloom.scale import bounded_rows, settle
 
-# Largest number of words whose neighbours are searched in one pass.
-MAX_QUERIES = 100_000
+# Words whose neighbours are searched in one pass, about.
+QUERY_BLOCK = 50_000
+# Vectors in a block of the mean-vector product, about.
+BLOCK_WORDS = 50_000
 
 
 def fit_word2vec(
@@ -50,25 +53,134 @@ def vector_size(df: DataFrame, vector: str = "vector") -> int:
     return row[0]
 
 
-def embed(
-    postings: DataFrame, vectors: DataFrame, keys: Sequence[str] = ("doc_id",), size: int | None = None,
-    weight: str | None = None,
-) -> DataFrame:
-    """Mean word vector of each document from (keys…, term, tf) rows.
+def embed(postings: DataFrame, vectors: DataFrame, keys: Sequence[str] = ("doc_id",), size: int | None = None) -> DataFrame:
+    """Mean word vector of each document from (keys…, term, tf) rows, as a product of sparse rows with blocks of vectors.
 
     The mean is over all tokens: unknown words count as zero vectors.  A row
-    with null term (document without tokens) gives a zero vector.  ``weight``
-    names a column of ``vectors`` with the rows per word, if it is known.
+    with null term (document without tokens) gives a zero vector.
+
+    Vectors are packed into blocks by a hash of the word, documents are dealt into lanes by a hash of their keys.  A task
+    holds one block of vectors and reads the postings of one lane that need it, sorted by document, so a posting carries
+    a hash and a count and never a vector, and a document gives one partial sum for each block.
     """
     size = vector_size(vectors) if size is None else size
-    known = [] if weight is None else [F.col(weight).alias("_weight")]
-    named = vectors.select(F.col("word").alias("term"), F.col("vector").alias("_v"), *known)
-    joined = sized_join(postings, named, ["term"], keys, "left", "_weight" if known else None, max_rows=rows_within(size))
-    added = joined.groupBy(*keys).agg(
-        sum_vectors(F.col("_v"), size, F.col("tf")).alias("_s"), F.sum("tf").alias("_n")
-    )
-    mean = F.transform("_s", lambda v: F.coalesce(v / F.greatest(F.col("_n"), F.lit(1)), F.lit(0.0)))
-    return added.select(*keys, mean.alias("vector"))
+    keys = list(keys)
+    context = postings.sparkSession.sparkContext
+    known = vectors.select(F.xxhash64("word").alias("word"), as_doubles("vector").alias("vector"))
+    blocks = max(1, -(-vectors.count() // BLOCK_WORDS))
+    lanes = max(1, -(-context.defaultParallelism // blocks))
+
+    def block_of(column: str) -> Column:
+        return F.pmod(F.col(column), F.lit(blocks)).cast("int")
+
+    packed = known.withColumn("block", block_of("word")).groupBy("block").applyInPandas(_pack, "block int, words binary, matrix binary")
+    null = F.lit(None)
+    sides = packed.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), "block", F.lit(0).alias("kind"), "words", "matrix")
+    for c in keys:
+        sides = sides.withColumn(c, null.cast(postings.schema[c].dataType))
+    sides = sides.withColumn("term", null.cast("long")).withColumn("tf", null.cast("double"))
+    # A row without a term belongs to any block.
+    hashed = F.when(F.col("term").isNotNull(), F.xxhash64("term")).alias("term")
+    rows = postings.select(*keys, hashed, F.coalesce(F.col("tf"), F.lit(0)).cast("double").alias("tf"))
+    rows = rows.select(
+        F.pmod(F.xxhash64(*keys), F.lit(lanes)).cast("int").alias("lane"), F.coalesce(block_of("term"), F.lit(0)).alias("block"),
+        F.lit(1).alias("kind"), null.cast("binary").alias("words"), null.cast("binary").alias("matrix"), *keys, "term", "tf",
+    )
+    order = ["lane", "block", "kind", *keys]
+    dealt = sides.select(rows.columns).unionByName(rows).repartition(lanes * blocks, "lane", "block").sortWithinPartitions(*order)
+    out = T.StructType([postings.schema[c] for c in keys]).add("s", T.ArrayType(T.DoubleType())).add("n", T.DoubleType())
+    partial = dealt.mapInArrow(_partial_sums(keys, size), out)
+    together = partial.repartition(*keys).sortWithinPartitions(*keys)
+    final = T.StructType([postings.schema[c] for c in keys]).add("vector", T.ArrayType(T.DoubleType()))
+    return together.mapInArrow(_means(keys, size), final)
+
+
+def _pack(frame):
+    """A block of vectors as one row, by word."""
+    import pandas as pd
+
+    frame = frame.sort_values("word")
+    matrix = np.stack(frame["vector"].to_numpy()).astype(np.float64)
+    words = frame["word"].to_numpy(np.int64)
+    return pd.DataFrame({"block": [int(frame["block"].iloc[0])], "words": [words.tobytes()], "matrix": [matrix.tobytes()]})
+
+
+def _starts(batch, keys: list[str]) -> np.ndarray:
+    """Where the keys of sorted rows change; nulls are equal to each other."""
+    new = np.zeros(batch.num_rows, dtype=bool)
+    new[:1] = True
+    for c in keys:
+        codes = batch.column(c).dictionary_encode()
+        codes = codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes
+        place = codes.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        new[1:] |= place[1:] != place[:-1]
+    return np.flatnonzero(new)
+
+
+def _lists(matrix: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1])
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
+
+
+def _partial_sums(keys: list[str], size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, words, matrix = None, np.empty(0, np.int64), np.zeros((0, size))
+        for batch in batches:
+            for a, b in _segments(batch, ["lane", "block", "kind"]):
+                part = batch.slice(a, b - a)
+                lane, block, kind = (part.column(c)[0].as_py() for c in ("lane", "block", "kind"))
+                if (lane, block) != task:
+                    task, words, matrix = (lane, block), np.empty(0, np.int64), np.zeros((0, size))
+                if kind == 0:
+                    words = np.frombuffer(part.column("words")[0].as_buffer(), dtype=np.int64)
+                    matrix = np.frombuffer(part.column("matrix")[0].as_buffer()).reshape(len(words), -1)
+                    if matrix.shape[1] != size:
+                        raise ValueError(f"vectors must have {size} numbers")
+                    continue
+                term = part.column("term").fill_null(0).to_numpy(zero_copy_only=False)
+                tf = part.column("tf").to_numpy(zero_copy_only=False)
+                place = np.searchsorted(words, term)
+                found = (place < len(words)) & part.column("term").is_valid().to_numpy(zero_copy_only=False)
+                found[found] = words[place[found]] == term[found]
+                rows = np.zeros((len(term), size))
+                rows[found] = matrix[place[found]] * tf[found, None]
+                starts = _starts(part, keys)
+                sums, counts = np.add.reduceat(rows, starts, axis=0), np.add.reduceat(tf, starts)
+                first = part.select(keys).take(pa.array(starts))
+                yield pa.record_batch([*first.columns, _lists(sums), pa.array(counts)], names=[*keys, "s", "n"])
+
+    return run
+
+
+def _segments(batch: pa.RecordBatch, columns: list[str]) -> Iterator[tuple[int, int]]:
+    starts = _starts(batch, columns)
+    yield from zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True)
+
+
+def _means(keys: list[str], size: int):
+    """Adds up the partial sums of each document, which arrive side by side."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            starts = _starts(table, keys)
+            if len(starts):
+                cut = int(starts[-1])
+                if cut:
+                    yield mean(table.slice(0, cut).combine_chunks())
+                rest = table.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield mean(rest.combine_chunks())
+
+    def mean(table: pa.Table) -> pa.RecordBatch:
+        starts = _starts(table, keys)
+        sums = table["s"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+        total = np.add.reduceat(sums, starts, axis=0) / np.maximum(np.add.reduceat(table["n"].to_numpy(), starts), 1)[:, None]
+        first = table.select(keys).take(pa.array(starts)).combine_chunks()
+        return pa.record_batch([*(c.combine_chunks() for c in first.columns), _lists(total)], names=[*keys, "vector"])
+
+    return run
 
 
 def synonyms(
@@ -76,26 +188,51 @@ def synonyms(
 ) -> DataFrame:
     """The ``k`` nearest words by cosine for each query word: (query, rank, word, similarity).
 
-    The queries are a bounded list (the top words) and go to every task as one
-    matrix; a task keeps only its k best rows per query, so tasks * queries * k
-    rows are shuffled instead of all pairs.  A word is not its own neighbour.
+    The queries go to every task as one matrix, in blocks of bounded size; a
+    task keeps only its k best rows per query, so tasks * queries * k
+    rows are shuffled instead of all pairs.  A word is not its own neighbour;
+    of equal similarities (to six digits) the smaller word comes first.
     """
-    rows = bounded_rows(queries.select(word, as_doubles(vector).alias("v")), MAX_QUERIES, "synonym queries")
+    asked = settle(queries.select(word, as_doubles(vector).alias("v")), "asked")
     kind = vectors.schema[word].dataType
     out = T.StructType().add("query", kind).add(word, kind).add("similarity", T.DoubleType())
-    if not rows:
+    source = vectors.select(word, as_doubles(vector).alias("_v"))
+    count = asked.count()
+    if not count:
         return vectors.sparkSession.createDataFrame([], out.add("rank", T.IntegerType()))
+    blocks = -(-count // QUERY_BLOCK)
+    found = []
+    for number in range(blocks):
+        own = asked.filter(F.pmod(F.xxhash64(word), F.lit(blocks)) == number)
+        # A block is bounded by the spread of the hash.
+        rows = bounded_rows(own, 2 * QUERY_BLOCK + 1000, "synonym queries of a block")
+        if rows:
+            found.append(source.mapInArrow(_neighbours(vectors.sparkSession, rows, k, word, kind), out))
+    window = Window.partitionBy("query").orderBy(F.desc("similarity"), F.asc(word))
+    partial = reduce(DataFrame.unionByName, found)
+    return partial.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+
+
+def _neighbours(spark, rows: list, k: int, word: str, kind: T.DataType):
     rows = sorted(rows, key=lambda r: r[0])
     matrix = np.array([r[1] for r in rows])
     lengths = np.sqrt((matrix**2).sum(axis=1))
-    shared = shared_codebook(vectors.sparkSession, matrix / np.where(lengths > 0, lengths, 1.0)[:, None])
+    shared = shared_codebook(spark, matrix / np.where(lengths > 0, lengths, 1.0)[:, None])
     names = [r[0] for r in rows]
     arrow_kind = pa.string() if isinstance(kind, T.StringType) else pa.int64() if isinstance(kind, T.LongType) else pa.int32()
-    source = vectors.select(word, as_doubles(vector).alias("_v"))
+
+    def best(query: np.ndarray, words: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k first of each query."""
+        _, rank = np.unique(words, return_inverse=True)
+        order = np.lexsort((rank, -score, query))
+        query, words, score = query[order], words[order], score[order]
+        kept = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return query[kept], words[kept], score[kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        best: list[list[tuple]] = [[] for _ in names]
+        own_names = np.array(names, dtype=object)
+        held = np.empty(0, np.int64), np.empty(0, object), np.empty(0)
         floor = np.full(len(names), -np.inf)
         step = max(64, 4_000_000 // len(names))
         for batch in batches:
@@ -106,29 +243,21 @@ def synonyms(
             for start in range(0, len(points), step):
                 block = words[start : start + step]
                 cosine = np.round(points[start : start + step] @ table.T, 6) + 0.0
-                # Only queries that gain a row from this block are looked at one by one.
-                for q in np.flatnonzero((cosine >= floor).any(axis=0)):
-                    column, least = cosine[:, q], floor[q]
-                    if np.isinf(least) and len(column) > k + 1:
-                        least = np.partition(column, len(column) - k - 1)[len(column) - k - 1]
-                    near = np.flatnonzero(column >= least)
-                    found = [(-column[i], block[i]) for i in near if block[i] != names[q]]
-                    best[q] = sorted(best[q] + found)[:k]
-                    if len(best[q]) == k:
-                        floor[q] = -best[q][-1][0]
-        flat = [(names[q], w, -s) for q, rest in enumerate(best) for s, w in rest]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([f[0] for f in flat], arrow_kind),
-                pa.array([f[1] for f in flat], arrow_kind),
-                pa.array([f[2] for f in flat], pa.float64()),
-            ],
-            ["query", word, "similarity"],
-        )
-
-    partial = source.mapInArrow(run, out)
-    window = Window.partitionBy("query").orderBy(F.desc("similarity"), F.asc(word))
-    return partial.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+                least = floor
+                if len(block) > k + 1:
+                    # One more than k, since a word may meet itself.
+                    least = np.maximum(floor, np.partition(cosine, len(block) - k - 1, axis=0)[len(block) - k - 1])
+                place, query = np.nonzero(cosine >= least)
+                other = block[place] != own_names[query]
+                place, query = place[other], query[other]
+                new = query, block[place], cosine[place, query]
+                held = best(*(np.concatenate(x) for x in zip(held, new, strict=True)))
+                full = np.flatnonzero(np.bincount(held[0], minlength=len(names)) == k)
+                floor[full] = held[2][np.searchsorted(held[0], full, side="right") - 1]
+        columns = [pa.array(own_names[held[0]].tolist(), arrow_kind), pa.array(held[1].tolist(), arrow_kind), pa.array(held[2], pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, ["query", word, "similarity"])
+
+    return run
 
 
 def fit_min_max(df: DataFrame, vector: str = "vector") -> tuple[list[float], list[float]]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.functions.text import strip_plural
-from sigloom.scale import bounded_rows, sized_join, spread_join, top_n, top_per_group
+from sigloom.scale import bounded_rows, name_digits, score_digits, sized_join, spread_join, top_n, top_per_group
 
 MAX_TOPICS = 10_000
 
@@ -86,7 +86,7 @@ def vocabulary(postings: DataFrame, size: int | None = None, min_df: int = 1) ->
     """All terms (term, n, df) of (doc_id, term, tf) rows, or the ``size`` most frequent."""
     counted = postings.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
     kept = counted.filter(F.col("df") >= min_df)
-    return kept if size is None else top_n(kept, [F.desc("n"), F.asc("term")], size, ["term"])
+    return kept if size is None else top_n(kept, [F.desc("n"), F.asc("term")], size, ["term"], [*score_digits("n"), *name_digits("term")])
 
 
 def _idf(n: Column, df: Column) -> Column:
@@ -156,16 +156,21 @@ def term_scores(
     return counted.select(*keys, value.alias("score"), "df")
 
 
+def _best_first() -> list[Column]:
+    """Digits of the order by falling score, then by term; scores of terms in all documents are 0, none is below."""
+    return [*score_digits("score"), *name_digits("term")]
+
+
 def top_tfidf_words(postings: DataFrame, n_docs: DataFrame, n: int = 1000, score: str = "max") -> DataFrame:
     """The ``n`` best words (term, score) of the corpus."""
     scored = term_scores(postings, n_docs, score=score).select("term", "score")
-    return top_n(scored, [F.desc("score"), F.asc("term")], n, ["term"])
+    return top_n(scored, [F.desc("score"), F.asc("term")], n, ["term"], _best_first())
 
 
 def top_tfidf_words_by_topic(postings: DataFrame, topic_docs: DataFrame, n: int = 10_000, score: str = "max") -> DataFrame:
     """The ``n`` best words (topic, rank, term, score) of each topic; N and df are counted within the topic."""
     scored = term_scores(postings, topic_docs, by_topic=True, score=score)
-    ranked = top_per_group(scored, ["topic"], [F.desc("score"), F.asc("term")], n, ["term"])
+    ranked = top_per_group(scored, ["topic"], [F.desc("score"), F.asc("term")], n, ["term"], digits=_best_first())
     return ranked.select("topic", "rank", "term", "score", "df")
 
 

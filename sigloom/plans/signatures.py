@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.text import content_words
-from sigloom.operators import classify, cluster, embed, evaluate, mixture, som, terms
+from sigloom.operators import classify, cluster, embed, evaluate, mixture, skipgram, som, terms
 from sigloom.scale import bounded_rows, settle, top_per_group
 from sigloom.sources import tables
 
@@ -89,7 +89,7 @@ def train_topic_model(
             raise ValueError(f"{value} is not one of {', '.join(known)}")
     best = top_words_table(docs, top_words) if words is None else words
     if vectors is None:
-        vectors = settle(embed.word_vectors(embed.fit_word2vec(docs, size, min_count, seed)), "vectors")
+        vectors = settle(skipgram.train_vectors(docs, size, min_count, seed), "vectors")
     size = embed.vector_size(vectors)
     selected = settle(embed_selected(vectors, best), "selected")
 

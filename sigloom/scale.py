@@ -14,6 +14,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -29,10 +30,14 @@ BROADCAST_BYTES = 256 << 20
 HOT_SHARE = 1e-4
 # Largest k handed straight to one ordered limit or one ranked window.
 DIRECT_K = 1_000
-# Lanes used to cut a large top-k before the final ranking.
+# Lanes used to cut a large top-k before the final ranking, where no digits are given.
 CUT_LANES = 64
+# A selection ends when the rows beside the k-th are at most this many times k.
+SPARE = 0.5
 # Lanes for rows whose join key is null.
 NULL_LANES = 10_000
+# Where the settled tables lie that a caller still holds.
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 # Folders of local sessions that name none.
 _local_dirs: dict[str, str] = {}
 
@@ -68,7 +73,17 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``settle`` wrote for these tables; whatever was read from them must have been settled itself by then."""
+    for table in tables:
+        spark, path = table.sparkSession, _paths.pop(table)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list[Row]:
@@ -154,14 +169,69 @@ def sized_join(
     return spread_join(big, small, on, spread_by, how, weight)
 
 
-def top_n(df: DataFrame, order: Sequence[Column], n: int, spread_by: Sequence[str]) -> DataFrame:
+def score_digits(score: str) -> list[Column]:
+    """Digits of a falling order by a score of at least 0: whole numbers, thousandths, millionths, the score itself."""
+    value = F.col(score).cast("double")
+    return [-F.floor(F.log2(value + 1)), -F.floor(value * 16), -F.floor(value * 4096), -value]
+
+
+def name_digits(name: str) -> list[Column]:
+    """Digits of a rising order by a text: ever longer beginnings."""
+    return [F.substring(name, 1, n) for n in (1, 2, 3, 5, 8)]
+
+
+def select_first(df: DataFrame, group: Sequence[str], digits: Sequence[Column], k: int) -> DataFrame:
+    """A table that holds the first ``k`` rows of every group, and few others, in the order that the digits refine.
+
+    Each pass counts the rows of every value of one digit, adds the counts up within the group, and finds the value that
+    the k-th row has; rows before it are in, rows behind it are out, and only those beside it meet the next digit.  No
+    rows are sorted but counts.  A digit that is given the earlier ones' order must only refine it.
+    """
+    rows = settle(df, "scored")
+    names = [f"_d{i}" for i in range(len(digits))]
+    # One key, in which nulls are equal to each other.
+    own = F.struct(*group) if group else F.lit(0)
+    keyed = rows.select("*", own.alias("_g"), *[d.alias(n) for d, n in zip(digits, names, strict=True)])
+    cells = None
+    for i, name in enumerate(names):
+        # Of every group: the digits of the k-th row so far, and how many rows of that cell are wanted.
+        beside = keyed if cells is None else _beside(keyed, cells, ["_g", *names[:i]])
+        need = F.lit(k).cast("long") if cells is None else F.col("_need")
+        counts = beside.groupBy("_g", *names[: i + 1], need.alias("_need")).agg(F.count(F.lit(1)).alias("_n"))
+        so_far = Window.partitionBy("_g").orderBy(name).rowsBetween(Window.unboundedPreceding, 0)
+        reached = counts.withColumn("_sum", F.sum("_n").over(so_far))
+        # The cell of the k-th row, or the last one of a group that has fewer.
+        last = F.row_number().over(Window.partitionBy("_g").orderBy(F.desc(name))) == 1
+        kth = (F.col("_sum") >= F.col("_need")) & (F.col("_sum") - F.col("_n") < F.col("_need"))
+        met = reached.withColumn("_last", last).filter(kth | (F.col("_last") & (F.col("_sum") < F.col("_need"))))
+        rest = (F.col("_need") - F.col("_sum") + F.col("_n")).alias("_need")
+        cells = settle(met.select("_g", *names[: i + 1], rest, (F.col("_sum") - F.col("_need")).alias("_spare")), "cells")
+        if (cells.agg(F.max("_spare")).first()[0] or 0) <= SPARE * k:
+            break
+    found = names[: i + 1]
+    joined = _beside(keyed, cells.select("_g", *[F.col(n).alias(f"{n}_") for n in found]), ["_g"])
+    inside = F.lit(True)
+    for name in reversed(found):
+        bound = F.col(f"{name}_")
+        inside = (F.col(name) < bound) | ((F.col(name) == bound) & inside)
+    return joined.filter(inside).select(*rows.columns)
+
+
+def _beside(keyed: DataFrame, cells: DataFrame, on: list[str]) -> DataFrame:
+    """Rows that meet a cell; there is one cell a group, so they are broadcast unless the groups are very many."""
+    return keyed.join(F.broadcast(cells) if within(cells, BROADCAST_ROWS) else cells, on)
+
+
+def top_n(
+    df: DataFrame, order: Sequence[Column], n: int, spread_by: Sequence[str], digits: Sequence[Column] = ()
+) -> DataFrame:
     """The first ``n`` rows in a total order.
 
-    A large ``n`` is first cut inside CUT_LANES lanes, so the last task sees at
-    most CUT_LANES * n rows whatever the size of the input.
+    A large ``n`` is selected by ``digits`` first, or without them cut inside
+    CUT_LANES lanes, so the last task sees few more rows than it returns.
     """
     if n > DIRECT_K:
-        df = _cut(df, [], order, n, spread_by)
+        df = select_first(df, [], digits, n) if digits else _cut(df, [], order, n, spread_by)
     return df.orderBy(*order).limit(n)
 
 
@@ -172,14 +242,15 @@ def top_per_group(
     k: int,
     spread_by: Sequence[str],
     rank: str = "rank",
+    digits: Sequence[Column] = (),
 ) -> DataFrame:
     """The first ``k`` rows of every group with their rank.
 
     For small ``k`` Spark itself keeps only k rows per group and task before the
-    shuffle; a larger ``k`` is cut inside lanes of the group first.
+    shuffle; a larger ``k`` is selected by ``digits`` first (see ``select_first``), or without them cut inside lanes of the group.
     """
     if k > DIRECT_K:
-        df = _cut(df, group, order, k, spread_by)
+        df = select_first(df, group, digits, k) if digits else _cut(df, group, order, k, spread_by)
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
 
