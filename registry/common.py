@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sigloom.functions.lexicon import ENGLISH_STOP_WORDS
 from sigloom.functions.text import content_words
 from sigloom.operators.terms import term_freq
-from sigloom.scale import rows_within, sized_join
+from sigloom.scale import dealt, rows_within, sized_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,9 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are heavy to work on: a small one is a single split, so its rows are dealt over the cores first."""
+    return dealt(table(spark, sf_dir, name), key)
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, topic, text): the documents with their language as topic."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("topic"), "text")
+    return spread(spark, sf_dir, "documents", "doc_id").select("doc_id", F.col("lang").alias("topic"), "text")
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

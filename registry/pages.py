@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.common import corpus, embeddings, table
+from registry.common import corpus, embeddings, spread, table
 from registry.vectors import _MAP, small_map
 from sigloom.functions.markup import decode_entities, html_to_text, page_namespace, title_slug, wiki_to_text
 from sigloom.operators import pages as ops
@@ -16,7 +16,7 @@ from sigloom.sources.corpus import read_lines
 
 def wiki_pages(spark, sf):
     """(doc_id, title, text): the documents with wiki markup put into them."""
-    df = table(spark, sf, "documents")
+    df = spread(spark, sf, "documents", "doc_id")
     prefix = (
         F.when(F.col("source") == "src0", "Vorlage:")
         .when(F.col("source") == "src1", "Simple:")
@@ -35,12 +35,12 @@ def wiki_pages(spark, sf):
 def titled_pages(spark, sf):
     """(page_id, title, text): the HTML pages with the text of their title element."""
     title = decode_entities(F.regexp_extract("html", "<title>([^<]*)</title>", 1))
-    return table(spark, sf, "pages").select("page_id", title.alias("title"), F.col("html").alias("text"))
+    return spread(spark, sf, "pages", "page_id").select("page_id", title.alias("title"), F.col("html").alias("text"))
 
 
 def _entities(spark, sf):
     mixed = F.replace("html", F.lit("&copy;"), F.lit("&#xA9;&#169&nosuch;&amp;lt;"))
-    return table(spark, sf, "pages").select("page_id", decode_entities(mixed).alias("decoded"))
+    return spread(spark, sf, "pages", "page_id").select("page_id", decode_entities(mixed).alias("decoded"))
 
 
 def _redirects(spark, sf):
@@ -60,7 +60,7 @@ def _top_titles(spark, sf):
     """Ranking lines made of the list items of the pages."""
     lines = F.replace("html", F.lit('<li><a href="/'), F.lit('\n<td><a href="http://x.example.org/wiki/A+b_'))
     lines = F.replace(lines, F.lit("th"), F.lit("%74%68"))
-    return ops.top_titles(table(spark, sf, "pages").select("page_id", lines.alias("list")), "list", ["page_id"])
+    return ops.top_titles(spread(spark, sf, "pages", "page_id").select("page_id", lines.alias("list")), "list", ["page_id"])
 
 
 def _buckets(spark, sf):
@@ -109,9 +109,9 @@ def _codebook_file(spark, sf):
 QUERIES = {
     "namespaces": lambda spark, sf: wiki_pages(spark, sf).select("doc_id", "title", page_namespace("title").alias("ns")),
     "redirects": _redirects,
-    "page_links": lambda spark, sf: ops.page_links(table(spark, sf, "pages"), "html", ["page_id"], "html"),
+    "page_links": lambda spark, sf: ops.page_links(spread(spark, sf, "pages", "page_id"), "html", ["page_id"], "html"),
     "wiki_links": lambda spark, sf: ops.page_links(wiki_pages(spark, sf), "text", ["doc_id"], "wiki"),
-    "html_to_text": lambda spark, sf: table(spark, sf, "pages").select("page_id", html_to_text("html").alias("plain")),
+    "html_to_text": lambda spark, sf: spread(spark, sf, "pages", "page_id").select("page_id", html_to_text("html").alias("plain")),
     "wiki_to_text": lambda spark, sf: wiki_pages(spark, sf).select("doc_id", wiki_to_text("text").alias("plain")),
     "wiki_to_text_markup": lambda spark, sf: wiki_pages(spark, sf).select(
         "doc_id", wiki_to_text("text", markup=True).alias("plain")

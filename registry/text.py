@@ -8,6 +8,7 @@ from registry.common import STOP, TOKENS, WORDS, corpus, quoted, table, tokens,
 from sigloom.functions.lexicon import IRREGULAR_LEMMAS, PUNCTUATION_STOP_WORDS
 from sigloom.functions.paths import doc_key, topic_of_path
 from sigloom.functions.text import clean, ngrams, remove_stop_words, tokenize, words
+from sigloom.operators import sentences as boundaries
 from sigloom.operators.terms import distinct_terms, doc_terms, lemmatize
 from sigloom.sources.corpus import split_sentences
 
@@ -63,6 +64,16 @@ def _path_topics(spark, sf):
     return _paths(spark, sf).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _noted(spark, sf):
+    """Words of the documents with an abbreviation in place of every comma."""
+    return boundaries.word_rows(corpus(spark, sf).select("doc_id", F.replace("text", F.lit(", "), F.lit(" cf. ")).alias("text")))
+
+
+def _boundaries(spark, sf):
+    words = _noted(spark, sf)
+    return boundaries.sentences(words, boundaries.abbreviations(words))
+
+
 QUERIES = {
     "clean_letters": _cleaned("letters"),
     "clean_letters_nocolon": _cleaned("letters_nocolon"),
@@ -80,6 +91,8 @@ QUERIES = {
     "conversation_sentences": lambda spark, sf: split_sentences(
         table(spark, sf, "conversations").select("conv_id", "turn", "text")
     ),
+    "abbreviations": lambda spark, sf: boundaries.abbreviations(_noted(spark, sf)),
+    "sentence_boundaries": _boundaries,
     "doc_terms": lambda spark, sf: doc_terms(tokens(spark, sf).select("doc_id", "tokens")),
     "distinct_terms": lambda spark, sf: distinct_terms(tokens(spark, sf)),
     "path_keys": _paths,
@@ -101,7 +114,30 @@ LEMMA = r"""CASE
 
 _PARTS = "list_slice(string_split(url, '/'), -2, -1)"
 
+_NOTED = rf"""
+note_lines AS (SELECT doc_id, unnest(range(len(l))) AS line, unnest(l) AS t
+  FROM (SELECT doc_id, string_split(replace(text, ', ', ' cf. '), chr(10)) AS l FROM documents)),
+note_tokens AS (SELECT doc_id, line, list_filter(string_split_regex(t, '\s+'), lambda x: x <> '') AS t FROM note_lines),
+note_rows AS (SELECT doc_id, line, unnest(range(len(t))) AS pos, unnest(t) AS token, unnest(list_append(t[2:], '')) AS next
+  FROM note_tokens WHERE len(t) > 0),
+noted AS (SELECT doc_id, line, pos, token, lower(regexp_extract(token, '{boundaries.CORE}', 1)) AS core,
+  regexp_matches(token, '{boundaries.WITH_PERIOD}') AS period, regexp_matches(next, '{boundaries.SMALL}') AS small FROM note_rows),
+short AS (SELECT * FROM (
+    SELECT core, count(*) FILTER (period) AS n_period, count(*) FILTER (NOT period) AS n_plain, count(*) FILTER (period AND small) AS n_small
+    FROM noted WHERE core <> '' AND length(core) <= {boundaries.LONGEST} GROUP BY core)
+  WHERE n_period >= {boundaries.LEAST} AND n_period >= {boundaries.SHARE} * (n_period + n_plain) AND n_small >= {boundaries.BEFORE_SMALL} * n_period)"""
+_ENDING = boundaries.ENDING.replace("'", "''")
+
 ORACLE = {
+    "abbreviations": "WITH " + _NOTED + "SELECT core, n_period, n_plain, n_small FROM short",
+    "sentence_boundaries": "WITH " + _NOTED + f""",
+        ended AS (SELECT doc_id, line, pos, token, regexp_matches(token, '{_ENDING}')
+            AND NOT (period AND (core IN (SELECT core FROM short) OR length(core) = 1)) AS ends FROM noted),
+        begun AS (SELECT *, CASE WHEN pos = 0 OR lag(ends) OVER w THEN 1 ELSE 0 END AS b FROM ended
+          WINDOW w AS (PARTITION BY doc_id ORDER BY line, pos)),
+        placed AS (SELECT *, sum(b) OVER (PARTITION BY doc_id ORDER BY line, pos) - 1 AS sent_no FROM begun)
+        SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, string_agg(token, ' ' ORDER BY line, pos) AS sentence
+        FROM placed GROUP BY doc_id, sent_no""",
     "clean_letters": r"SELECT doc_id, regexp_replace(text, '[^a-zA-Z\s:]', ' ', 'g') AS cleaned FROM documents",
     "clean_letters_nocolon": r"""SELECT doc_id,
         replace(regexp_replace(text, '[^a-zA-Z\s:]', ' ', 'g'), ':', '') AS cleaned FROM documents""",

@@ -125,8 +125,8 @@ def wiki_to_text(wikitext: Column | str, markup: bool = False, link_mark: str =
     """
     shown = link_mark.replace("\\", r"\\").replace("$", r"\$") + "$1"
     steps = [(r"(?s)<!--.*?-->", "")]
-    for tag in _WIKI_SKIPPED:
-        steps += [(rf"(?i)<{tag}(?:\s[^>]*)?/>", ""), (rf"(?is)<{tag}(?:\s[^>/]*)?>.*?</{tag}\s*>", "")]
+    tags = "|".join(_WIKI_SKIPPED)
+    steps += [(rf"(?i)<(?:{tags})(?:\s[^>]*)?/>", ""), (rf"(?is)<({tags})(?:\s[^>/]*)?>.*?</\1\s*>", "")]
     text = _replace_all(_col(wikitext), steps)
     text = _inside_out(text, r"\{\{", r"\}\}", [(r"\{\{\{[^{}]*\}\}\}|\{\{[^{}]*\}\}", "")])
     text = _inside_out(text, r"\{\|", r"\|\}", [(r"\{\|[^{}]*\|\}", "")])

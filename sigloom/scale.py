@@ -86,6 +86,12 @@ def discard(*tables: DataFrame) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over all cores by a hash of its keys, if it is a scan with fewer splits than that; a larger scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def bounded_rows(df: DataFrame, max_rows: int, what: str) -> list[Row]:
     """Collect a table that must be model-sized; raise when it is not."""
     rows = df.limit(max_rows + 1).collect()
