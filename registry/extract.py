@@ -8,7 +8,7 @@ from registry.common import corpus, quoted, table, values
 from sigloom.functions.lexicon import DOMAIN_WORDS, GAZETTEER, RELATION_VERBS, SYNSETS
 from sigloom.functions.markup import html_links
 from sigloom.functions.text import tokenize
-from sigloom.operators import extract
+from sigloom.operators import extract, names
 from sigloom.operators.terms import distinct_terms
 from sigloom.scale import fresh_path
 from sigloom.sources.corpus import split_sentences
@@ -45,6 +45,21 @@ def _tagged_file(spark, sf):
     return _count(read_delimited(spark, path, "word string, tag string"), "word", "tag")
 
 
+def _phrases(spark, sf):
+    """Two and three words of every benchmark text and of every line of a conversation's first turn."""
+    texts = table(spark, sf, "benchmark").select("text").unionByName(table(spark, sf, "conversations").filter("turn = 0").select("text"))
+    words = texts.select(F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("w"))
+    two = words.filter("size(w) >= 2").select(F.array_join(F.slice("w", 1, 2), " ").alias("phrase"), F.lit("TWO").alias("tag"))
+    three = words.filter("size(w) >= 4").select(F.array_join(F.slice("w", 2, 3), " ").alias("phrase"), F.lit("THREE").alias("tag"))
+    return two.unionByName(three).distinct()
+
+
+def _entity_phrases(spark, sf):
+    """The longest phrase from every word of the documents where one begins."""
+    tokens = corpus(spark, sf).select("doc_id", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("tokens"))
+    return names.find_names(tokens, _phrases(spark, sf), overlapping=True)
+
+
 def _triples(spark, sf):
     sentences = split_sentences(corpus(spark, sf).select("doc_id", "text"))
     found = extract.extract_triples(sentences, RELATION_VERBS)
@@ -76,6 +91,7 @@ def _concepts(spark, sf):
 
 QUERIES = {
     "entity_tags": lambda spark, sf: _count(_tagged(spark, sf), "word", "tag"),
+    "entity_phrases": _entity_phrases,
     "domain_override": lambda spark, sf: _count(_overridden(spark, sf), "word", "tag"),
     "tagged_file": _tagged_file,
     "triples": _triples,
@@ -104,7 +120,20 @@ links AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="[^"]*"[
 edges AS (SELECT page_id, url AS start, '/r/LinksTo' AS rel, '/c' || regexp_extract(a, 'href="([^"]*)"', 1) AS "end",
   regexp_extract(a, '>([^<]*)<', 1) AS surface_text FROM links)"""
 
+_PHRASES = r"""
+phrase_words AS (SELECT list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS w
+  FROM (SELECT text FROM benchmark UNION ALL SELECT text FROM conversations WHERE turn = 0)),
+phrases AS (SELECT DISTINCT array_to_string(w[1:2], ' ') AS phrase, 'TWO' AS tag, 2 AS words FROM phrase_words WHERE len(w) >= 2
+  UNION SELECT DISTINCT array_to_string(w[2:4], ' '), 'THREE', 3 FROM phrase_words WHERE len(w) >= 4),
+doc_words AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda w: w <> '') AS w FROM documents),
+grams AS (SELECT doc_id, n AS words, unnest(range(len(w) - n + 1)) AS start, unnest(list_transform(range(len(w) - n + 1),
+    lambda i: array_to_string(w[i + 1:i + n], ' '))) AS phrase FROM doc_words CROSS JOIN (VALUES (2), (3)) s(n) WHERE len(w) >= n)"""
+
 ORACLE = {
+    "entity_phrases": "WITH " + _PHRASES + """
+        SELECT doc_id, CAST(start AS INTEGER) AS start, CAST(words AS INTEGER) AS words, phrase, tag FROM (
+          SELECT g.doc_id, g.start, g.words, g.phrase, p.tag, row_number() OVER (PARTITION BY g.doc_id, g.start ORDER BY g.words DESC) AS r
+          FROM grams g JOIN phrases p ON p.phrase = g.phrase AND p.words = g.words) WHERE r = 1""",
     "entity_tags": "WITH " + _TAGGED + "SELECT word, tag, count(*) AS n FROM tagged GROUP BY ALL",
     "domain_override": "WITH " + _TAGGED + _OVERRIDE,
     "tagged_file": "WITH " + _TAGGED + _OVERRIDE,
