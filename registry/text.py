@@ -8,10 +8,14 @@ from registry.common import STOP, TOKENS, WORDS, corpus, quoted, table, tokens,
 from sigloom.functions.lexicon import IRREGULAR_LEMMAS, PUNCTUATION_STOP_WORDS
 from sigloom.functions.paths import doc_key, topic_of_path
 from sigloom.functions.text import clean, ngrams, remove_stop_words, tokenize, words
+from sigloom.operators import lemmas as rules
 from sigloom.operators import sentences as boundaries
 from sigloom.operators.terms import distinct_terms, doc_terms, lemmatize
+from sigloom.scale import settle
 from sigloom.sources.corpus import split_sentences
 
+WORD_ENDINGS = ("s", "es", "n", "en", "e", "er", "ing", "ed")
+
 
 def _cleaned(mode):
     return lambda spark, sf: corpus(spark, sf).select("doc_id", clean("text", mode).alias("cleaned"))
@@ -64,6 +68,24 @@ def _path_topics(spark, sf):
     return _paths(spark, sf).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _word_pairs(spark, sf):
+    """(form, lemma): words of the documents of which one is the other with an ending."""
+    terms = distinct_terms(tokens(spark, sf)).select("term")
+    ends = F.array(*[F.lit(e) for e in WORD_ENDINGS])
+    forms = terms.select(F.col("term").alias("lemma"), F.explode(F.transform(ends, lambda e: F.concat("term", e))).alias("term"))
+    return forms.filter("length(lemma) > 2").join(terms, "term").select(F.col("term").alias("form"), "lemma")
+
+
+def _lemma_rules(spark, sf):
+    return rules.suffix_rules(_word_pairs(spark, sf))
+
+
+def _rule_lemmas(spark, sf):
+    """Lemmas of all words of the documents."""
+    lexicon = settle(_word_pairs(spark, sf), "lexicon")
+    return rules.rule_lemmas(distinct_terms(tokens(spark, sf)), lexicon, settle(rules.suffix_rules(lexicon), "rules"))
+
+
 def _noted(spark, sf):
     """Words of the documents with an abbreviation in place of every comma."""
     return boundaries.word_rows(corpus(spark, sf).select("doc_id", F.replace("text", F.lit(", "), F.lit(" cf. ")).alias("text")))
@@ -91,6 +113,8 @@ QUERIES = {
     "conversation_sentences": lambda spark, sf: split_sentences(
         table(spark, sf, "conversations").select("conv_id", "turn", "text")
     ),
+    "lemma_rules": _lemma_rules,
+    "rule_lemmas": _rule_lemmas,
     "abbreviations": lambda spark, sf: boundaries.abbreviations(_noted(spark, sf)),
     "sentence_boundaries": _boundaries,
     "doc_terms": lambda spark, sf: doc_terms(tokens(spark, sf).select("doc_id", "tokens")),
@@ -128,7 +152,27 @@ short AS (SELECT * FROM (
   WHERE n_period >= {boundaries.LEAST} AND n_period >= {boundaries.SHARE} * (n_period + n_plain) AND n_small >= {boundaries.BEFORE_SMALL} * n_period)"""
 _ENDING = boundaries.ENDING.replace("'", "''")
 
+_RULES = WORDS + f""",
+vocab AS (SELECT DISTINCT term FROM words),
+pairs AS (SELECT DISTINCT f.term AS form, l.term AS lemma FROM vocab l CROSS JOIN (VALUES {", ".join(f"('{e}')" for e in WORD_ENDINGS)}) e(e)
+  JOIN vocab f ON f.term = l.term || e WHERE length(l.term) > 2),
+rules AS (SELECT suffix, replacement, n FROM (
+  SELECT suffix, replacement, n, sum(n) OVER (PARTITION BY suffix) AS total,
+    row_number() OVER (PARTITION BY suffix ORDER BY n DESC, replacement) AS r
+  FROM (SELECT substr(form, c - k + 1) AS suffix, substr(lemma, c - k + 1) AS replacement, count(*) AS n
+        FROM (SELECT form, lemma, length(lemma) AS c FROM pairs) CROSS JOIN range({rules.CONTEXT + 1}) x(k) WHERE k <= c GROUP BY ALL)
+  WHERE length(suffix) BETWEEN 1 AND {rules.LONGEST})
+  WHERE r = 1 AND n >= {rules.LEAST} AND n >= {rules.SHARE} * total)"""
+
 ORACLE = {
+    "lemma_rules": "WITH " + _RULES + "SELECT suffix, replacement, n FROM rules",
+    "rule_lemmas": "WITH " + _RULES + f""",
+        ended AS (SELECT term, k, right(term, k) AS suffix FROM vocab CROSS JOIN range(1, {rules.LONGEST + 1}) x(k) WHERE k < length(term)),
+        ruled AS (SELECT term, left(term, length(term) - k) || replacement AS lemma,
+          row_number() OVER (PARTITION BY term ORDER BY k DESC) AS r FROM ended JOIN rules USING (suffix)),
+        listed AS (SELECT form AS term, min(lemma) AS lemma FROM pairs GROUP BY form)
+        SELECT v.term, coalesce(l.lemma, r.lemma, v.term) AS lemma FROM vocab v
+        LEFT JOIN listed l ON l.term = v.term LEFT JOIN ruled r ON r.term = v.term AND r.r = 1""",
     "abbreviations": "WITH " + _NOTED + "SELECT core, n_period, n_plain, n_small FROM short",
     "sentence_boundaries": "WITH " + _NOTED + f""",
         ended AS (SELECT doc_id, line, pos, token, regexp_matches(token, '{_ENDING}')

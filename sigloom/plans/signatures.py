@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.text import content_words
+from sigloom.operators.lemmas import lemma_tokens
 from sigloom.operators import classify, cluster, embed, evaluate, mixture, skipgram, som, terms
 from sigloom.scale import bounded_rows, settle, top_per_group
 from sigloom.sources import tables
@@ -73,6 +74,7 @@ def train_topic_model(
     min_count: int = 0,
     vectors: DataFrame | None = None,
     words: DataFrame | None = None,
+    lemmas: DataFrame | None = None,
 ) -> TopicSignatures:
     """One job for all variants, from (doc_id, topic, tokens) rows.
 
@@ -82,11 +84,14 @@ def train_topic_model(
     target      signature: the signature id; topic: the topic in which the word scores best
     vectors     (word, vector) table to use instead of training Word2Vec
     words       settled (topic, word, score) table to use instead of the best TF-IDF words of each topic
+    lemmas      (term, lemma) rows that take the place of the tokens first
     """
     for value, known in ((reducer, ("som", "scale")), (signature, ("kmeans", "som", "gmm")),
                          (classifier, ("nb", "tree", "forest")), (target, ("signature", "topic"))):
         if value not in known:
             raise ValueError(f"{value} is not one of {', '.join(known)}")
+    if lemmas is not None:
+        docs = settle(lemma_tokens(docs.select("doc_id", "topic", "tokens"), lemmas, ["doc_id", "topic"]), "lemma-tokens")
     best = top_words_table(docs, top_words) if words is None else words
     if vectors is None:
         vectors = settle(skipgram.train_vectors(docs, size, min_count, seed), "vectors")
@@ -140,10 +145,17 @@ def train_metrics(model: TopicSignatures) -> DataFrame:
     return prf.select(share.scalar().alias("accuracy"), "*")
 
 
-def score_sentences(sentences: DataFrame, model: TopicSignatures, keys: tuple[str, ...] = ("doc_id", "sent_no")) -> DataFrame:
-    """(keys…, sentence, vector, signature, prediction, probability, probabilities) for (keys…, sentence) rows."""
+def score_sentences(
+    sentences: DataFrame, model: TopicSignatures, keys: tuple[str, ...] = ("doc_id", "sent_no"), lemmas: DataFrame | None = None
+) -> DataFrame:
+    """(keys…, sentence, vector, signature, prediction, probability, probabilities) for (keys…, sentence) rows.
+
+    ``lemmas``: (term, lemma) rows, as the model was trained with; without them words stay as they are.
+    """
     keys = list(keys)
     tokens = sentences.select(*keys, content_words("sentence").alias("tokens"))
+    if lemmas is not None:
+        tokens = lemma_tokens(tokens, lemmas, keys)
     postings = terms.term_freq(tokens, keep_empty=True)
     means = embed.embed(postings, model.vectors, keys, model.size)
     signed = _sign(_reduce(means, model, keys), model, keys)
