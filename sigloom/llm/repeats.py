@@ -9,33 +9,41 @@ are equal after the last pass are exactly the repeated windows, and those alone
 2. The second digit is all bytes that the windows of an anchor cover.  Anchors equal in both digits are repeated with all
    their windows, and need no further pass; anchors whose first digit occurs once leave.
 3. Only anchors that are repeated in other surroundings send these bytes, less than 400, to the bucket of the first
-   digit; there each window is the last digit.  Buckets of more than ``bucket`` surroundings are dealt again by window.
+   digit.  The windows of a bucket differ in how many bytes they take from the left of the anchor, and the others from its
+   right.  In a bucket of at most ``bucket`` surroundings each window is the last digit.
+4. A larger bucket is dealt again: the windows that take more from the left by the bytes that all of them share (half of
+   a window at first), those that take more from the right by theirs; then each half of the halves, and so on.  The bytes
+   that a piece shares with its bucket stay behind as its digit, so pieces shrink as their number grows, and a piece
+   that is alone in its bucket, or equal as a whole to another one, leaves.  At most about eight passes reach one window.
 
 Equal texts send equal rows, which are counted in the tasks before they are shuffled.  The digits are 64 bits each: the first
-two are compared together, the hash of a window (mixed with its anchor's digit and place) alone.
+two are compared together, the hash of a window (mixed with its bucket's digit and place) alone.
 
 Null and empty texts have no bytes; texts shorter than ``width`` keep all of theirs; a repeated row makes each of the two
-a repeat of the other; null ids keep their row; an empty table gives an empty result.
+a repeat of the other; null ids keep their row; an empty table gives an empty result; columns of any names may be there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from sigloom.llm.common import small, text_of
-from sigloom.scale import settle
+from sigloom.llm.common import bounded_batches, small_bytes, text_of
+from sigloom.scale import discard, settle
 
 WIDTH = 200
 GRAM = 32
-BUCKET = 2048
-# Rows of spans, a few numbers per repeated passage of a text, that may be broadcast.
-SPAN_ROWS = 300_000
+# Surroundings of one digit that are compared in one task.
+BUCKET = 512
+# Bytes of a list of numbers, one or few for each crowded bucket, that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 # Windows that are read together; longer texts are read in overlapping parts.
 _PART = 1 << 20
 _PLACE = 21
@@ -130,57 +138,81 @@ def _anchor_rows(width: int, gram: int):
     return run
 
 
-# Marks of a wanted piece beside its place: no other has both of its digits; its bucket is crowded.
-_OPEN, _CROWDED = 1 << 61, 1 << 60
-_PIECES = "array<struct<a: bigint, c: bigint, at: bigint, bytes: binary>>"
+# Mark of a wanted piece beside its place: no other has both of its digits.
+_OPEN = 1 << 61
+# A piece: its bucket, the text and the place of its first window, whether that is open (not known to be repeated), the least
+# and most bytes left of the anchor in the windows of its bucket, those of its own first window, and its bytes without
+# those that its bucket shares.
+_PIECE = "key: bigint, k1: bigint, k2: bigint, at: bigint, open: boolean, low: int, high: int, far: int, bytes: binary"
+_PIECES = f"array<struct<{_PIECE.replace('k1: bigint, k2: bigint, ', '')}>>"
+_PIECE_KINDS = [
+    ("key", pa.int64()), ("at", pa.int64()), ("open", pa.bool_()), ("low", pa.int32()), ("high", pa.int32()),
+    ("far", pa.int32()), ("bytes", pa.binary()),
+]
 
 
-def _pieces(width: int):
+def _pieces(width: int, gram: int):
     def cut(data: pa.Array, wanted: pa.Array) -> pa.Array:
-        """The bytes of the surroundings that a text is asked for (three numbers each: both digits and the place)."""
+        """The surroundings that a text is asked for (two numbers each: the first digit and the place), without anchors."""
         out = []
         for text, own in zip(data, wanted, strict=True):
             whole, own = text.as_py(), own.as_py()
             found = []
-            for a, c, at in zip(own[::3], own[1::3], own[2::3], strict=True):
-                lo = (at & (_CROWDED - 1)) >> 16
-                found.append({"a": a, "c": c, "at": at, "bytes": whole[lo : lo + (at >> 8 & 255) + width]})
+            for a, at in zip(own[::2], own[1::2], strict=True):
+                lo, far = (at & (_OPEN - 1)) >> 16, at & 255
+                anchor, end = lo + far, lo + (at >> 8 & 255) + width
+                found.append(
+                    {
+                        "key": a, "at": lo, "open": at & _OPEN != 0, "low": 0, "high": width - gram, "far": far,
+                        "bytes": whole[lo:anchor] + whole[anchor + gram : end],
+                    }
+                )
             out.append(found)
-        kinds = [("a", pa.int64()), ("c", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())]
-        return pa.array(out, type=pa.list_(pa.struct(kinds)))
+        return pa.array(out, type=pa.list_(pa.struct(_PIECE_KINDS)))
 
     return cut
 
 
-def _windows(frame, width: int):
-    """(row, window number, key of first digit, place in the surroundings and window) of rows a, at, bytes."""
-    sizes = np.array([len(x) for x in frame["bytes"]], dtype=np.int64)
-    hashes = Hashes(np.frombuffer(b"".join(frame["bytes"]), dtype=np.uint8))
-    counts = sizes - width + 1
-    row = np.repeat(np.arange(len(sizes)), counts)
-    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = (np.cumsum(sizes) - sizes)[row] + number
-    at = frame["at"].to_numpy()
-    away = (number + 256 - (at & 255)[row]).astype(np.uint64)
-    a = frame["a"].to_numpy().astype(np.uint64, casting="unsafe")[row]
-    return row, number, mixed(hashes.of(start, start + width) + mixed(a + away * _ODD))
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each piece as one or two, of the windows that take more from the left of the anchor and of those that take less."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            low, high, far, data = row["low"], row["high"], row["far"], row["bytes"]
+            border = far - low  # bytes left of the anchor
+            last = far - (len(data) - (high - low))  # bytes left of it in the last window
+            middle = (low + high) // 2
+            for first_low, first_high in ((middle + 1, high), (low, middle)):
+                most, least = min(far, first_high), max(last, first_low)
+                if least > most:
+                    continue
+                left, right = border - (first_low - low), border + high - first_high
+                shared = f"{row['key']},{first_low},{first_high},".encode() + data[left:right]
+                out.append(
+                    row | {
+                        "key": xxhash.xxh64_intdigest(shared) - (1 << 63), "at": row["at"] + far - most, "low": first_low,
+                        "high": first_high, "far": most,
+                        "bytes": data[border - (most - low) : left] + data[right : border + high - least],
+                    }
+                )
+        yield pa.RecordBatch.from_pylist(out, schema=batch.schema)
 
 
 def _resolve(width: int):
-    """Spans of repeated windows in buckets that arrive sorted by first digit."""
+    """Spans of repeated windows in buckets that arrive sorted by their digit."""
     names = [*_KEY, "start", "end"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            a = table["a"].to_numpy()
-            cut = int(np.searchsorted(a, a[-1])) if len(a) else 0
+            keys = table["key"].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
             # Whole buckets, some thousand rows at a time.
             at = 0
             while at < cut:
-                to = cut if cut - at <= 4096 else int(np.searchsorted(a, a[at + 4096]))
-                to = to if to > at else int(np.searchsorted(a, a[at], side="right"))
+                to = cut if cut - at <= 4096 else int(np.searchsorted(keys, keys[at + 4096]))
+                to = to if to > at else int(np.searchsorted(keys, keys[at], side="right"))
                 yield from spans(table.slice(at, to - at))
                 at = to
             rest = table.slice(cut).combine_chunks()
@@ -188,41 +220,65 @@ def _resolve(width: int):
             yield from spans(rest)
 
     def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        frame = table.to_pandas()
-        row, number, key = _windows(frame, width)
-        _, back, counts = np.unique(key, return_inverse=True, return_counts=True)
-        wanted = np.flatnonzero((counts[back] > 1) & frame["open"].to_numpy()[row])
+        own = {c: table[c].to_numpy() for c in ("key", *_KEY, "at", "open", "low", "high", "far")}
+        data = table["bytes"].to_pylist()
+        sizes = np.array([len(x) for x in data], dtype=np.int64)
+        hashes = Hashes(np.frombuffer(b"".join(data), dtype=np.uint8))
+        span = (own["high"] - own["low"]).astype(np.int64)
+        counts = sizes - span + 1
+        row = np.repeat(np.arange(len(sizes)), counts)
+        number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        start = (np.cumsum(sizes) - sizes)[row] + number
+        left = (own["far"][row] - number).astype(np.uint64)
+        bucket = mixed(own["key"].astype(np.uint64, casting="unsafe")[row] + left * _ODD)
+        _, back, times = np.unique(mixed(hashes.of(start, start + span[row]) + bucket), return_inverse=True, return_counts=True)
+        wanted = np.flatnonzero((times[back] > 1) & own["open"][row])
         if not len(wanted):
             return
         row, number = row[wanted], number[wanted]
         first = np.flatnonzero(np.concatenate(([True], (np.diff(row) != 0) | (np.diff(number) != 1))))
         last = np.append(first[1:], len(row)) - 1
-        own = frame.iloc[row[first]]
-        lo = own["at"].to_numpy() >> 16
-        columns = [own["k1"].to_numpy(), own["k2"].to_numpy(), lo + number[first], lo + number[last] + width]
+        lo = own["at"][row[first]]
+        columns = [own["k1"][row[first]], own["k2"][row[first]], lo + number[first], lo + number[last] + width]
         yield pa.record_batch([pa.array(x) for x in columns], names=names)
 
     return run
 
 
-def _window_rows(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                frame = batch.slice(at, 4096).to_pandas()
-                row, number, key = _windows(frame, width)
-                own = frame.iloc[row]
-                start = (own["at"].to_numpy() >> 16) + number
-                columns = [_signed(key), *(pa.array(own[c].to_numpy()) for c in (*_KEY, "open")), pa.array(start)]
-                yield pa.record_batch(columns, names=["window", *_KEY, "open", "start"])
-
-    return run
+def _bucket_spans(pieces: DataFrame, width: int, bucket: int) -> DataFrame:
+    """(k1, k2, start, end): repeated windows of pieces (a settled table), each bucket by itself."""
+    spans = "k1 long, k2 long, start long, end long"
+    windows = "length(bytes) - high + low"
+    found = []
+    while True:
+        sizes = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.bool_or("open").alias("any"))
+        sizes = settle(sizes.filter("kinds > 1 and any").select("key", "kinds"), "buckets")
+        few = pieces.join(sizes.filter(F.col("kinds") <= bucket).select("key"), "key", "left_semi")
+        found.append(few.repartition("key").sortWithinPartitions("key").mapInArrow(_resolve(width), spans))
+        crowded = sizes.filter(F.col("kinds") > bucket).select("key")
+        if crowded.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        # A bucket above the bound has that many pieces at least, so the list is short beside them.
+        crowded = pieces.join(small_bytes(crowded, "8", BROADCAST_BYTES), "key", "left_semi")
+        parts = settle(crowded.mapInArrow(_halves, pieces.schema), "halves")
+        # Pieces that are equal as a whole are repeated in all their windows, and one of them stands for all.
+        whole = [F.col("key"), F.col("far"), F.xxhash64("bytes").alias("whole")]
+        parts = parts.withColumn("whole", whole[2])
+        rest = [c for c in pieces.columns if c not in ("key", "far")]
+        alike = parts.groupBy("key", "far", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(rest)).alias("one"))
+        alike = settle(alike, "alike")
+        again = alike.filter("n > 1").select("key", "far", "whole")
+        again = parts.filter("open").join(small_bytes(again, "24", BROADCAST_BYTES), ["key", "far", "whole"], "left_semi")
+        end = F.expr(f"at + {windows} + {width}").alias("end")
+        found.append(again.select(*_KEY, F.col("at").alias("start"), end))
+        pieces = alike.select("key", "far", "n", "one.*").withColumn("open", F.expr("open and n = 1")).select(pieces.columns)
 
 
 def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """(k1, k2, start, end): bytes of texts (k1, k2, data: binary) that repeated windows cover; spans may overlap."""
     if not 8 <= gram < width or width - gram > 255:
         raise ValueError("gram must be at least 8 and less than width, by at most 255")
+    bounded_batches(texts.sparkSession)
     # Passes 1 and 2: both digits of every anchor; equal texts send equal rows.
     rows = texts.mapInArrow(_anchor_rows(width, gram), "a long, c long, k1 long, k2 long, at long")
     places = settle(rows.groupBy("a", "c", *_KEY, "at").agg(F.count(F.lit(1)).alias("n")), "places")
@@ -230,26 +286,21 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, gram: int = GRAM, bucke
     both = settle(both, "digits")
     settled = places.drop("n").join(both.filter("n > 1").select("a", "c"), ["a", "c"], "left_semi")
     done = settled.select(*_KEY, F.expr("at >> 16").alias("start"), F.expr(f"(at >> 16) + ((at >> 8) & 255) + {width}").alias("end"))
+    done = settle(done, "done")
     # Pass 3: surroundings that occur once, beside others of the same first digit.
     buckets = both.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-    buckets = buckets.filter("kinds > 1 and least = 1").select("a", "kinds")
-    marks = F.expr(f"one.at + if(n = 1, {_OPEN}L, 0L) + if(kinds > {bucket}, {_CROWDED}L, 0L)")
-    wanted = both.join(buckets, "a").select("one.k1", "one.k2", F.array("a", "c", marks).alias("piece"))
-    lists = wanted.groupBy(*_KEY).agg(F.flatten(F.collect_list("piece")).alias("wanted"))
-    lists = small(settle(lists, "wanted"), SPAN_ROWS)
-    cut = texts.join(lists, _KEY).select(*_KEY, F.explode(arrow_udf(_pieces(width), _PIECES)("data", "wanted")).alias("x"))
+    buckets = buckets.filter("kinds > 1 and least = 1").select("a")
+    marks = F.expr(f"one.at + if(n = 1, {_OPEN}L, 0L)")
+    wanted = both.join(buckets, "a").select("one.k1", "one.k2", F.array("a", marks).alias("piece"))
+    lists = settle(wanted.groupBy(*_KEY).agg(F.flatten(F.collect_list("piece")).alias("wanted")), "wanted")
+    # From here on only the pieces and their texts are needed.
+    discard(places, both)
+    # Both lists grow with the texts, so they meet them by a sorted join at every size (Spark splits a hot text's rows).
+    cut = texts.join(lists.hint("merge"), _KEY).select(*_KEY, F.explode(arrow_udf(_pieces(width, gram), _PIECES)("data", "wanted")).alias("x"))
     # Equal texts cut equal pieces.
-    cut = cut.select(*_KEY, "x.*").groupBy("a", "c").agg(*[F.first(x).alias(x) for x in (*_KEY, "at", "bytes")])
-    place, open_to = F.expr(f"at & {_CROWDED - 1}L").alias("at"), F.expr(f"at & {_OPEN}L <> 0").alias("open")
-    cut = settle(cut.select("a", place, open_to, F.expr(f"at & {_CROWDED}L <> 0").alias("crowded"), *_KEY, "bytes"), "surroundings")
-    plain = cut.filter("not crowded").drop("crowded").repartition("a").sortWithinPartitions("a")
-    found = plain.mapInArrow(_resolve(width), "k1 long, k2 long, start long, end long")
-    windows = cut.filter("crowded").drop("crowded").mapInArrow(
-        _window_rows(width), "window long, k1 long, k2 long, open boolean, start long"
-    )
-    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window")
-    hot = windows.filter("open").join(twice, "window", "left_semi").select(*_KEY, "start", (F.col("start") + width).alias("end"))
-    return done.unionByName(found).unionByName(hot)
+    own = ["key", *_KEY, "at"]
+    cut = cut.select(*_KEY, "x.*").dropDuplicates(own).select("key", *_KEY, "at", "open", "low", "high", "far", "bytes")
+    return done.unionByName(_bucket_spans(settle(cut, "surroundings"), width, bucket))
 
 
 def _without(data: pa.Array, spans: pa.Array) -> pa.Array:
@@ -284,7 +335,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("_id"), *keyed(text_of(text_col)))
     spans = repeated_spans(rows.select(*_KEY, "data"), width, gram, bucket)
     spans = spans.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    joined = rows.join(small(settle(spans, "spans"), SPAN_ROWS), _KEY, "left")
+    joined = rows.join(settle(spans, "spans").hint("merge"), _KEY, "left")
     without = arrow_udf(_without, "struct<n_removed: bigint, n_spans: bigint, kept: binary>")("data", "spans")
     out = joined.select("_id", F.octet_length("data").cast("long").alias("n_bytes"), without.alias("_w"))
     return out.select(F.col("_id").alias(id_col), "n_bytes", "_w.n_removed", "_w.n_spans", "_w.kept")
