@@ -10,7 +10,8 @@ character, so reading back is exact.  The loss mask covers the texts of assistan
 
 Null roles and texts count as empty; rows without a tree id form one tree whose id is null; a node whose parent is
 missing is a root; nodes on a cycle have no root and belong to no path; equal rows are turns of their own; an empty
-table gives an empty result.
+table gives an empty result; further columns may have any names.  A row without a node id is no reply and has no replies: it
+stands for itself, as a root beside the others of its tree, and each such row is a path of its own.
 """
 
 from __future__ import annotations
@@ -122,6 +123,17 @@ def read_loss(formatted: Column, spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: unescaped(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Nodes and parents as structs that are never null: rows without a node id are numbered within their tree and have no parent."""
+    order = Window.partitionBy("tree").orderBy("role", "text", "score")
+    bare = rows.filter("_node is null").withColumn("_no", F.row_number().over(order))
+    kind = rows.schema["_node"].dataType
+    rows = rows.filter("_node is not null").withColumn("_no", F.lit(0)).unionByName(bare)
+    node = F.struct(F.col("_node").alias("id"), "_no").alias("node")
+    parent = F.when(F.col("_node").isNotNull() & F.col("_parent").isNotNull(), F.struct(F.col("_parent").cast(kind).alias("id"), F.lit(0).alias("_no")))
+    return rows.select("id", "tree", node, parent.alias("parent"), "role", "text", "score")
+
+
 def format_chat(
     nodes: DataFrame, tree_col: str, node_col: str, parent_col: str, role_col: str, text_col: str, score_col: str, keep: int = 1
 ) -> DataFrame:
@@ -130,17 +142,18 @@ def format_chat(
         F.col(tree_col).alias("id"),
         # Text keys, so that rows without an id join as well.
         F.coalesce(F.concat(F.lit("="), F.col(tree_col).cast("string")), F.lit("")).alias("tree"),
-        F.col(node_col).alias("node"),
-        F.col(parent_col).alias("parent"),
+        F.col(node_col).alias("_node"),
+        F.col(parent_col).alias("_parent"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.col(score_col).alias("score"),
     )
+    rows = _numbered(rows)
     paths = reply_paths(rows, keep)
     said = paths.join(rows.select("tree", "node", "id", "role", "text"), ["tree", "node"])
     turns = F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("turns")
     whole = said.groupBy("tree", "leaf").agg(F.first("id").alias("id"), turns)
-    texts = whole.select("id", "leaf", "turns", format_turns(F.col("turns")).alias("formatted"))
+    texts = whole.select("id", F.col("leaf")["id"].alias("leaf"), "turns", format_turns(F.col("turns")).alias("formatted"))
     return texts.select(F.col("id").alias(tree_col), "leaf", "formatted", loss_spans(F.col("turns")).alias("loss"))
 
 

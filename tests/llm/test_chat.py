@@ -66,3 +66,14 @@ def test_query(spark, sf):
         assert (r.n_turns, r.loss_chars) == (len(turns), len(told))
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
         assert r.loss_sha256 == hashlib.sha256(told.encode()).hexdigest()
+
+
+def test_rows_without_a_node_id(spark):
+    """They are paths of their own; the tree that they stand in keeps its best path."""
+    rows = [(1, 0, None, "user", "a", 1.0), (1, 1, 0, "assistant", "b", 1.0), (1, None, 0, "user", "lost", 0.5), (1, None, None, "user", "lost", 0.5)]
+    rows += [(2, None, None, "user", "only", None)]
+    nodes = spark.createDataFrame([(*r, 1) for r in rows], "tree long, node long, parent long, role string, text string, score double, leaf int")
+    best = back(chat.format_chat(nodes, "tree", "node", "parent", "role", "text", "score"))
+    assert sorted((r.tree, [t.text for t in r.turns], r.leaf) for r in best) == [(1, ["a", "b"], 1), (2, ["only"], None)]
+    every = back(chat.format_chat(nodes, "tree", "node", "parent", "role", "text", "score", keep=9))
+    assert sorted((r.tree, [t.text for t in r.turns]) for r in every) == [(1, ["a", "b"]), (1, ["lost"]), (1, ["lost"]), (2, ["only"])]
