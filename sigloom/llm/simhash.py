@@ -36,7 +36,7 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 # Fingerprints of one index entry that are compared in one go, and free bits up to which any entry is.
-TILE = 512
+TILE = 4096
 LAST_BITS = 8
 # Fingerprints that one task of the index starts from.
 _DEALT = 20_000
@@ -158,16 +158,18 @@ def links(marks: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     while True:
         index = entries(_dealt(rows), size)
         sides = index.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
-        shared = sides.filter("n > 1 and (low is null or low < high)").select("entry", "n")
-        held = settle(index.select("entry", "fp", "free").join(shared, "entry"), "entries")
+        shared = settle(sides.filter("n > 1 and (low is null or low < high)").select("entry", "n"), "entries")
         size //= 2
-        crowded = held.filter(F.col("n") > TILE) if size > LAST_BITS else held.limit(0)
-        small_enough = held.filter(F.col("n") <= TILE) if size > LAST_BITS else held
-        together = small_enough.select("entry", "fp").repartition("entry").sortWithinPartitions("entry")
-        found.append(together.mapInArrow(_tile_links(max_bits), "a long, b long"))
-        if crowded.isEmpty():
+        last = size <= LAST_BITS
+        small_enough = shared if last else shared.filter(F.col("n") <= TILE)
+        together = index.select("entry", "fp").join(small_enough.select("entry"), "entry")
+        together = together.repartition("entry").sortWithinPartitions("entry")
+        found.append(settle(together.mapInArrow(_tile_links(max_bits), "a long, b long").distinct(), "links"))
+        crowded = shared.filter(F.col("n") > TILE)
+        if last or crowded.isEmpty():
             return reduce(DataFrame.unionByName, found).distinct()
-        rows = crowded.select(F.col("entry").alias("key"), "fp", "free")
+        rows = index.join(crowded.select("entry"), "entry").select(F.col("entry").alias("key"), "fp", "free")
+        rows = settle(rows, "crowded")
 
 
 def _dealt(rows: DataFrame) -> DataFrame:

@@ -85,6 +85,7 @@ def test_crowded_entries_stay_in_proportion(spark, monkeypatch):
         return out
 
     monkeypatch.setattr(simhash, "settle", counted)
+    monkeypatch.setattr(simhash, "TILE", 512)
     for n in (2000, 8000):
         held.clear()
         marks = simhash.settle(spark.createDataFrame(crowd(n), "fp long"))
