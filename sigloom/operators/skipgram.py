@@ -27,7 +27,7 @@ NOISE = 5
 RATE = 0.08
 # Words in a block, about, and the least number of blocks.
 BLOCK_WORDS = 100_000
-LEAST_BLOCKS = 8
+LEAST_BLOCKS = 4
 # Pairs of one update, and pairs counted together before they are added up.
 _STEP = 2048
 _COUNTED = 1 << 20
