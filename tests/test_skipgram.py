@@ -75,3 +75,33 @@ def test_planted_pairs_are_neighbours_on_any_cluster(spark):
     assert all(np.array_equal(first[w], again[w]) for w in first)
     assert {r.word for r in skipgram.train_vectors(docs, 4, min_count=100, epochs=1).collect()} < set(first)
     assert skipgram.train_vectors(docs.limit(0), 4).count() == 0
+
+
+def test_packed_pairs_are_the_counted_pairs(spark):
+    """Every pair of words is packed once for its direction, in the folder of its shift; a word beside itself counts twice."""
+    texts = [["a", "b", "c", "a", "d"], ["a", "a", "b"], ["e"] * 9, None]
+    docs = spark.createDataFrame([(t,) for t in texts], "tokens array<string>")
+    words = spark.createDataFrame([(w, 1) for w in "abce"], "word string, n long").withColumn("id", F.xxhash64("word"))
+
+    def block_of(column):
+        return F.pmod(F.xxhash64(column), F.lit(3)).cast("int")
+
+    state = skipgram.settle(skipgram._starting(words.withColumn("block", block_of("id")), 2, 1))
+    ids = {r.block: np.frombuffer(r.ids, np.int64) for r in state.collect()}
+    got = {}
+    for r in spark.read.parquet(skipgram._packed_pairs(docs, state, block_of, 3, 2, "tokens")).collect():
+        w, c = np.repeat(np.frombuffer(r.words, "<u4"), np.frombuffer(r.sizes, "<u4")), np.frombuffer(r.contexts, "<u2")
+        for a, b, n in zip(ids[r.task][w], ids[(r.task + r["shift"]) % 3][c], np.frombuffer(r.n, "<f4"), strict=True):
+            assert (a, b) not in got
+            got[a, b] = float(n)
+    known = {i for block in ids.values() for i in block}
+    want = {(r.word, r.context): r.n for r in skipgram.pair_counts(docs, 2).collect() if {r.word, r.context} <= known}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_training_leaves_no_tables_of_its_passes(spark, tmp_path, monkeypatch):
+    """Pairs and the vectors of earlier passes are deleted: the words and the last vectors stay."""
+    monkeypatch.setattr("sigloom.scale.shared_dir", lambda spark: str(tmp_path))
+    docs = spark.createDataFrame([(["a", "b", "c", "d"],)], "tokens array<string>")
+    assert skipgram.train_vectors(docs, 4, epochs=1).count() == 4
+    assert sorted(p.name.split("-")[0] for p in tmp_path.glob("sigloom/*/*")) == ["vectors", "words"]
