@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from registry.common import POSTINGS, TOKENS, WORD_VECTORS, WORDS, corpus, hashed_word_vectors, postings, table, tokens
@@ -76,9 +75,9 @@ def _attached(spark, sf):
 def _hashed(spark, sf):
     """Hashed counts: their total per document must be its number of tokens, whatever words share a bucket."""
     rows = terms.hashed_term_freq(tokens(spark, sf).select("doc_id", "tokens"), 100_000)
-    counts = vector_to_array("features")
-    total = F.aggregate(counts, F.lit(0.0), lambda a, v: a + v).cast("bigint")
-    return rows.select("doc_id", F.size(counts).cast("bigint").alias("buckets"), total.alias("tokens"))
+    # The vectors stay sparse: as an array each would have all its zeros.
+    counted = F.udf(lambda v: None if v is None else (v.size, int(v.values.sum())), "buckets bigint, tokens bigint")
+    return rows.select("doc_id", counted("features").alias("c")).select("doc_id", "c.buckets", "c.tokens")
 
 
 QUERIES = {
