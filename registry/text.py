@@ -68,22 +68,27 @@ def _path_topics(spark, sf):
     return _paths(spark, sf).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _word_pairs(spark, sf):
-    """(form, lemma): words of the documents of which one is the other with an ending."""
-    terms = distinct_terms(tokens(spark, sf)).select("term")
+def _vocabulary(spark, sf):
+    """The distinct words, written once: they are read several times, the documents are not."""
+    return settle(distinct_terms(tokens(spark, sf)).select("term"), "vocabulary")
+
+
+def _word_pairs(terms):
+    """(form, lemma): words of which one is the other with an ending."""
     ends = F.array(*[F.lit(e) for e in WORD_ENDINGS])
     forms = terms.select(F.col("term").alias("lemma"), F.explode(F.transform(ends, lambda e: F.concat("term", e))).alias("term"))
     return forms.filter("length(lemma) > 2").join(terms, "term").select(F.col("term").alias("form"), "lemma")
 
 
 def _lemma_rules(spark, sf):
-    return rules.suffix_rules(_word_pairs(spark, sf))
+    return rules.suffix_rules(_word_pairs(_vocabulary(spark, sf)))
 
 
 def _rule_lemmas(spark, sf):
     """Lemmas of all words of the documents."""
-    lexicon = settle(_word_pairs(spark, sf), "lexicon")
-    return rules.rule_lemmas(distinct_terms(tokens(spark, sf)), lexicon, settle(rules.suffix_rules(lexicon), "rules"))
+    terms = _vocabulary(spark, sf)
+    lexicon = settle(_word_pairs(terms), "lexicon")
+    return rules.rule_lemmas(terms, lexicon, settle(rules.suffix_rules(lexicon), "rules"))
 
 
 def _noted(spark, sf):
