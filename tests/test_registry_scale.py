@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from registry import terms, text
+from sigloom.operators import classify, embed
+from sigloom.operators.terms import term_freq, topic_documents
 from sigloom.scale import partition_keys
 
 
@@ -34,3 +36,27 @@ def test_every_task_has_a_partition_of_its_own(spark):
     for n in (1, 5, 12, 78):
         rows = spark.range(n).select(F.get(partition_keys(spark, n), F.col("id").cast("int")).alias("at")).repartition(n, "at")
         assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == n
+
+
+def test_large_term_tables_are_not_joined_to_postings(spark, monkeypatch):
+    """Scores of sentences come from a product of packed blocks once the term table is too large for a broadcast."""
+    docs = spark.createDataFrame([(1, "a", ["x", "y"]), (2, "b", ["y", "z", "z"])], "doc_id long, topic string, tokens array<string>")
+    model = classify.fit_term_bayes(term_freq(docs), topic_documents(docs))
+    new = spark.createDataFrame([(1, ["x"]), (2, ["z", "q"]), (3, []), (None, ["y", "z"])], "doc_id long, tokens array<string>")
+    rows = term_freq(new, keep_empty=True)
+    want = {r.doc_id: r.log_scores for r in classify.predict_term_bayes(rows, model, ["doc_id"]).collect()}
+    monkeypatch.setattr("sigloom.scale.BROADCAST_ROWS", 0)
+    found = classify.predict_term_bayes(rows, model, ["doc_id"])
+    assert "Join" not in _plan(found)
+    got = {r.doc_id: r.log_scores for r in found.collect()}
+    assert got.keys() == want.keys() and all(abs(a - b) < 1e-9 for k in want for a, b in zip(want[k], got[k], strict=True))
+
+
+def test_blocks_of_vectors_follow_their_numbers(spark, monkeypatch):
+    """A small block size gives many blocks and the same means; short vectors share a block."""
+    vectors = spark.createDataFrame([(f"w{i}", [float(i), 1.0]) for i in range(50)], "word string, vector array<double>")
+    rows = spark.createDataFrame([(d, f"w{(7 * d + i) % 60}", i + 1) for d in range(5) for i in range(9)], "doc_id int, term string, tf int")
+    want = {r.doc_id: r.vector for r in embed.embed(rows, vectors, ["doc_id"]).collect()}
+    monkeypatch.setattr(embed, "BLOCK_NUMBERS", 10)
+    got = {r.doc_id: r.vector for r in embed.embed(rows, vectors, ["doc_id"]).collect()}
+    assert got.keys() == want.keys() and all(abs(a - b) < 1e-9 for k in want for a, b in zip(want[k], got[k], strict=True))
