@@ -1,9 +1,10 @@
 """Registered queries that must stay small in what they read and hold."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from registry import terms, text
-from sigloom.operators import classify, embed
+from sigloom.operators import classify, embed, topics
 from sigloom.operators.terms import term_freq, topic_documents
 from sigloom.scale import partition_keys
 
@@ -60,3 +61,13 @@ def test_blocks_of_vectors_follow_their_numbers(spark, monkeypatch):
     monkeypatch.setattr(embed, "BLOCK_NUMBERS", 10)
     got = {r.doc_id: r.vector for r in embed.embed(rows, vectors, ["doc_id"]).collect()}
     assert got.keys() == want.keys() and all(abs(a - b) < 1e-9 for k in want for a, b in zip(want[k], got[k], strict=True))
+
+
+def test_online_rounds_send_a_vector_once_for_a_term_and_lane(spark):
+    weights = spark.createDataFrame([(t, 300, [1.0 + t, 2.0]) for t in range(4)], "term_id long, df long, weight array<double>")
+    rows = spark.range(300).selectExpr("id as doc_id", "explode(sequence(0L, 4L)) as term_id").selectExpr("doc_id", "term_id", "double(1 + doc_id % 3) as n")
+    sent = topics._by_document(rows, weights, np.array([10.0, 8.0]))
+    assert sent.filter("_w is not null").count() <= 4 * topics._LANES
+    sums = {r.term_id: sum(r.s) for r in topics.online_sums(rows, weights, np.array([10.0, 8.0]), 0.5).collect()}
+    # Every count is dealt over the topics; the term that the weights do not have gives nothing.
+    assert sums.keys() == {0, 1, 2, 3} and all(abs(v - 600) < 1e-6 for v in sums.values())
