@@ -1,12 +1,16 @@
 import math
+import tracemalloc
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, MinMaxScaler, StringIndexer
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry import models
 from sigloom.functions.text import content_words
@@ -40,6 +44,21 @@ def test_kernel_against_brute_force():
         kernel.nearest(points, book, "l3")
 
 
+def test_nearest_holds_few_distances_at_once():
+    """A big map is searched in blocks that fit the cache, in place; equal distances still go to the first unit."""
+    rng = np.random.default_rng(2)
+    points, book = rng.normal(size=(1000, 8)), rng.normal(size=(10_000, 8))
+    book[9_000:] = book[:1000]
+    points[:300] = book[9_000:9_300] + 1e-3
+    tracemalloc.start()
+    unit, dist = kernel.nearest(points, book, "l2")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    d = np.round(np.maximum((points**2).sum(1)[:, None] + (book**2).sum(1)[None, :] - 2 * points @ book.T, 0), 9)
+    assert (unit == d.argmin(1)).all() and np.allclose(dist, d.min(1), atol=2e-9) and (unit[:300] < 1000).any()
+    assert peak < 24 << 20
+
+
 def test_kmeans_against_spark(spark, vectors):
     model = cluster.fit_kmeans(vectors, 5, 20)
     centers = cluster.center_matrix(model)
@@ -88,6 +107,35 @@ def test_similar_words_of_every_top_word(spark, monkeypatch):
     assert sorted(got) == sorted([w for w, _ in rows if w != "w3"] * 10)
 
 
+def test_synonyms_merge_what_they_find_seldom(spark, monkeypatch):
+    """Many blocks of words: all neighbours, ties by name, though found rows are merged a few times only."""
+    rng = np.random.default_rng(3)
+    names = [f"w{i:04d}" for i in rng.permutation(600)]
+    matrix = np.round(rng.normal(size=(600, 4)), 1)
+    matrix[300:360] = matrix[:60]
+    rows = [(n, [float(x) for x in v]) for n, v in zip(names, matrix, strict=True)]
+    kind = "word string, vector array<double>"
+    merges = []
+    monkeypatch.setattr(embed, "_PRODUCT", 1)
+    monkeypatch.setattr(embed, "_MERGED", 3000)
+    lexsort = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: (merges.append(1), lexsort(keys))[1])
+    asked = sorted(rows)[:40]
+    run = embed._neighbours(spark, [Row(*r) for r in asked], 5, "word", T.StringType())
+    batch = pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], names=["word", "_v"])
+    got = {}
+    for out in run(iter([batch])):
+        for r in out.to_pylist():
+            got.setdefault(r["query"], []).append((r["word"], r["similarity"]))
+    unit = matrix / np.linalg.norm(matrix, axis=1)[:, None]
+    for name, v in asked:
+        cosine = np.round(unit @ (np.array(v) / np.linalg.norm(v)), 6)
+        want = sorted(((n, float(c)) for n, c in zip(names, cosine, strict=True) if n != name), key=lambda x: (-x[1], x[0]))[:5]
+        assert [x[0] for x in got[name]] == [x[0] for x in want]
+        assert all(abs(a[1] - b[1]) < 2e-6 for a, b in zip(got[name], want, strict=True))
+    assert len(merges) <= 3
+
+
 def test_synonyms_against_brute_force(spark, vectors):
     rows = sorted((r.vec_id, np.array(r.vector)) for r in vectors.collect())
     queries = vectors.filter("vec_id in (3, 77, 140)")
