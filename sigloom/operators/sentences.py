@@ -4,14 +4,22 @@
 sentence: short words that hardly ever stand without one, and are often followed by a small letter.  ``sentences`` cuts at
 line ends and behind words that end in a full stop, question or exclamation mark, unless the word is such an abbreviation or
 a single letter.  Both read words as rows; the table of abbreviations is joined, by broadcast only if it is counted to be small.
+Patterns are matched on distinct words, or on the words that can end a sentence.  Words are dealt and sorted once, by their
+key, and joined to sentences as they stream by.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sigloom.scale import sized_join
+from sigloom.scale import settle, sized_join
 
 # Longest abbreviation, least number of times with a period, least share with one, least share before a small letter.
 LONGEST = 6
@@ -22,6 +30,8 @@ CORE = r"^[^\p{L}]*(\p{L}+)[^\p{L}]*$"
 WITH_PERIOD = r"^[^\p{L}]*\p{L}+\.$"
 ENDING = r"""[.!?]["'»”’)\]]*$"""
 SMALL = r"^\p{Ll}"
+# The characters that ENDING allows at the end.
+LAST = tuple(".!?\"'»”’)]")
 
 
 def word_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -32,17 +42,30 @@ def word_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     rows = tokens.select(key, "line", F.posexplode(F.arrays_zip(F.col("_t").alias("token"), after.alias("next"))).alias("pos", "_p"))
     token: Column = F.col("_p.token")
     return rows.select(
-        key, "line", "pos", token.alias("token"), F.lower(F.regexp_extract(token, CORE, 1)).alias("core"),
-        token.rlike(WITH_PERIOD).alias("period"), F.col("_p.next").rlike(SMALL).alias("small"),
+        key, "line", "pos", token.alias("token"), _core(token).alias("core"), _period(token).alias("period"),
+        F.col("_p.next").rlike(SMALL).alias("small"),
     )
 
 
+def _core(token: Column) -> Column:
+    return F.lower(F.regexp_extract(token, CORE, 1))
+
+
+def _period(token: Column) -> Column:
+    return token.endswith(".") & token.rlike(WITH_PERIOD)
+
+
 def abbreviations(words: DataFrame) -> DataFrame:
     """(core, n_period, n_plain, n_small): the words of ``word_rows`` that a period does not end a sentence behind."""
-    period = F.col("period").cast("int")
-    counted = words.filter((F.col("core") != "") & (F.length("core") <= LONGEST)).groupBy("core").agg(
-        F.sum(period).alias("n_period"), F.sum(1 - period).alias("n_plain"), F.sum(period * F.col("small").cast("int")).alias("n_small")
-    )
+    small = F.when(F.col("token").endswith("."), F.col("small").cast("int"))
+    # Letters and period follow from the word, so they are found once for a distinct one.
+    tokens = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(small), F.lit(0)).alias("small"))
+    known = tokens.select(_core(F.col("token")).alias("core"), _period(F.col("token")).alias("period"), "n", "small")
+    n, period = F.col("n"), F.col("period")
+    counted = known.filter((F.col("core") != "") & (F.length("core") <= LONGEST)).groupBy("core").agg(
+        F.sum(F.when(period, n).otherwise(0)).alias("n_period"), F.sum(F.when(period, 0).otherwise(n)).alias("n_plain"),
+        F.sum(F.when(period, F.col("small")).otherwise(0)).alias("n_small"),
+    )
     often = F.col("n_period") >= SHARE * (F.col("n_period") + F.col("n_plain"))
     return counted.filter((F.col("n_period") >= LEAST) & often & (F.col("n_small") >= BEFORE_SMALL * F.col("n_period")))
 
@@ -52,16 +75,57 @@ def sentences(words: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFr
 
     ``known``: (core) abbreviations.  Lines without words give no sentence.
     """
-    marked = sized_join(words, known.select("core", F.lit(True).alias("_short")), ["core"], [key, "line", "pos"], "left")
-    held = F.col("period") & (F.coalesce("_short", F.lit(False)) | (F.length("core") == 1))
-    ends = (F.col("token").rlike(ENDING) & ~held).cast("int")
-    order = Window.partitionBy(key).orderBy("line", "pos")
-    # A sentence begins with a document, with a line, and behind an end.
-    begins = (F.col("pos") == 0) | (F.lag(ends).over(order) == 1)
-    numbered = marked.withColumn("_b", F.coalesce(begins, F.lit(True)).cast("int")).withColumn("sent_no", F.sum("_b").over(order) - 1)
-    parts = F.sort_array(F.collect_list(F.struct("line", "pos", "token")))
-    grouped = numbered.groupBy(key, F.col("sent_no").cast("int").alias("sent_no")).agg(parts.alias("_p"))
-    return grouped.select(key, "sent_no", F.array_join(F.transform("_p", lambda p: p["token"]), " ").alias("sentence"))
+    # Settled, since it is counted before it is joined.
+    short = settle(known.select(F.col("core").alias("_core"), F.lit(True).alias("_short")), "abbreviations")
+    token = F.col("token")
+    core = F.when(token.endswith("."), F.when(F.col("period"), F.col("core")))
+    narrow = words.select(key, "line", "pos", "token", core.alias("_core"))
+    marked = sized_join(narrow, short, ["_core"], [key, "line", "pos"], "left")
+    held = F.coalesce("_short", F.lit(False)) | F.coalesce(F.length("_core") == 1, F.lit(False))
+    ends = F.right(token, F.lit(1)).isin(*LAST) & token.rlike(ENDING) & ~held
+    dealt = marked.select(key, "line", "pos", "token", ends.alias("ends")).repartition(key)
+    schema = T.StructType([words.schema[key]]).add("sent_no", T.IntegerType()).add("sentence", T.StringType())
+    return dealt.sortWithinPartitions(key, "line", "pos", "token").mapInArrow(_joined(key), schema)
+
+
+def _joined(key: str):
+    """Sentences of sorted words: one begins with a key, with a line, and behind an end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The key, its last sentence's number, the words of that sentence, and whether the last word ended it.
+        last, number, held, ended = None, -1, [], True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, tokens = batch.column(key), batch.column("token")
+            codes = keys.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            ends = batch.column("ends").to_numpy(zero_copy_only=False).astype(bool)
+            new = np.append(not held or keys[0].as_py() != last, codes[1:] != codes[:-1])
+            begins = new | (batch.column("pos").to_numpy() == 0) | np.append(ended, ends[:-1])
+            count = np.cumsum(begins)
+            # Numbers go on from the last batch, or begin anew with a key.
+            first = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+            numbers = np.where(first >= 0, count - count[first], number + count)
+            starts = np.flatnonzero(begins)
+            if not len(starts):
+                held.append(tokens)
+            else:
+                if held:
+                    whole = [*held, tokens.slice(0, starts[0])]
+                    yield made(pa.array([last], keys.type), [number], pa.chunked_array(whole).combine_chunks(), [0, sum(map(len, whole))])
+                done = starts[:-1]
+                if len(done):
+                    yield made(keys.take(pa.array(done)), numbers[done], tokens.slice(starts[0], starts[-1] - starts[0]), starts - starts[0])
+                held = [tokens.slice(starts[-1])]
+            last, number, ended = keys[-1].as_py(), int(numbers[-1]), bool(ends[-1])
+        if held:
+            yield made(pa.array([last], keys.type), [number], pa.chunked_array(held).combine_chunks(), [0, sum(map(len, held))])
+
+    def made(keys: pa.Array, numbers, tokens: pa.Array, offsets) -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tokens)
+        return pa.record_batch([keys, pa.array(numbers, pa.int32()), pc.binary_join(lists, " ")], names=[key, "sent_no", "sentence"])
+
+    return run
 
 
 def split_by_statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

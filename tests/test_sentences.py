@@ -30,3 +30,22 @@ def test_odd_texts(spark):
     got = sorted((r.doc_id, r.sent_no, r.sentence) for r in sentences.split_by_statistics(rows).collect())
     assert got == [(3, 0, "..."), (4, 0, "one"), (5, 0, "3.14 is pi."), (5, 1, "2 too.")]
     assert sentences.split_by_statistics(rows.limit(0)).count() == 0
+
+
+def test_words_are_dealt_once(spark, monkeypatch):
+    """Repeated and null keys share their numbers, sentences go over batches, and no window or list of words is made."""
+    monkeypatch.setattr(sentences, "LEAST", 1)
+    texts = [(1, "One. Two\nThree four"), (1, "One. Two\nThree four"), (None, "Ab cd. " * 30), (2, "x " * 50 + "etc. yy. " + "Z " * 9)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        found = sentences.split_by_statistics(rows)
+        got = sorted((r.doc_id or 0, r.sent_no, r.sentence) for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = [(0, i, "Ab cd.") for i in range(30)]
+    want += [(1, i, t) for i, t in enumerate(["One.", "One.", "Two Two", "Three", "Three four four"])]
+    want += [(2, 0, "x " * 50 + "etc. yy."), (2, 1, " ".join("Z" * 9))]
+    assert got == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "collect_list" not in plan
