@@ -10,8 +10,8 @@ Null and empty texts have no matches; of two tags for one phrase the smaller one
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,49 +22,68 @@ from sigloom.scale import bounded_rows
 
 # Phrases in one automaton: some tens of MB.
 PART = 200_000
+# Texts whose words a task holds at once.
+_TEXTS = 128
 MATCHES = "array<struct<start: int, words: int, tag: string>>"
 
 
 class Automaton:
-    """All phrases that end at each token."""
+    """All phrases that end at each token.
 
-    def __init__(self, phrases: list[tuple[list[str], str]]):
-        self.next: list[dict[str, int]] = [{}]
-        self.own: list[tuple[int, str] | None] = [None]
+    Steps lie in one table, from a state and the number of a word to a state, so a state is a few numbers.
+    """
+
+    def __init__(self, phrases: Iterable[tuple[list[str], str]]):
+        self.numbers: dict[str, int] = {}
+        numbered = []
         for words, tag in phrases:
+            numbered.append((array("i", [self.numbers.setdefault(w, len(self.numbers)) for w in words]), tag))
+        self.width = max(len(self.numbers), 1)
+        self.next: dict[int, int] = {}
+        kinds: dict[tuple[int, str], tuple[int, str]] = {}
+        self.own: list[tuple[int, str] | None] = [None]
+        # The steps into the states of each depth.
+        levels: list[list[int]] = []
+        for words, tag in numbered:
             state = 0
-            for word in words:
-                state = self.next[state].setdefault(word, len(self.next))
-                if state == len(self.next):
-                    self.next.append({})
+            for depth, word in enumerate(words):
+                step = state * self.width + word
+                state = self.next.setdefault(step, len(self.own))
+                if state == len(self.own):
                     self.own.append(None)
+                    if depth == len(levels):
+                        levels.append([])
+                    levels[depth].append(step)
             if state and (self.own[state] is None or tag < self.own[state][1]):
-                self.own[state] = (len(words), tag)
-        self.back = [0] * len(self.next)
+                kind = (len(words), tag)
+                self.own[state] = kinds.setdefault(kind, kind)
+        self.back = array("i", bytes(4 * len(self.own)))
         # The nearest state along the failure links, itself included, where a phrase ends.
-        self.ends = [i if own else 0 for i, own in enumerate(self.own)]
-        queue = deque(self.next[0].values())
-        while queue:
-            state = queue.popleft()
-            for word, child in self.next[state].items():
-                self.back[child] = self.step(self.back[state], word)
+        self.ends = array("i", (i if own else 0 for i, own in enumerate(self.own)))
+        for depth, steps in enumerate(levels):
+            for step in steps:
+                state, word = divmod(step, self.width)
+                child = self.next[step]
+                if depth:
+                    self.back[child] = self.step(self.back[state], word)
                 self.ends[child] = self.ends[child] or self.ends[self.back[child]]
-                queue.append(child)
 
-    def step(self, state: int, word: str) -> int:
-        """The longest beginning of a phrase that ends with this token."""
-        while word not in self.next[state]:
+    def step(self, state: int, word: int) -> int:
+        """The longest beginning of a phrase that ends with this word, given by its number."""
+        while (found := self.next.get(state * self.width + word)) is None:
             if not state:
                 return 0
             state = self.back[state]
-        return self.next[state][word]
+        return found
 
     def matches(self, words: list[str]) -> list[tuple[int, int, str]]:
         """(start, words, tag) of the longest phrase from each token where one begins."""
         best: dict[int, tuple[int, str]] = {}
         state = 0
         for at, word in enumerate(words):
-            state = self.step(state, word)
+            number = self.numbers.get(word)
+            # A word of no phrase ends them all.
+            state = 0 if number is None else self.step(state, number)
             end = self.ends[state]
             while end:
                 size, tag = self.own[end]
@@ -83,11 +102,21 @@ def leftmost(found: list[dict]) -> list[dict]:
     return kept
 
 
+def _packed(rows: list) -> tuple[str, array, list[str]]:
+    """Phrases as one text, a line each, with places in a list of tags; their words hold no white space."""
+    tags: dict[str, int] = {}
+    places = array("i", [tags.setdefault(r["tag"], len(tags)) for r in rows])
+    return "\n".join(" ".join(r["words"]) for r in rows), places, list(tags)
+
+
 def _finder(shared, keys: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(shared.value)
+        texts, places, tags = shared.value
+        listed = texts.split("\n") if places else []
+        automaton = Automaton((text.split(" "), tags[i]) for text, i in zip(listed, places, strict=True))
+        del texts, listed
         kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("tag", pa.string())]))
-        for batch in batches:
+        for batch in (whole.slice(at, _TEXTS) for whole in batches for at in range(0, whole.num_rows, _TEXTS)):
             out = []
             for tokens, before in zip(batch.column("_t").to_pylist(), batch.column("_m").to_pylist(), strict=True):
                 longest = {m["start"]: m for m in before}
@@ -117,8 +146,7 @@ def find_names(
     for number in range(parts):
         # Phrases of one first word stay together, so that parts compete by length only.
         own = listed.filter(F.pmod(F.xxhash64(F.col("words")[0]), F.lit(parts)) == number)
-        held = [(r["words"], r["tag"]) for r in bounded_rows(own, 4 * part, "phrases of a part")]
-        shared = docs.sparkSession.sparkContext.broadcast(held)
+        shared = docs.sparkSession.sparkContext.broadcast(_packed(bounded_rows(own, 4 * part, "phrases of a part")))
         rows = rows.mapInArrow(_finder(shared, 1, number == parts - 1 and not overlapping), schema)
     found = rows.select(key, "_t", F.explode("_m").alias("m"))
     phrase = F.array_join(F.slice("_t", F.col("m.start") + 1, F.col("m.words")), " ").alias("phrase")

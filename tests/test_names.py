@@ -1,5 +1,8 @@
 import random
+import tracemalloc
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from sigloom.operators import names
@@ -40,3 +43,18 @@ def test_names_equal_a_search_from_every_place(spark, part):
 def test_nothing_to_find(spark):
     docs = spark.createDataFrame([(1, ["a"])], "doc_id long, tokens array<string>")
     assert names.find_names(docs, spark.createDataFrame([], "phrase string, tag string")).count() == 0
+
+
+def test_a_task_holds_few_texts_and_small_states():
+    """A batch is worked on in pieces, and a phrase costs the automaton a few hundred bytes."""
+    rows = [{"words": [f"a{i}", f"b{i % 997}", f"c{i}"], "tag": "T"} for i in range(20_000)]
+    tracemalloc.start()
+    automaton = names.Automaton((r["words"], r["tag"]) for r in rows)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 700 * len(rows) and automaton.matches(["x", "a5", "b5", "c5", "a6"]) == [(1, 3, "T")]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("tag", pa.string())]))
+    batch = pa.record_batch([pa.array(range(1000)), pa.array([["a1", "b1", "c1"]] * 1000), pa.array([[]] * 1000, kind)], names=["doc_id", "_t", "_m"])
+    found = list(names._finder(SimpleNamespace(value=names._packed(rows)), 1, True)(iter([batch])))
+    assert max(b.num_rows for b in found) <= 200 and sum(b.num_rows for b in found) == 1000
+    assert all(m == [{"start": 0, "words": 3, "tag": "T"}] for b in found for m in b.column("_m").to_pylist())
