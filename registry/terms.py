@@ -22,9 +22,9 @@ def _idf(spark, sf):
 
 
 def _tfidf(spark, sf):
-
-
-    scored = terms.tfidf(postings(spark, sf), settle(_idf_table(spark, sf), "idf"))
+    # Texts are cut and counted once; the postings are read for the idf table and for the scores.
+    rows = settle(postings(spark, sf).select("doc_id", "term", "tf"), "postings")
+    scored = terms.tfidf(rows, settle(terms.idf(rows, _n_docs(spark, sf).scalar()), "idf"))
     return scored.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
