@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from registry.common import STOP, TOKENS, WORDS, corpus, quoted, table, tokens, values
 from sigloom.functions.lexicon import IRREGULAR_LEMMAS, PUNCTUATION_STOP_WORDS
 from sigloom.functions.paths import doc_key, topic_of_path
-from sigloom.functions.text import clean, ngrams, remove_stop_words, tokenize, words
+from sigloom.functions.text import clean, content_words, ngrams, remove_stop_words, tokenize, words
 from sigloom.operators import lemmas as rules
 from sigloom.operators import sentences as boundaries
 from sigloom.operators.terms import distinct_terms, doc_terms, lemmatize
 from sigloom.scale import settle
 from sigloom.sources.corpus import split_sentences
 
+# Bytes of text whose bigrams are counted in one task.
+COUNTED_BYTES = 8 << 20
 WORD_ENDINGS = ("s", "es", "n", "en", "e", "er", "ing", "ed")
 
 
@@ -55,8 +57,14 @@ def _lemmas(spark, sf):
 
 
 def _bigrams(spark, sf):
-    rows = tokens(spark, sf).select(F.explode(ngrams("tokens", 2)).alias("bigram"))
-    return rows.groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
+    """Texts, then their bigrams, are dealt before they are counted: as many tasks as keep what one of them holds small."""
+    docs = corpus(spark, sf).select("doc_id", "text")
+    size = table(spark, sf, "documents").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, -(-size // COUNTED_BYTES))
+    if parts > docs.rdd.getNumPartitions():
+        docs = docs.repartition(parts, "doc_id", "text")
+    rows = docs.select(F.explode(ngrams(content_words("text"), 2)).alias("bigram"))
+    return rows.repartition(parts, "bigram").groupBy("bigram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _paths(spark, sf):

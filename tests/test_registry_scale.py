@@ -71,3 +71,20 @@ def test_online_rounds_send_a_vector_once_for_a_term_and_lane(spark):
     sums = {r.term_id: sum(r.s) for r in topics.online_sums(rows, weights, np.array([10.0, 8.0]), 0.5).collect()}
     # Every count is dealt over the topics; the term that the weights do not have gives nothing.
     assert sums.keys() == {0, 1, 2, 3} and all(abs(v - 600) < 1e-6 for v in sums.values())
+
+
+def test_bigrams_are_counted_in_as_many_tasks_as_the_text_asks_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text, "COUNTED_BYTES", 10)
+    sf = _folder(spark, tmp_path, [(1, "en", "red apple red apple " * 20), (2, "en", None), (3, "de", "zug")])
+    found = text.QUERIES["bigrams"](spark, sf)
+    # 400 + 3 bytes.
+    assert found.rdd.getNumPartitions() == 41
+    assert sorted(tuple(r) for r in found.collect()) == [("apple red", 39), ("red apple", 40)]
+
+
+def test_tfidf_cuts_the_texts_once(spark, tmp_path):
+    """The scores are read from written postings: the plan holds no texts."""
+    found = terms.QUERIES["tfidf"](spark, _folder(spark, tmp_path, [(1, "en", "red red car"), (2, "en", "car"), (2, "en", "car"), (3, "de", None)]))
+    assert "regexp_extract_all" not in _plan(found)
+    got = sorted((r.doc_id, r.term, r.tf, r.tfidf) for r in found.collect())
+    assert got == [(1, "car", 1, 0.223144), (1, "red", 2, 1.832581), (2, "car", 1, 0.223144), (2, "car", 1, 0.223144)]
