@@ -88,38 +88,62 @@ def sentences(words: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFr
     return dealt.sortWithinPartitions(key, "line", "pos", "token").mapInArrow(_joined(key), schema)
 
 
+def _whole_places(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches that end where a place ends, with the rows at which a key and a place (key, line, pos) begin."""
+    rest = None
+    for batch in batches:
+        if rest is not None and batch.num_rows:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        if not batch.num_rows:
+            continue
+        codes = batch.column(key).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        line, pos = (batch.column(c).to_numpy() for c in ("line", "pos"))
+        keys = np.append(True, codes[1:] != codes[:-1])
+        places = keys | np.append(True, (line[1:] != line[:-1]) | (pos[1:] != pos[:-1]))
+        cut = int(np.flatnonzero(places)[-1])
+        if cut:
+            yield batch.slice(0, cut), keys[:cut], places[:cut]
+        rest = batch.slice(cut)
+    if rest is not None:
+        first = np.arange(rest.num_rows) == 0
+        yield rest, first, first
+
+
 def _joined(key: str):
-    """Sentences of sorted words: one begins with a key, with a line, and behind an end."""
+    """Sentences of sorted words: one begins with a key, with a line, and behind an end.
+
+    Words of repeated keys share their places; the words of a place are in one sentence, whose number counts all that begin there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The key, its last sentence's number, the words of that sentence, and whether the last word ended it.
-        last, number, held, ended = None, -1, [], True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        # The key, how many sentences have begun, the words of the last one, and whether the last word was an end.
+        last, begun, held, ended = None, 0, [], True
+        for batch, new, places in _whole_places(batches, key):
             keys, tokens = batch.column(key), batch.column("token")
-            codes = keys.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
             ends = batch.column("ends").to_numpy(zero_copy_only=False).astype(bool)
-            new = np.append(not held or keys[0].as_py() != last, codes[1:] != codes[:-1])
+            new = new.copy()
+            new[0] = not held or keys[0].as_py() != last
             begins = new | (batch.column("pos").to_numpy() == 0) | np.append(ended, ends[:-1])
-            count = np.cumsum(begins)
+            place = np.flatnonzero(places)
+            here = np.add.reduceat(begins.astype(np.int64), place)
+            count, new = np.cumsum(here), new[place]
             # Numbers go on from the last batch, or begin anew with a key.
             first = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
-            numbers = np.where(first >= 0, count - count[first], number + count)
-            starts = np.flatnonzero(begins)
+            sums = np.where(first >= 0, count - count[first] + here[first], begun + count)
+            starts, numbers = place[here > 0], sums[here > 0] - 1
             if not len(starts):
                 held.append(tokens)
             else:
                 if held:
                     whole = [*held, tokens.slice(0, starts[0])]
-                    yield made(pa.array([last], keys.type), [number], pa.chunked_array(whole).combine_chunks(), [0, sum(map(len, whole))])
+                    yield made(pa.array([last], keys.type), [begun - 1], pa.chunked_array(whole).combine_chunks(), [0, sum(map(len, whole))])
                 done = starts[:-1]
                 if len(done):
-                    yield made(keys.take(pa.array(done)), numbers[done], tokens.slice(starts[0], starts[-1] - starts[0]), starts - starts[0])
+                    yield made(keys.take(pa.array(done)), numbers[:-1], tokens.slice(starts[0], starts[-1] - starts[0]), starts - starts[0])
                 held = [tokens.slice(starts[-1])]
-            last, number, ended = keys[-1].as_py(), int(numbers[-1]), bool(ends[-1])
+            last, begun, ended = keys[-1].as_py(), int(sums[-1]), bool(ends[-1])
         if held:
-            yield made(pa.array([last], keys.type), [number], pa.chunked_array(held).combine_chunks(), [0, sum(map(len, held))])
+            yield made(pa.array([last], keys.type), [begun - 1], pa.chunked_array(held).combine_chunks(), [0, sum(map(len, held))])
 
     def made(keys: pa.Array, numbers, tokens: pa.Array, offsets) -> pa.RecordBatch:
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tokens)
