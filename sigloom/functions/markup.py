@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from html.entities import name2codepoint
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,13 +40,16 @@ def decode_entities(text: Column | str) -> Column:
     def character(part: Column) -> Column:
         hexadecimal = F.conv(F.nullif(F.regexp_extract(part, _REFERENCE, 1), F.lit("")), 16, 10).cast("bigint")
         decimal = F.nullif(F.regexp_extract(part, _REFERENCE, 2), F.lit("")).cast("bigint")
-        name = F.element_at(named, F.regexp_extract(part, _REFERENCE, 3))
-        return F.coalesce(_code_point(hexadecimal), _code_point(decimal), name)
+        name = F.element_at(named, F.rtrim(part, F.lit(";")))
+        return F.when(part.startswith("#"), F.coalesce(_code_point(hexadecimal), _code_point(decimal))).otherwise(name)
 
     def one(part: Column) -> Column:
-        # The part begins right behind an '&'.
-        rest = F.substr(part, F.length(F.regexp_extract(part, _REFERENCE, 0)) + 1)
-        return F.coalesce(F.concat(character(part), rest), F.concat(F.lit("&"), part))
+        # The part begins right behind an '&'; only the reference itself is taken apart, the rest may be long.
+        def put(reference: Column) -> Column:
+            rest = F.substr(part, F.length(reference) + 1)
+            return F.coalesce(F.concat(character(reference), rest), F.concat(F.lit("&"), part))
+
+        return let(F.regexp_extract(part, _REFERENCE, 0), put)
 
     def decoded(whole: Column) -> Column:
         parts = F.transform(F.split(whole, "&"), lambda part, i: F.when(i == 0, part).otherwise(one(part)))
@@ -52,12 +58,20 @@ def decode_entities(text: Column | str) -> Column:
     return let(_col(text), decoded)
 
 
-def _replace_all(text: Column, steps: list[tuple[str, str]]) -> Column:
-    for pattern, replacement in steps:
-        text = F.regexp_replace(text, pattern, replacement)
+def _replace_all(text: Column, steps: list[tuple[str, ...]]) -> Column:
+    """Replace one pattern after the other; a step may name a string that every match holds, and texts without it skip the step."""
+    for pattern, replacement, *held in steps:
+        if held:
+            text = let(text, _replacing(pattern, replacement, held[0]))
+        else:
+            text = F.regexp_replace(text, pattern, replacement)
     return text
 
 
+def _replacing(pattern: str, replacement: str, held: str) -> Callable[[Column], Column]:
+    return lambda text: F.when(text.contains(held), F.regexp_replace(text, pattern, replacement)).otherwise(text)
+
+
 # Elements of a page that hold no prose.
 _HTML_SKIPPED = ["script", "style", "head", "nav", "footer", "table", "ul", "ol"]
 
@@ -84,32 +98,50 @@ def _trim_blank_lines(text: Column) -> Column:
 
         return F.array_join(F.transform(lines, one), "\n")
 
-    return F.regexp_replace(let(F.split(text, "\n"), trimmed), r"\n\n+|^\n+", "\n\n")
+    def stripped(whole: Column) -> Column:
+        beside = reduce(or_, [whole.contains(blank) for blank in (" \n", "\t\n", "\n ", "\n\t")])
+        return F.when(beside, let(F.split(whole, "\n"), trimmed)).otherwise(whole)
+
+    def opened(whole: Column) -> Column:
+        # A line end that the text begins with becomes a blank line.
+        single = whole.startswith("\n") & ~whole.startswith("\n\n")
+        return F.when(single, F.concat(F.lit("\n"), whole)).otherwise(whole)
+
+    return let(_replace_all(let(text, stripped), [(r"\n\n\n+", "\n\n", "\n\n\n")]), opened)
 
 
 # Extensions of wiki text that hold no prose.
 _WIKI_SKIPPED = ["ref", "references", "imagemap", "gallery", "math", "hr", "timeline", "poem", "hiero"]
 
 
-def _inside_out(text: Column, opener: str, closer: str, steps: list[tuple[str, str]]) -> Column:
-    """Apply ``steps`` to the innermost pairs first, as often as the pairs of this text are nested."""
+def _inside_out(text: Column, opener: str, closer: str, steps: list[tuple[str, ...]]) -> Column:
+    """Apply ``steps`` to the innermost pairs first, as often as the pairs of this text are nested; a step changes pairs only."""
 
     def depth(marks: Column) -> Column:
         start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
 
         def step(state: Column, mark: Column) -> Column:
-            now = F.when(mark.rlike(f"^{opener}"), state["now"] + 1).otherwise(F.greatest(state["now"] - 1, F.lit(0)))
+            now = F.when(mark == opener, state["now"] + 1).otherwise(F.greatest(state["now"] - 1, F.lit(0)))
             return F.struct(now.alias("now"), F.greatest(state["top"], now).alias("top"))
 
         return F.aggregate(marks, start, step, lambda state: state["top"])
 
+    def held(whole: Column) -> Column:
+        return whole.contains(opener) & whole.contains(closer)
+
     def strip(whole: Column) -> Column:
-        marks = F.regexp_extract_all(whole, F.lit(f"{opener}|{closer}"), F.lit(0))
-        closers = F.size(F.filter(marks, lambda mark: mark.rlike(f"^{closer}")))
-        passes = F.sequence(F.lit(1), F.greatest(F.least(depth(marks), closers), F.lit(1)))
-        return F.when(
-            whole.rlike(opener), F.aggregate(passes, whole, lambda text, _: _replace_all(text, steps))
-        ).otherwise(whole)
+        def passes() -> Column:
+            marks = F.regexp_extract_all(whole, F.lit(rf"\Q{opener}\E|\Q{closer}\E"), F.lit(0))
+            return let(marks, lambda found: F.least(depth(found), F.size(F.filter(found, lambda mark: mark == closer))))
+
+        def further(once: Column) -> Column:
+            # Only a text that still holds both marks after the first pass can change in another one.
+            def again(n: Column) -> Column:
+                return F.when(n > 1, F.aggregate(F.sequence(F.lit(2), n), once, lambda text, _: _replace_all(text, steps))).otherwise(once)
+
+            return F.when(held(once), let(passes(), again)).otherwise(once)
+
+        return F.when(held(whole), let(_replace_all(whole, steps), further)).otherwise(whole)
 
     return let(text, strip)
 
@@ -124,41 +156,41 @@ def wiki_to_text(wikitext: Column | str, markup: bool = False, link_mark: str =
     ``link_mark`` is put before each link.
     """
     shown = link_mark.replace("\\", r"\\").replace("$", r"\$") + "$1"
-    steps = [(r"(?s)<!--.*?-->", "")]
+    steps = [(r"(?s)<!--.*?-->", "", "-->")]
     tags = "|".join(_WIKI_SKIPPED)
-    steps += [(rf"(?i)<(?:{tags})(?:\s[^>]*)?/>", ""), (rf"(?is)<({tags})(?:\s[^>/]*)?>.*?</\1\s*>", "")]
+    steps += [(rf"(?i)<(?:{tags})(?:\s[^>]*)?/>", "", "/>"), (rf"(?is)<({tags})(?:\s[^>/]*)?>.*?</\1\s*>", "", "</")]
     text = _replace_all(_col(wikitext), steps)
-    text = _inside_out(text, r"\{\{", r"\}\}", [(r"\{\{\{[^{}]*\}\}\}|\{\{[^{}]*\}\}", "")])
-    text = _inside_out(text, r"\{\|", r"\|\}", [(r"\{\|[^{}]*\|\}", "")])
+    text = _inside_out(text, "{{", "}}", [(r"\{\{(?:\{[^{}]*+\}\}\}|[^{}]*+\}\})", "")])
+    text = _inside_out(text, "{|", "|}", [(r"\{\|[^{}]*\|\}", "")])
     text = _inside_out(
         text,
-        r"\[\[",
-        r"\]\]",
+        "[[",
+        "]]",
         [
-            (r"\[\[[^\[\]|]*:[^\[\]]*\]\]", ""),
-            (r"\[\[[^\[\]|]*\|([^\[\]|]*)(?:\|[^\[\]]*)?\]\]", shown),
+            (r"\[\[[^\[\]|]*:[^\[\]]*\]\]", "", ":"),
+            (r"\[\[[^\[\]|]*\|([^\[\]|]*)(?:\|[^\[\]]*)?\]\]", shown, "|"),
             (r"\[\[([^\[\]|]*)\]\]", shown),
         ],
     )
     steps = [
-        (r"\[[a-z]+://[^\s\]]*\s+([^\]]*)\]", "$1"),
-        (r"\[[a-z]+://[^\s\]]*\]", ""),
-        (r"(?m)^=+ *([^=\n]*?) *=+ *$", "\n$1\n"),
+        (r"\[[a-z]+://[^\s\]]*\s+([^\]]*)\]", "$1", "://"),
+        (r"\[[a-z]+://[^\s\]]*\]", "", "://"),
+        (r"(?m)^=+ *([^=\n]*?) *=+ *$", "\n$1\n", "="),
     ]
     if markup:
         steps += [
-            (r"(?m)^\*\*\*+ *", "--- "),
-            (r"(?m)^\*\* *", "-- "),
-            (r"(?m)^\* *", "- "),
-            (r"'''", "*"),
-            (r"''", "/"),
-            (r"(?i)</?u>", "_"),
-            (r"(?i)</?(?:b|strong)>", "*"),
-            (r"(?i)</?(?:i|em)>", "/"),
+            (r"(?m)^\*\*\*+ *", "--- ", "***"),
+            (r"(?m)^\*\* *", "-- ", "**"),
+            (r"(?m)^\* *", "- ", "*"),
+            (r"'''", "*", "'''"),
+            (r"''", "/", "''"),
+            (r"(?i)</?u>", "_", "<"),
+            (r"(?i)</?(?:b|strong)>", "*", "<"),
+            (r"(?i)</?(?:i|em)>", "/", "<"),
         ]
     else:
-        steps += [(r"'''?", ""), (r"(?m)^[*#:;].*$", "")]
-    steps += [(r"</?[a-zA-Z][^>]*>", "")]
+        steps += [(r"'''?", "", "''"), (r"(?m)^[*#:;].*$", "")]
+    steps += [(r"</?[a-zA-Z][^>]*>", "", "<")]
     text = _replace_all(text, steps)
     if markup:
         text = let(text, _number_items)

@@ -1,3 +1,5 @@
+import re
+
 from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
@@ -120,3 +122,20 @@ def test_link_mark_and_stray_braces(spark):
     assert marked == "see $>a and $>c $1"
     assert one(spark, "{{ " * 500 + "open }} end", markup.wiki_to_text) == "{{ " * 499 + " end"
     assert one(spark, "{{{1|x}}} a {{b|{{{2}}}}} c", markup.wiki_to_text).split() == ["a", "c"]
+
+
+def test_wiki_steps_meet_only_texts_that_hold_their_marks(spark):
+    # Marks are compared, not matched one by one, and a step with a mark looks for it first.
+    nested = markup._inside_out(F.col("c"), "{{", "}}", [("x", "")])
+    assert "RLIKE" not in spark.createDataFrame([("",)], "c string").select(nested.alias("n"))._jdf.queryExecution().toString()
+    assert one(spark, "a {{b {{c|{{d}}}} e}} f {{g}}{", lambda c: markup._inside_out(c, "{{", "}}", [(r"\{\{[^{}]*\}\}", "")])) == "a  f {"
+    # Pairs that only come about by the passes stay, as often as the text is nested decides.
+    assert one(spark, "{{{x}}{y}}", lambda c: markup._inside_out(c, "{{", "}}", [(r"\{\{[^{}]*\}\}", "")])) == "{{y}}"
+    assert one(spark, "{| {{ |} }}", lambda c: markup._inside_out(c, "{|", "|}", [(r"\{\|[^{}]*\|\}", "")])) == "{| {{ |} }}"
+    for text in ["", "\n", "\n\n", "\n\n\n", "\na", "\n\na\n", " \n a \t\n\t\n\n b ", "a\n\n\n\nb\n\nc\nd", "a \n", "\n \n\n", " "]:
+        lines = text.split("\n")
+        last = len(lines) - 1
+        trimmed = [(x if i == 0 else x.lstrip(" \t")) for i, x in enumerate(lines)]
+        trimmed = [(x if i == last else x.rstrip(" \t")) for i, x in enumerate(trimmed)]
+        assert one(spark, text, markup._trim_blank_lines) == re.sub(r"\n\n+|\A\n+", "\n\n", "\n".join(trimmed))
+    assert one(spark, "&#x0041;&#065&amp;lt;&nosuch;&;&&lt&#xZ;&#55555555;&eacute;x", markup.decode_entities) == "AA&lt;&nosuch;&;&<&#xZ;&#55555555;éx"
