@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, MinMaxScaler, StringIndexer
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from registry import models
 from sigloom.functions.text import content_words
-from sigloom.operators import classify, cluster, embed, evaluate, extract, kernel, pages, som, terms, topics
+from sigloom.operators import classify, cluster, embed, evaluate, extract, kernel, pages, som, terms, topics, wordstage
 from sigloom.plans import signatures, summarize
 from sigloom.sources import corpus, tables
 
@@ -302,6 +303,24 @@ def test_saved_pipeline(spark, docs, tmp_path):
     tables.export_pmml(kmeans, str(tmp_path / "m"))
 
 
+def test_word_vectors_of_a_pipeline_are_a_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(wordstage, "_ADDED", 3)
+    rows = [(1, "a b b", ["a", "b", "b"]), (1, "a b b", ["a", "b", "b"]), (None, None, None), (2, "", []), (3, "z", ["z", "a"])]
+    df = spark.createDataFrame(rows, "id long, sentence string, tokens array<string>")
+    vectors = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [4.0, 8.0])], "word string, vector array<double>")
+    model = wordstage.WordVectorsModel(vectors)._set(inputCol="tokens", outputCol="f", vectorSize=2)
+    tables.save_model(PipelineModel([model]), str(tmp_path / "w"))
+    for fitted in (model, tables.load_model(spark, str(tmp_path / "w"))):
+        got = fitted.transform(df)
+        assert got.columns == ["id", "sentence", "tokens", "f"]
+        found = sorted((r.id or 0, r.sentence, list(r.f)) for r in got.collect())
+        assert found == [(0, None, [0, 0]), (1, "a b b", [3, 6]), (1, "a b b", [3, 6]), (2, "", [0, 0]), (3, "z", [0.5, 1])]
+    lines = spark.createDataFrame([(i, f"x{i % 7} y{i % 5} x{i % 3}") for i in range(60)], "id long, sentence string")
+    pipeline, _ = signatures.fit_sentence_clusters(lines, 2, 4, 3)
+    # The words are rows, not a model of Spark ML that holds them on the driver.
+    assert {r.word for r in pipeline.stages[-1].vectors.collect()} == {*(f"x{i}" for i in range(7)), *(f"y{i}" for i in range(5))}
+
+
 def test_key_split_is_stable(docs):
     train, test = classify.key_split(docs, "doc_id", 60)
     again, _ = classify.key_split(docs.repartition(5), "doc_id", 60)
