@@ -39,3 +39,19 @@ def test_discarded_tables_leave_no_files(spark):
     path = scale._paths[gone]
     scale.discard(gone)
     assert not os.path.exists(path) and kept.count() == 3
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    import time
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in files.mkString("\n").split("\n") if "shuffle_" in name}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = shuffled(), spark.conf.get(name, None)
+    table = scale.settle(spark.range(1000).repartition(4, "id"))
+    end = time.time() + 10
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before and table.count() == 1000 and spark.conf.get(name, None) == held

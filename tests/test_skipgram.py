@@ -105,3 +105,30 @@ def test_training_leaves_no_tables_of_its_passes(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(["a", "b", "c", "d"],)], "tokens array<string>")
     assert skipgram.train_vectors(docs, 4, epochs=1).count() == 4
     assert sorted(p.name.split("-")[0] for p in tmp_path.glob("sigloom/*/*")) == ["vectors", "words"]
+
+
+def test_pairs_are_counted_some_at_a_time(spark, monkeypatch):
+    """One long text and many short ones of a batch are paired piece by piece; the counts are the same."""
+    monkeypatch.setattr(skipgram, "_COUNTED", 1000)
+    docs = spark.createDataFrame([(["a", "b"] * 3000,), *[(["a", "c"],)] * 2000], "tokens array<string>").coalesce(1)
+    rows = skipgram._one_way(docs, 5, "tokens").collect()
+    assert len(rows) > 50
+    by_pair = {}
+    for r in rows:
+        by_pair[r.word, r.context] = by_pair.get((r.word, r.context), 0) + r.n
+    a, b, c = (spark.range(1).select(F.xxhash64(F.lit(w))).first()[0] for w in "abc")
+    alike = sum(6 - far for far in (2, 4)) * 3000 - 4 - 2 * 2
+    apart = sum((6 - far) * (6000 - far) for far in (1, 3, 5))
+    assert by_pair == {(a, a): alike, (b, b): alike, tuple(sorted((a, b))): apart, tuple(sorted((a, c))): 2000 * 5}
+
+
+def test_blocks_travel_in_short_rows(spark):
+    words = spark.range(1000).select(F.col("id").alias("n"), F.xxhash64("id").alias("id"), F.lit(0).alias("block"))
+    parts = skipgram._starting(words, 8, 1).orderBy("kind", "part").collect()
+    assert max(len(r.ids) // 8 for r in parts) <= skipgram._PART_WORDS
+    own = skipgram._Block(*[r.asDict() for r in parts if r.kind == 0])
+    assert own.ids.tolist() == sorted(r.id for r in words.collect()) and own.vectors.shape == (1000, 8)
+    draw = np.random.default_rng([1, 0])
+    assert np.array_equal(own.vectors, ((draw.random((1000, 8)) - 0.5) / 8).astype("<f4"))
+    again = skipgram._Block(*own.packed())
+    assert np.array_equal(again.vectors, own.vectors) and np.array_equal(again.squares, own.squares)
